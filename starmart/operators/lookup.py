@@ -74,27 +74,34 @@ def _equi_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, res
     return left.join(renamed, condition, how).drop(*[f"_right_{k}" for k in keys])
 
 
+def hot_keys_unless_small(
+    left: DataFrame, key: str, right_rows: int, broadcast_rows: int = BROADCAST_ROWS
+) -> dict[object, int] | None:
+    """How to join ``left`` with a right side of at most ``right_rows`` rows, for ``lookup_join``.
+
+    None means that the right side is small enough to broadcast; otherwise the hot keys of ``left``, often none.
+    """
+    if right_rows <= broadcast_rows:
+        return None
+    return hot_keys(left.select(key), key, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
     key: str,
-    how: str = "left",
+    how: str,
+    hot: dict[object, int] | None,
     *,
-    residual: Column | None = None,
     spread: Sequence[str],
-    right_rows: int,
-    hot_in: DataFrame | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    residual: Column | None = None,
 ) -> DataFrame:
-    """Inner or left join on ``key`` (and ``residual``, over distinct column names of both sides).
+    """Inner or left join on ``key`` and ``residual``, a condition over column names that only one side has.
 
-    ``right_rows`` is the row count of ``right`` or a bound on it. A small right side is broadcast; otherwise both sides
-    are shuffled, with the hot keys found in ``hot_in`` (default: the left side) salted.
+    ``hot`` comes from ``hot_keys_unless_small``. Which keys it holds changes the balance of the join, not its result.
     """
-    if right_rows <= broadcast_rows:
+    if hot is None:
         return _equi_join(left, F.broadcast(right), [key], how, residual)
-    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = hot_keys((left if hot_in is None else hot_in).select(key), key, tasks)
     if hot:
         return salted_join(left, right, key, how, residual, spread, hot)
     return _equi_join(left, right, [key], how, residual)

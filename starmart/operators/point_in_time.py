@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.operators.lookup import BROADCAST_ROWS, lookup_join
+from starmart.operators.lookup import BROADCAST_ROWS, hot_keys_unless_small, lookup_join
 
 
 def point_in_time_join(
@@ -24,7 +24,8 @@ def point_in_time_join(
     """Events with the surrogate key of every version valid on the event date, NULL where none is.
 
     A version is valid from ``effective_from`` until before ``effective_to``, a current one without end. Versions that
-    overlap each give a row. ``dimension`` must be a stored table: its rows are counted to choose the join.
+    overlap each give a row. ``dimension`` must be a stored table: its rows are counted to choose the join. ``hot_in`` may
+    name a cheaper place than ``events`` to look for hot keys.
     """
     versions = dimension.select(
         key,
@@ -34,14 +35,6 @@ def point_in_time_join(
         F.col("is_current").alias("_current"),
     )
     valid = (F.col(event_date) >= F.col("_from")) & ((F.col(event_date) < F.col("_to")) | F.col("_current"))
-    return lookup_join(
-        events,
-        versions,
-        key,
-        "left",
-        residual=valid,
-        spread=spread,
-        right_rows=dimension.count(),
-        hot_in=hot_in,
-        broadcast_rows=broadcast_rows,
-    ).drop("_from", "_to", "_current")
+    hot = hot_keys_unless_small(events if hot_in is None else hot_in, key, dimension.count(), broadcast_rows)
+    joined = lookup_join(events, versions, key, "left", hot, spread=spread, residual=valid)
+    return joined.drop("_from", "_to", "_current")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import logging
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from starmart.operators.scd2 import DimensionSpec, high_watermark, load_dimensio
 from starmart.plans.dimensions import SPECS, calendar_dimension
 from starmart.plans.facts import fact_order_items, fact_order_summary
 from starmart.plans.staging import stage_order_items, stage_orders
+from starmart.plans.together import together
 from starmart.sources.contracts import TABLES, conform, enforce_contract
 from starmart.sources.files import read_parquet, write_parquet
 from starmart.sources.tables import (
@@ -76,23 +78,25 @@ def refresh_dimension(spec: DimensionSpec, raw: DataFrame, cfg: MartConfig, as_o
     switch_snapshot(_checked(merged, cfg, spec.table), table, f"{cfg.warehouse}/{spec.table}")
 
 
+def _append(fact: DataFrame, cfg: MartConfig, name: str) -> None:
+    load_table(_checked(fact, cfg, name), cfg.table(name), "append", cfg.table_format)
+
+
 def run_daily(
     spark: SparkSession, cfg: MartConfig, as_of: dt.date, raw: Mapping[str, DataFrame] | None = None
 ) -> None:
     """Migrations, staging, dimensions, then facts. A second run for the same day appends its facts again."""
     raw = raw or raw_sources(spark, cfg)
     migrate(spark, cfg)
-    orders = _staged(stage_orders(raw["orders"]), cfg, "stg_orders")
-    items = _staged(stage_order_items(raw["order_items"], raw["orders"]), cfg, "stg_order_items")
-    logger.info("staged orders and order items")
-    for name, spec in SPECS.items():
-        refresh_dimension(spec, raw[name], cfg, as_of)
-        logger.info("refreshed %s", name)
+    orders, items, *_ = together(
+        lambda: _staged(stage_orders(raw["orders"]), cfg, "stg_orders"),
+        lambda: _staged(stage_order_items(raw["order_items"], raw["orders"]), cfg, "stg_order_items"),
+        *[partial(refresh_dimension, spec, raw[name], cfg, as_of) for name, spec in SPECS.items()],
+    )
+    logger.info("staged orders and order items, refreshed dimensions")
     customers, sellers, products = (read_table(spark, cfg.table(name)) for name in SPECS)
-    facts = {
-        "fact_order_items": fact_order_items(items, sellers, products, cfg.calendar),
-        "fact_order_summary": fact_order_summary(orders, items, customers, cfg.calendar),
-    }
-    for name, fact in facts.items():
-        load_table(_checked(fact, cfg, name), cfg.table(name), "append", cfg.table_format)
-        logger.info("appended %s", name)
+    together(
+        lambda: _append(fact_order_items(items, sellers, products, cfg.calendar), cfg, "fact_order_items"),
+        lambda: _append(fact_order_summary(orders, items, customers, cfg.calendar), cfg, "fact_order_summary"),
+    )
+    logger.info("appended facts")

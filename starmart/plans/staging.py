@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from starmart.operators.dedup import keep_first
-from starmart.operators.lookup import BROADCAST_ROWS, lookup_join
+from starmart.operators.lookup import BROADCAST_ROWS, hot_keys_unless_small, lookup_join
 
 ORDER_RENAMES = {
     "order_purchase_date": "order_date",
@@ -42,34 +43,35 @@ def stage_orders(raw_orders: DataFrame) -> DataFrame:
     )
 
 
-def enrich_items(items: DataFrame, orders: DataFrame, hot_in: DataFrame, order_rows: int, **options) -> DataFrame:
-    """Items with the columns of their order; items of unknown orders vanish."""
-    return lookup_join(
-        items,
-        orders,
-        "order_id",
-        "inner",
-        spread=["order_item_id"],
-        right_rows=order_rows,
-        hot_in=hot_in,
-        **options,
+def order_dates(raw_orders: DataFrame) -> DataFrame:
+    """Purchase date of the earliest row per order; a missing date is the earliest."""
+    date = F.col("order_purchase_date")
+    return raw_orders.groupBy("order_id").agg(
+        F.when(F.count_if(date.isNull()) == 0, F.min(date)).alias("order_date")
     )
 
 
 def stage_order_items(
     raw_items: DataFrame, raw_orders: DataFrame, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
-    """One row per order item, with the order date.
+    """One row per order item, with the order date; items of unknown orders vanish.
 
     Both sides are reduced before they meet: the earliest order row and the lowest item row are also the lowest pair, and
-    copies of an order never multiply the copies of its items.
+    copies of an order never multiply the copies of its items. Unless some order is hot, the items are shuffled once, by
+    order: that serves the deduplication, the join and later totals per order.
     """
+    items = (
+        raw_items.filter(F.col("order_id").isNotNull())
+        .withColumnsRenamed({"price": "item_value"})
+        .select(*ITEM_COLUMNS)
+    )
+    hot = hot_keys_unless_small(items, "order_id", raw_orders.count(), broadcast_rows)
+    if hot == {}:
+        items = items.repartition("order_id")
     items = keep_first(
-        raw_items.withColumnsRenamed({"price": "item_value"}).select(*ITEM_COLUMNS),
+        items,
         ["order_id", "order_item_id"],
         ["product_id", "seller_id", "item_value", "freight_value", "shipping_limit_date"],
     )
-    dates = stage_orders(raw_orders).select("order_id", "order_date")
-    return enrich_items(items, dates, raw_items, raw_orders.count(), broadcast_rows=broadcast_rows).select(
-        *ITEM_COLUMNS, "order_date"
-    )
+    dated = lookup_join(items, order_dates(raw_orders), "order_id", "inner", hot, spread=["order_item_id"])
+    return dated.select(*ITEM_COLUMNS, "order_date")

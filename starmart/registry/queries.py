@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from starmart.config import Calendar, MartConfig
 from starmart.functions.dates import calendar_columns, date_key
 from starmart.functions.keys import any_differs, effective_update_date, surrogate_key, updated_after
+from starmart.operators.lookup import hot_keys_unless_small, lookup_join
 from starmart.operators.point_in_time import point_in_time_join
 from starmart.operators.scd2 import (
     DimensionSpec,
@@ -36,7 +37,8 @@ from starmart.plans.dimensions import (
     empty_dimension,
 )
 from starmart.plans.facts import fact_order_items, fact_order_summary, order_item_totals
-from starmart.plans.staging import ORDER_COLUMNS, ORDER_RENAMES, enrich_items, stage_order_items, stage_orders
+from starmart.plans.together import together
+from starmart.plans.staging import ORDER_COLUMNS, ORDER_RENAMES, stage_order_items, stage_orders
 from starmart.sources import retail
 from starmart.sources.contracts import DIM_PRODUCT, TABLES, enforce_contract
 from starmart.sources.files import new_location, read_parquet, store, write_parquet
@@ -228,7 +230,8 @@ def stg_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 def join_inner_items_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     items, orders = retail.raw_order_items(spark, sf_dir), retail.raw_orders(spark, sf_dir)
     dates = orders.select("order_id", "order_purchase_date")
-    return enrich_items(items, dates, items, orders.count()).select(*items.columns, "order_purchase_date")
+    hot = hot_keys_unless_small(items, "order_id", orders.count())
+    return lookup_join(items, dates, "order_id", "inner", hot, spread=["order_item_id", "product_id"])
 
 
 def agg_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -333,10 +336,11 @@ def _pit_join_items(spec: DimensionSpec, spark: SparkSession, sf_dir: str) -> Da
 
 
 def order_items_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sellers, products = together(*[partial(_dimension, spec, spark, sf_dir) for spec in (SELLER, PRODUCT)])
     return fact_order_items(
         stg_order_items(spark, sf_dir),
-        _dimension(SELLER, spark, sf_dir),
-        _dimension(PRODUCT, spark, sf_dir),
+        sellers,
+        products,
         CALENDAR,
         raw_items=retail.raw_order_items(spark, sf_dir),
     )

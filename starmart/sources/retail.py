@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.operators.lookup import lookup_join
+from starmart.operators.lookup import hot_keys_unless_small, lookup_join
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,11 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _feed(facts: DataFrame, owners: DataFrame, owner_rows: int, spread: list[str]) -> DataFrame:
+    hot = hot_keys_unless_small(facts, "key", owner_rows)
+    return lookup_join(facts, owners, "key", "inner", hot, spread=spread)
+
+
 def _with_nation(df: DataFrame, nation: DataFrame, nation_key: str) -> DataFrame:
     return df.join(nation, F.col(nation_key) == F.col("n_nationkey")).drop(nation_key, "n_nationkey")
 
@@ -68,13 +73,11 @@ def raw_customers(
     customers = _table(spark, sf_dir, "customer")
     nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     orders = _between(_table(spark, sf_dir, "orders"), "o_orderdate", since, until)
-    feed = lookup_join(
+    feed = _feed(
         orders.select(F.col("o_custkey").alias("key"), "o_orderkey", "o_orderdate", "o_orderpriority", "o_orderstatus"),
         _with_nation(customers.select(F.col("c_custkey").alias("key"), "c_nationkey", "c_mktsegment"), nation, "c_nationkey"),
-        "key",
-        "inner",
-        spread=["o_orderkey"],
-        right_rows=customers.count(),
+        customers.count(),
+        ["o_orderkey"],
     )
     return feed.select(
         F.col("key").cast("string").alias("customer_id"),
@@ -92,15 +95,13 @@ def raw_sellers(
     suppliers = _table(spark, sf_dir, "supplier")
     nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     items = _between(_table(spark, sf_dir, "lineitem"), "l_shipdate", since, until)
-    feed = lookup_join(
+    feed = _feed(
         items.select(
             F.col("l_suppkey").alias("key"), "l_orderkey", "l_linenumber", "l_shipdate", "l_returnflag", "l_linestatus"
         ),
         _with_nation(suppliers.select(F.col("s_suppkey").alias("key"), "s_nationkey"), nation, "s_nationkey"),
-        "key",
-        "inner",
-        spread=["l_orderkey", "l_linenumber"],
-        right_rows=suppliers.count(),
+        suppliers.count(),
+        ["l_orderkey", "l_linenumber"],
     )
     return feed.select(
         F.col("key").cast("string").alias("seller_id"),
@@ -117,15 +118,13 @@ def raw_products(
     """Product change feed: one row per line item."""
     parts = _table(spark, sf_dir, "part")
     items = _between(_table(spark, sf_dir, "lineitem"), "l_shipdate", since, until)
-    feed = lookup_join(
+    feed = _feed(
         items.select(
             F.col("l_partkey").alias("key"), "l_orderkey", "l_linenumber", "l_shipdate", "l_returnflag", "l_extendedprice"
         ),
         parts.select(F.col("p_partkey").alias("key"), "p_name", "p_type", "p_size"),
-        "key",
-        "inner",
-        spread=["l_orderkey", "l_linenumber"],
-        right_rows=parts.count(),
+        parts.count(),
+        ["l_orderkey", "l_linenumber"],
     )
     size = F.col("p_size").cast("float")
     return feed.select(
