@@ -1,0 +1,155 @@
+"""Known figures of two yearly batches at sf0.01, by broadcast and by shuffle joins."""
+
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from starmart.config import Calendar
+from starmart.operators.scd2 import load_dimension, scd2_expired, scd2_new, stage_dimension
+from starmart.plans.dimensions import CUSTOMER, PRODUCT, SELLER, calendar_dimension, empty_dimension
+from starmart.plans.facts import fact_order_items, fact_order_summary
+from starmart.plans.staging import stage_order_items, stage_orders
+from starmart.sources import retail
+from starmart.sources.files import store
+
+SF_DIR = "/root/testdata/sf0.01"
+D = dt.date
+CALENDAR, FLOOR = Calendar(D(1995, 1, 1), D(2001, 12, 31)), D(1994, 12, 31)
+BATCHES = [(D(1995, 1, 1), D(1998, 1, 1)), (D(1998, 1, 1), D(1999, 1, 1))]
+FEEDS = {"dim_customer": retail.raw_customers, "dim_seller": retail.raw_sellers, "dim_product": retail.raw_products}
+
+
+@pytest.fixture(scope="module")
+def dimensions(spark):
+    """Per table, the dimension after each batch."""
+    history = {}
+    for spec in (CUSTOMER, SELLER, PRODUCT):
+        states = [empty_dimension(spark, spec)]
+        for since, until in BATCHES:
+            raw = FEEDS[spec.table](spark, SF_DIR, since, until)
+            states.append(store(load_dimension(spec, raw, states[-1], until, FLOOR, store), spec.table))
+        history[spec.table] = states
+    return history
+
+
+@pytest.mark.parametrize(
+    ("spec", "staged", "changed", "total", "current"),
+    [
+        (CUSTOMER, (1480, 1146), (966, 955), 2446, 1491),
+        (SELLER, (100, 100), (74, 74), 174, 100),
+        (PRODUCT, (2000, 1979), (1979, 1979), 3979, 2000),
+    ],
+    ids=["customer", "seller", "product"],
+)
+def test_dimension(spark, dimensions, spec, staged, changed, total, current):
+    first, second = (
+        stage_dimension(spec, FEEDS[spec.table](spark, SF_DIR, *batch), F.lit(FLOOR)) for batch in BATCHES
+    )
+    assert (first.count(), second.count()) == staged
+    before, after = dimensions[spec.table][1:]
+    assert scd2_new(spec, second, before).count() == changed[0]
+    assert scd2_expired(spec, second, before, BATCHES[1][1]).count() == changed[1]
+    figures = after.agg(F.count(F.lit(1)), F.count_if("is_current"), F.countDistinct(spec.sk)).first()
+    assert tuple(figures) == (total, current, total)
+
+
+def test_customer_key(dimensions):
+    lowest = dimensions["dim_customer"][-1].agg(F.min("customer_sk")).first()[0]
+    assert lowest == "000b85d673daf05ed1ddbfe3fcaf577628b45e5bdd368adaddd99c351b5988e2"
+
+
+@pytest.fixture(scope="module", params=[100_000, 0], ids=["broadcast", "shuffle"])
+def facts(spark, dimensions, request):
+    raw_orders, raw_items = retail.raw_orders(spark, SF_DIR), retail.raw_order_items(spark, SF_DIR)
+    orders = stage_orders(raw_orders)
+    items = store(stage_order_items(raw_items, raw_orders, request.param), "stg_order_items")
+    customers, sellers, products = (states[-1] for states in dimensions.values())
+    return {
+        "items": items,
+        "summary": fact_order_summary(orders, items, customers, CALENDAR, broadcast_rows=request.param),
+        "order_items": fact_order_items(items, sellers, products, CALENDAR, broadcast_rows=request.param),
+    }
+
+
+def test_staged_items(facts):
+    figures = facts["items"].agg(
+        F.count(F.lit(1)),
+        F.sum("item_value"),
+        F.sum("freight_value"),
+        F.count_if(F.isnull("shipping_limit_date")),
+        F.min("shipping_limit_date"),
+    )
+    assert tuple(figures.first()) == (
+        45_832,
+        Decimal("2424862797.33"),
+        Decimal("1162971.00"),
+        15_360,
+        D(1995, 1, 2),
+    )
+
+
+def test_order_summary(facts):
+    figures = facts["summary"].agg(
+        F.count(F.lit(1)),
+        F.countDistinct("order_id"),
+        F.count_if(F.isnull("customer_sk")),
+        F.sum("total_order_value"),
+        F.count_if(F.isnull("item_count")),
+        F.count_if(F.col("min_shipping_limit_date_key") == 0),
+        F.sum("total_freight_value"),
+        F.sum("item_count"),
+        F.sum("order_date_key"),
+        F.sum("order_approved_date_key"),
+        F.sum("delivered_to_carrier_date_key"),
+        F.sum("delivered_to_customer_date_key"),
+        F.sum("estimated_delivery_date_key"),
+        F.sum("min_shipping_limit_date_key"),
+        F.sum("max_shipping_limit_date_key"),
+    )
+    assert tuple(figures.first()) == (
+        16_839,
+        15_000,
+        27,
+        Decimal("2728512972.41"),
+        278,
+        1_491,
+        Decimal("1308686.00"),
+        51_528,
+        20_483_292,
+        13_707_761,
+        13_730_215,
+        6_832_374,
+        20_719_038,
+        13_078_352,
+        25_070_785,
+    )
+
+
+def test_order_items(facts):
+    figures = facts["order_items"].agg(
+        F.count(F.lit(1)),
+        F.countDistinct("order_id", "order_item_id"),
+        F.count_if(F.isnull("seller_sk")),
+        F.count_if(F.isnull("product_sk")),
+        F.sum("item_value"),
+        F.sum("order_date_key"),
+        F.sum("shipping_limit_date_key"),
+    )
+    assert tuple(figures.first()) == (
+        60_356,
+        45_832,
+        79,
+        1_552,
+        Decimal("3197775834.36"),
+        74_160_947,
+        49_846_783,
+    )
+
+
+def test_calendar(spark):
+    figures = calendar_dimension(spark, CALENDAR).agg(
+        F.count(F.lit(1)), F.max("date_key"), F.count_if(F.isnull("date"))
+    )
+    assert tuple(figures.first()) == (2558, 2557, 1)
