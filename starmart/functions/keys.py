@@ -32,7 +32,7 @@ def effective_update_date(schema: StructType, updated: str, created: str) -> Col
 
 
 def updated_after(schema: StructType, updated: str, created: str, watermark: Column) -> Column:
-    """``effective_update_date > watermark``, split over the raw columns where those are dates.
+    """Filter for ``effective_update_date > watermark``, split over the raw columns where those are dates.
 
     File scans take the split form as a pushed filter; a coalesce they cannot.
     """

@@ -63,7 +63,8 @@ def salted_join(
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1)))
         .drop("_pieces")
     )
-    return _equi_join(cut, copies, [key, "_salt"], how, residual).drop("_salt")
+    joined = _equi_join(cut, copies, [key, "_salt"], how, residual)
+    return joined.select(*left.columns, *[c for c in right.columns if c != key])
 
 
 def _equi_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, residual: Column | None) -> DataFrame:
