@@ -21,6 +21,7 @@ class DimensionSpec:
     """What distinguishes one dimension from another."""
 
     table: str
+    source: str
     schema: StructType
     key: str
     sk: str

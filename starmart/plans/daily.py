@@ -1,4 +1,4 @@
-"""One daily run of the whole mart."""
+"""The jobs of a mart and one daily run of all of them."""
 
 from __future__ import annotations
 
@@ -29,23 +29,25 @@ from starmart.sources.tables import (
 
 logger = logging.getLogger(__name__)
 
-RAW_FILES = {
-    "dim_customer": "customers",
-    "dim_seller": "sellers",
-    "dim_product": "products",
-    "orders": "orders",
-    "order_items": "order_items",
-}
+# Names of the source files.
+RAW_FILES = ("customers", "sellers", "products", "orders", "order_items")
+
+Raw = Mapping[str, DataFrame]
 
 
 def raw_sources(spark: SparkSession, cfg: MartConfig) -> dict[str, DataFrame]:
-    return {name: read_parquet(spark, cfg.inputs, file) for name, file in RAW_FILES.items()}
+    return {name: read_parquet(spark, cfg.inputs, name) for name in RAW_FILES}
 
 
 def _checked(df: DataFrame, cfg: MartConfig, name: str) -> DataFrame:
     return (enforce_contract if cfg.strict_not_null else conform)(df, TABLES[name])
 
 
+def _staged(cfg: MartConfig, df: DataFrame, name: str) -> DataFrame:
+    write_parquet(df, cfg.staging, name)
+    return read_parquet(df.sparkSession, cfg.staging, name)
+
+
 def migrate(spark: SparkSession, cfg: MartConfig) -> None:
     """Create what is missing and rebuild the date dimension."""
     ensure_tables(spark, cfg)
@@ -56,47 +58,57 @@ def migrate(spark: SparkSession, cfg: MartConfig) -> None:
         switch_snapshot(dates, cfg.table("dim_date"), f"{cfg.warehouse}/dim_date")
 
 
-def _staged(df: DataFrame, cfg: MartConfig, name: str) -> DataFrame:
-    write_parquet(df, cfg.staging, name)
-    return read_parquet(df.sparkSession, cfg.staging, name)
+def refresh_orders(cfg: MartConfig, raw: Raw) -> None:
+    _staged(cfg, stage_orders(raw["orders"]), "stg_orders")
 
 
-def refresh_dimension(spec: DimensionSpec, raw: DataFrame, cfg: MartConfig, as_of: dt.date) -> None:
-    spark = raw.sparkSession
-    table = cfg.table(spec.table)
-    current = read_table(spark, table)
+def refresh_order_items(cfg: MartConfig, raw: Raw) -> None:
+    _staged(cfg, stage_order_items(raw["order_items"], raw["orders"]), "stg_order_items")
+
+
+def refresh_dimension(cfg: MartConfig, raw: Raw, spec: DimensionSpec, as_of: dt.date) -> None:
+    """Stage the source, find the changes and merge them into the dimension."""
+    source, table = raw[spec.source], cfg.table(spec.table)
+    current = read_table(source.sparkSession, table)
+    store = partial(_staged, cfg)
     if cfg.table_format in ROW_LEVEL_FORMATS:
-        staged = stage_dimension(spec, raw, high_watermark(current, cfg.floor_date).scalar())
-        changes = _staged(scd2_changes(spec, staged, current, as_of), cfg, f"changes_{spec.table}")
-        merge_into_table(
-            changes, table, spec.sk, F.col(f"{table}.is_current"), ["effective_to", "is_current"]
-        )
-        return
-    merged = load_dimension(
-        spec, raw, current, as_of, cfg.floor_date, lambda df, name: _staged(df, cfg, name)
+        staged = stage_dimension(spec, source, high_watermark(current, cfg.floor_date).scalar())
+        changes = store(scd2_changes(spec, staged, current, as_of), f"changes_{spec.table}")
+        merge_into_table(changes, table, spec.sk, F.col(f"{table}.is_current"), ["effective_to", "is_current"])
+    else:
+        merged = load_dimension(spec, source, current, as_of, cfg.floor_date, store)
+        switch_snapshot(_checked(merged, cfg, spec.table), table, f"{cfg.warehouse}/{spec.table}")
+
+
+def append_order_items(spark: SparkSession, cfg: MartConfig) -> None:
+    fact = fact_order_items(
+        read_parquet(spark, cfg.staging, "stg_order_items"),
+        read_table(spark, cfg.table("dim_seller")),
+        read_table(spark, cfg.table("dim_product")),
+        cfg.calendar,
     )
-    switch_snapshot(_checked(merged, cfg, spec.table), table, f"{cfg.warehouse}/{spec.table}")
+    load_table(_checked(fact, cfg, "fact_order_items"), cfg.table("fact_order_items"), "append", cfg.table_format)
 
 
-def _append(fact: DataFrame, cfg: MartConfig, name: str) -> None:
-    load_table(_checked(fact, cfg, name), cfg.table(name), "append", cfg.table_format)
+def append_order_summary(spark: SparkSession, cfg: MartConfig) -> None:
+    fact = fact_order_summary(
+        read_parquet(spark, cfg.staging, "stg_orders"),
+        read_parquet(spark, cfg.staging, "stg_order_items"),
+        read_table(spark, cfg.table("dim_customer")),
+        cfg.calendar,
+    )
+    load_table(_checked(fact, cfg, "fact_order_summary"), cfg.table("fact_order_summary"), "append", cfg.table_format)
 
 
-def run_daily(
-    spark: SparkSession, cfg: MartConfig, as_of: dt.date, raw: Mapping[str, DataFrame] | None = None
-) -> None:
-    """Migrations, staging, dimensions, then facts. A second run for the same day appends its facts again."""
+def run_daily(spark: SparkSession, cfg: MartConfig, as_of: dt.date, raw: Raw | None = None) -> None:
+    """Migrations, then staging and dimensions, then facts. A second run for the same day appends its facts again."""
     raw = raw or raw_sources(spark, cfg)
     migrate(spark, cfg)
-    orders, items, *_ = together(
-        lambda: _staged(stage_orders(raw["orders"]), cfg, "stg_orders"),
-        lambda: _staged(stage_order_items(raw["order_items"], raw["orders"]), cfg, "stg_order_items"),
-        *[partial(refresh_dimension, spec, raw[name], cfg, as_of) for name, spec in SPECS.items()],
-    )
-    logger.info("staged orders and order items, refreshed dimensions")
-    customers, sellers, products = (read_table(spark, cfg.table(name)) for name in SPECS)
     together(
-        lambda: _append(fact_order_items(items, sellers, products, cfg.calendar), cfg, "fact_order_items"),
-        lambda: _append(fact_order_summary(orders, items, customers, cfg.calendar), cfg, "fact_order_summary"),
+        partial(refresh_orders, cfg, raw),
+        partial(refresh_order_items, cfg, raw),
+        *[partial(refresh_dimension, cfg, raw, spec, as_of) for spec in SPECS.values()],
     )
+    logger.info("staged orders and order items, refreshed dimensions as of %s", as_of)
+    together(partial(append_order_items, spark, cfg), partial(append_order_summary, spark, cfg))
     logger.info("appended facts")

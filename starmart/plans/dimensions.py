@@ -12,6 +12,7 @@ from starmart.sources.contracts import DIM_CUSTOMER, DIM_DATE, DIM_PRODUCT, DIM_
 
 CUSTOMER = DimensionSpec(
     table="dim_customer",
+    source="customers",
     schema=DIM_CUSTOMER,
     key="customer_id",
     sk="customer_sk",
@@ -27,6 +28,7 @@ CUSTOMER = DimensionSpec(
 )
 SELLER = DimensionSpec(
     table="dim_seller",
+    source="sellers",
     schema=DIM_SELLER,
     key="seller_id",
     sk="seller_sk",
@@ -42,6 +44,7 @@ SELLER = DimensionSpec(
 )
 PRODUCT = DimensionSpec(
     table="dim_product",
+    source="products",
     schema=DIM_PRODUCT,
     key="product_id",
     sk="product_sk",
@@ -62,7 +65,8 @@ SPECS = {spec.table: spec for spec in (CUSTOMER, SELLER, PRODUCT)}
 
 
 def empty_dimension(spark: SparkSession, spec: DimensionSpec) -> DataFrame:
-    return spark.createDataFrame([], spec.schema)
+    """No versions yet; the constant filter lets the optimizer drop every join with it."""
+    return spark.createDataFrame([], spec.schema).filter(F.lit(False))
 
 
 def date_spine(bounds: DataFrame) -> DataFrame:

@@ -37,12 +37,12 @@ from starmart.plans.dimensions import (
     empty_dimension,
 )
 from starmart.plans.facts import fact_order_items, fact_order_summary, order_item_totals
-from starmart.plans.together import together
 from starmart.plans.staging import ORDER_COLUMNS, ORDER_RENAMES, stage_order_items, stage_orders
+from starmart.plans.together import together
 from starmart.sources import retail
-from starmart.sources.contracts import DIM_PRODUCT, TABLES, enforce_contract
+from starmart.sources.contracts import DIM_PRODUCT, enforce_contract
 from starmart.sources.files import new_location, read_parquet, store, write_parquet
-from starmart.sources.tables import create_namespace, create_table, load_table, read_table
+from starmart.sources.tables import create_namespace, create_table, load_table, read_table, table_names
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -383,13 +383,15 @@ def daily_run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         strict_not_null=False,
     )
     raw = {
-        **{name: feed(spark, sf_dir) for name, feed in FEEDS.items()},
+        **{SPECS[name].source: feed(spark, sf_dir) for name, feed in FEEDS.items()},
         "orders": retail.raw_orders(spark, sf_dir),
         "order_items": retail.raw_order_items(spark, sf_dir),
     }
     run_daily(spark, cfg, SECOND_RUN, raw)
-    listed = [t.name for t in spark.catalog.listTables(cfg.namespace) if t.name in TABLES]
-    counts = [f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {cfg.table(t)}" for t in sorted(listed)]
+    counts = [
+        f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {cfg.table(name)}"
+        for name in table_names(spark, cfg.namespace)
+    ]
     return spark.sql(" UNION ALL ".join(counts))
 
 

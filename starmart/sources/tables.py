@@ -37,6 +37,15 @@ def ensure_tables(spark: SparkSession, cfg: MartConfig) -> None:
         create_table(spark, cfg.table(name), schema, cfg.table_format, location)
 
 
+def current_namespace(spark: SparkSession) -> str:
+    return spark.sql("SHOW CURRENT NAMESPACE").first()["namespace"]
+
+
+def table_names(spark: SparkSession, namespace: str) -> list[str]:
+    tables = spark.sql(f"SHOW TABLES IN {namespace}").filter(~F.col("isTemporary"))
+    return sorted(row["tableName"] for row in tables.collect())
+
+
 def read_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.table(table)
 

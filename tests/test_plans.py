@@ -5,8 +5,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from starmart.operators.scd2 import high_watermark, stage_dimension
-from starmart.plans.dimensions import CUSTOMER, PRODUCT
+from starmart.operators.scd2 import high_watermark, scd2_changes, stage_dimension
+from starmart.plans.dimensions import CUSTOMER, PRODUCT, empty_dimension
 from starmart.plans.staging import stage_order_items
 from starmart.plans.facts import order_item_totals
 from starmart.registry.queries import all_queries
@@ -98,3 +98,10 @@ def test_small_changes_leave_the_target_unshuffled(spark):
     final = plan.split("== Initial Plan ==")[0]
     assert "SortMergeJoin" not in final
     assert final.count("Exchange hashpartitioning") == 1
+
+
+def test_first_load_joins_nothing(spark):
+    """An empty dimension drops out of the plan."""
+    raw = store(raw_customers(spark, [("a", "x", D(2020, 1, 5))]), "raw")
+    staged = stage_dimension(CUSTOMER, raw, F.lit(FLOOR))
+    assert "Join" not in plan_of(scd2_changes(CUSTOMER, staged, empty_dimension(spark, CUSTOMER), D(2020, 2, 1)))
