@@ -47,7 +47,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--floor-date", type=dt.date.fromisoformat, default=DEFAULT_FLOOR_DATE)
     parser.add_argument("--calendar-start", type=dt.date.fromisoformat, default=DEFAULT_CALENDAR.start)
     parser.add_argument("--calendar-end", type=dt.date.fromisoformat, default=DEFAULT_CALENDAR.end)
-    parser.add_argument("--allow-null", action="store_true", help="keep facts whose keys or measures found no match")
+    parser.add_argument("--relaxed", action="store_true", help="keep rows that break the table contracts")
     args = parser.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s - %(name)s - %(levelname)s - %(message)s")
     cfg = MartConfig(
@@ -58,7 +58,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         table_format=args.table_format,
         calendar=Calendar(args.calendar_start, args.calendar_end),
         floor_date=args.floor_date,
-        strict_not_null=not args.allow_null,
+        strict=not args.relaxed,
     )
     JOBS[args.job](get_or_create_spark_session(f"starmart-{args.job}"), cfg, args.as_of)
 

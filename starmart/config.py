@@ -30,8 +30,8 @@ class MartConfig:
     table_format: str = "parquet"
     calendar: Calendar = field(default=DEFAULT_CALENDAR)
     floor_date: dt.date = DEFAULT_FLOOR_DATE
-    # False lets surrogate keys and measures that found no match stay NULL in the facts.
-    strict_not_null: bool = True
+    # False keeps rows that break the table contracts (no matching version, huge totals) instead of failing the run.
+    strict: bool = True
 
     def table(self, name: str) -> str:
         return f"{self.namespace}.{name}"

@@ -16,7 +16,7 @@ from starmart.plans.dimensions import SPECS, calendar_dimension
 from starmart.plans.facts import fact_order_items, fact_order_summary
 from starmart.plans.staging import stage_order_items, stage_orders
 from starmart.plans.together import together
-from starmart.sources.contracts import TABLES, conform, enforce_contract
+from starmart.sources.contracts import TABLES, conform, enforce_contract, relaxed
 from starmart.sources.files import read_parquet, write_parquet
 from starmart.sources.tables import (
     ROW_LEVEL_FORMATS,
@@ -40,7 +40,10 @@ def raw_sources(spark: SparkSession, cfg: MartConfig) -> dict[str, DataFrame]:
 
 
 def _checked(df: DataFrame, cfg: MartConfig, name: str) -> DataFrame:
-    return (enforce_contract if cfg.strict_not_null else conform)(df, TABLES[name])
+    """The rows as the table takes them; types are narrowed here and nowhere before."""
+    if cfg.strict:
+        return enforce_contract(df, TABLES[name])
+    return conform(df, relaxed(TABLES[name]))
 
 
 def _staged(cfg: MartConfig, df: DataFrame, name: str) -> DataFrame:

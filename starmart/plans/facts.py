@@ -9,7 +9,7 @@ from starmart.config import Calendar
 from starmart.functions.dates import date_key
 from starmart.operators.lookup import BROADCAST_ROWS
 from starmart.operators.point_in_time import point_in_time_join
-from starmart.sources.contracts import FACT_ORDER_ITEMS, FACT_ORDER_SUMMARY, conform
+from starmart.sources.contracts import FACT_ORDER_ITEMS, FACT_ORDER_SUMMARY
 
 
 def order_item_totals(items: DataFrame) -> DataFrame:
@@ -53,7 +53,7 @@ def fact_order_items(
             broadcast_rows=broadcast_rows,
         )
     roles = {"order_date_key": "order_date", "shipping_limit_date_key": "shipping_limit_date"}
-    return conform(with_date_keys(items, roles, calendar), FACT_ORDER_ITEMS)
+    return with_date_keys(items, roles, calendar).select(*FACT_ORDER_ITEMS.names)
 
 
 def fact_order_summary(
@@ -65,7 +65,10 @@ def fact_order_summary(
     raw_orders: DataFrame | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """One row per staged order and valid customer version; orders without items keep NULL measures."""
+    """One row per staged order and valid customer version; orders without items keep NULL measures.
+
+    Totals have the width of their sums; the table contract narrows them on write.
+    """
     summary = point_in_time_join(
         orders.join(order_item_totals(items), "order_id", "left"),
         customers,
@@ -85,4 +88,4 @@ def fact_order_summary(
         "min_shipping_limit_date_key": "min_shipping_limit_date",
         "max_shipping_limit_date_key": "max_shipping_limit_date",
     }
-    return conform(with_date_keys(summary, roles, calendar), FACT_ORDER_SUMMARY)
+    return with_date_keys(summary, roles, calendar).select(*FACT_ORDER_SUMMARY.names)

@@ -225,8 +225,7 @@ FACT_SUMMARY = _with(
     DIM_DATE,
     _history("customer"),
     select=f"""SELECT c.customer_sk, o.order_id, o.order_status,
-  CAST(t.total_order_value AS DECIMAL(10,2)) AS total_order_value,
-  CAST(t.total_freight_value AS DECIMAL(10,2)) AS total_freight_value, CAST(t.item_count AS INTEGER) AS item_count,
+  t.total_order_value, t.total_freight_value, t.item_count,
   d1.date_key AS order_date_key, d3.date_key AS delivered_to_carrier_date_key,
   d4.date_key AS delivered_to_customer_date_key, d5.date_key AS estimated_delivery_date_key,
   d2.date_key AS order_approved_date_key, d6.date_key AS min_shipping_limit_date_key,

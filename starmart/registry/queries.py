@@ -380,7 +380,7 @@ def daily_run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         namespace=f"starmart_{uuid.uuid4().hex}",
         calendar=CALENDAR,
         floor_date=FLOOR,
-        strict_not_null=False,
+        strict=False,
     )
     raw = {
         **{SPECS[name].source: feed(spark, sf_dir) for name, feed in FEEDS.items()},

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from starmart.config import MartConfig
-from starmart.sources.contracts import TABLES
+from starmart.sources.contracts import TABLES, relaxed
 
 # Formats whose catalogs run MERGE themselves.
 ROW_LEVEL_FORMATS = ("iceberg", "delta")
@@ -34,7 +34,7 @@ def ensure_tables(spark: SparkSession, cfg: MartConfig) -> None:
     create_namespace(spark, cfg.namespace)
     for name, schema in TABLES.items():
         location = None if cfg.table_format in ROW_LEVEL_FORMATS else f"{cfg.warehouse.rstrip('/')}/{name}/initial"
-        create_table(spark, cfg.table(name), schema, cfg.table_format, location)
+        create_table(spark, cfg.table(name), schema if cfg.strict else relaxed(schema), cfg.table_format, location)
 
 
 def current_namespace(spark: SparkSession) -> str:

@@ -84,18 +84,23 @@ def test_two_daily_runs(spark, tmp_path):
 
 
 @pytest.mark.parametrize("strict", [True, False])
-def test_unmatched_keys_fail_a_strict_run(spark, tmp_path, strict):
-    cfg = config(tmp_path, f"strict_{strict}".lower(), strict_not_null=strict)
+def test_broken_contracts_fail_a_strict_run(spark, tmp_path, strict):
+    cfg = config(tmp_path, f"strict_{strict}".lower(), strict=strict)
     write_sources(spark, cfg, "first", D(2020, 2, 1), ["1"])
     stray = spark.createDataFrame([("9", "nobody", D(2020, 2, 1), None, None, None, None, "O")], RAW_ORDER)
     write_parquet(stray, cfg.inputs, "orders", "append")
+    huge = [("1", str(n), "p1", "s1", Decimal("99999999.99"), Decimal("1.00"), None) for n in range(5, 7)]
+    write_parquet(spark.createDataFrame(huge, RAW_ITEM), cfg.inputs, "order_items", "append")
     if strict:
-        with pytest.raises(Exception, match="NULL in NOT NULL column"):
+        with pytest.raises(Exception, match="NULL in NOT NULL column|NUMERIC_VALUE_OUT_OF_RANGE"):
             run_daily(spark, cfg, D(2020, 2, 2))
         return
     run_daily(spark, cfg, D(2020, 2, 2))
     facts = read_table(spark, cfg.table("fact_order_summary"))
-    assert rows_of(facts, "order_id", "customer_sk", "item_count")[1] == ("9", None, None)
+    assert rows_of(facts, "order_id", "total_order_value", "item_count") == [
+        ("1", Decimal("200000009.98"), 4),
+        ("9", None, None),
+    ]
 
 
 def test_ensure_tables_keeps_what_exists(spark, tmp_path):
