@@ -24,8 +24,8 @@ def point_in_time_join(
     """Events with the surrogate key of every version valid on the event date, NULL where none is.
 
     A version is valid from ``effective_from`` until before ``effective_to``, a current one without end. Versions that
-    overlap each give a row. ``dimension`` must be a stored table: its rows are counted to choose the join. ``hot_in`` may
-    name a cheaper place than ``events`` to look for hot keys.
+    overlap each give a row. ``dimension`` must be a stored table: its rows are counted to choose the join. ``hot_in``
+    may name a cheaper place than ``events`` to look for hot keys.
     """
     versions = dimension.select(
         key,

@@ -56,9 +56,9 @@ def stage_order_items(
 ) -> DataFrame:
     """One row per order item, with the order date; items of unknown orders vanish.
 
-    Both sides are reduced before they meet: the earliest order row and the lowest item row are also the lowest pair, and
-    copies of an order never multiply the copies of its items. Unless some order is hot, the items are shuffled once, by
-    order: that serves the deduplication, the join and later totals per order.
+    Both sides are reduced before they meet: the earliest order row and the lowest item row are also the lowest pair,
+    and copies of an order never multiply the copies of its items. Unless some order is hot, the items are shuffled
+    once, by order: that serves the deduplication, the join and later totals per order.
     """
     items = (
         raw_items.filter(F.col("order_id").isNotNull())

@@ -41,7 +41,7 @@ from starmart.plans.staging import ORDER_COLUMNS, ORDER_RENAMES, stage_order_ite
 from starmart.plans.together import together
 from starmart.sources import retail
 from starmart.sources.contracts import DIM_PRODUCT, enforce_contract
-from starmart.sources.files import new_location, read_parquet, store, write_parquet
+from starmart.sources.files import new_location, read_parquet, shared_dir, store, write_parquet
 from starmart.sources.tables import create_namespace, create_table, load_table, read_table, table_names
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,7 +123,7 @@ def roundtrip_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scratch_table(spark: SparkSession, name: str) -> tuple[str, str]:
-    create_namespace(spark, SCRATCH)
+    create_namespace(spark, SCRATCH, f"{shared_dir(spark)}/{SCRATCH}")
     return f"{SCRATCH}.{name}_{uuid.uuid4().hex}", new_location(spark, name)
 
 

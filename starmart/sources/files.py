@@ -19,15 +19,16 @@ def write_parquet(df: DataFrame, base: str, name: str, mode: str = "overwrite")
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
 
-    Only a local session without that setting falls back to a temporary folder.
+    Only a local session without one gets a temporary folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="starmart-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/starmart-{spark.sparkContext.applicationId}"
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="starmart-"))
+        base = context.getCheckpointDir()
+    return f"{base.rstrip('/')}/starmart-{context.applicationId}"
 
 
 def new_location(spark: SparkSession, name: str) -> str:

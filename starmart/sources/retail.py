@@ -73,9 +73,10 @@ def raw_customers(
     customers = _table(spark, sf_dir, "customer")
     nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     orders = _between(_table(spark, sf_dir, "orders"), "o_orderdate", since, until)
+    owners = customers.select(F.col("c_custkey").alias("key"), "c_nationkey", "c_mktsegment")
     feed = _feed(
         orders.select(F.col("o_custkey").alias("key"), "o_orderkey", "o_orderdate", "o_orderpriority", "o_orderstatus"),
-        _with_nation(customers.select(F.col("c_custkey").alias("key"), "c_nationkey", "c_mktsegment"), nation, "c_nationkey"),
+        _with_nation(owners, nation, "c_nationkey"),
         customers.count(),
         ["o_orderkey"],
     )
@@ -120,7 +121,12 @@ def raw_products(
     items = _between(_table(spark, sf_dir, "lineitem"), "l_shipdate", since, until)
     feed = _feed(
         items.select(
-            F.col("l_partkey").alias("key"), "l_orderkey", "l_linenumber", "l_shipdate", "l_returnflag", "l_extendedprice"
+            F.col("l_partkey").alias("key"),
+            "l_orderkey",
+            "l_linenumber",
+            "l_shipdate",
+            "l_returnflag",
+            "l_extendedprice",
         ),
         parts.select(F.col("p_partkey").alias("key"), "p_name", "p_type", "p_size"),
         parts.count(),

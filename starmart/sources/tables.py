@@ -15,8 +15,9 @@ from starmart.sources.contracts import TABLES, relaxed
 ROW_LEVEL_FORMATS = ("iceberg", "delta")
 
 
-def create_namespace(spark: SparkSession, namespace: str) -> None:
-    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace}")
+def create_namespace(spark: SparkSession, namespace: str, location: str | None = None) -> None:
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace}{where}")
 
 
 def create_table(
@@ -31,10 +32,11 @@ def create_table(
 
 def ensure_tables(spark: SparkSession, cfg: MartConfig) -> None:
     """Namespace and empty mart tables, where they do not exist yet."""
-    create_namespace(spark, cfg.namespace)
+    base = None if cfg.table_format in ROW_LEVEL_FORMATS else cfg.warehouse.rstrip("/")
+    create_namespace(spark, cfg.namespace, base)
     for name, schema in TABLES.items():
-        location = None if cfg.table_format in ROW_LEVEL_FORMATS else f"{cfg.warehouse.rstrip('/')}/{name}/initial"
-        create_table(spark, cfg.table(name), schema if cfg.strict else relaxed(schema), cfg.table_format, location)
+        schema = schema if cfg.strict else relaxed(schema)
+        create_table(spark, cfg.table(name), schema, cfg.table_format, base and f"{base}/{name}/initial")
 
 
 def current_namespace(spark: SparkSession) -> str:
