@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starmart.config import Calendar
 from starmart.functions.dates import UNKNOWN_DATE_KEY, calendar_columns, day_ordinal
+from starmart.functions.keys import null_safe_eq
 from starmart.operators.scd2 import DimensionSpec
 from starmart.sources.contracts import DIM_CUSTOMER, DIM_DATE, DIM_PRODUCT, DIM_SELLER, conform
 
@@ -101,4 +102,5 @@ def calendar_dimension(spark: SparkSession, calendar: Calendar) -> DataFrame:
 def attach_date_key(df: DataFrame, dates: DataFrame, column: str, key: str) -> DataFrame:
     """Date key by NULL-safe left join; ``dates`` has one row per calendar day, so its size is bounded."""
     role = dates.select(F.col("date").alias(f"_{key}_date"), F.col("date_key").alias(key))
-    return df.join(F.broadcast(role), F.col(column).eqNullSafe(F.col(f"_{key}_date")), "left").drop(f"_{key}_date")
+    same_day = null_safe_eq(F.col(column), F.col(f"_{key}_date"))
+    return df.join(F.broadcast(role), same_day, "left").drop(f"_{key}_date")

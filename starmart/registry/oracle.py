@@ -143,7 +143,7 @@ def _staged(name: str, alias: str, condition: str) -> str:
   QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY {order}) = 1)"""
 
 
-def _history(name: str, prefix: str = "") -> str:
+def _history(name: str) -> str:
     """CTEs from the raw feed to the dimension after both batches."""
     raw, key, columns, tracked = DIMENSIONS[name]
     attributes = ", ".join(columns.values())
@@ -151,28 +151,27 @@ def _history(name: str, prefix: str = "") -> str:
     new = f"""SELECT sha256(s.{key} || '||' || CAST(s.updated_date AS VARCHAR)) AS {name}_sk, s.{key},
     {', '.join(f's.{c}' for c in columns.values())}, s.updated_date AS effective_from,
     CAST(NULL AS DATE) AS effective_to, true AS is_current"""
-    p = f"{prefix}{name}"
     return f"""{raw},
-{_staged(name, f'{p}_stg1', f'updated_date > {FLOOR} AND updated_date < {FIRST_RUN}')},
-{p}_dim1 AS ({new} FROM {p}_stg1 s),
-{p}_watermark AS (SELECT coalesce(max(effective_to), {FLOOR}) AS max_date FROM {p}_dim1),
-{_staged(name, f'{p}_stg2', f'updated_date >= {FIRST_RUN} AND updated_date > (SELECT max_date FROM {p}_watermark)')},
-{p}_new AS ({new}
-  FROM {p}_stg2 s FULL JOIN {p}_dim1 d ON s.{key} = d.{key} AND d.is_current
+{_staged(name, f'{name}_stg1', f'updated_date > {FLOOR} AND updated_date < {FIRST_RUN}')},
+{name}_dim1 AS ({new} FROM {name}_stg1 s),
+{name}_watermark AS (SELECT coalesce(max(effective_to), {FLOOR}) AS max_date FROM {name}_dim1),
+{_staged(name, f'{name}_stg2', f'updated_date >= {FIRST_RUN} AND updated_date > (SELECT max_date FROM {name}_watermark)')},
+{name}_new AS ({new}
+  FROM {name}_stg2 s FULL JOIN {name}_dim1 d ON s.{key} = d.{key} AND d.is_current
   WHERE (d.{key} IS NULL OR {changed}) AND s.{key} IS NOT NULL),
-{p}_expired AS (
+{name}_expired AS (
   SELECT d.{name}_sk, d.{key}, {', '.join(f'd.{c}' for c in columns.values())}, d.effective_from,
     {SECOND_RUN} - 1 AS effective_to, false AS is_current
-  FROM {p}_stg2 s JOIN {p}_dim1 d ON s.{key} = d.{key} AND d.is_current WHERE {changed}),
-{p}_delta AS (SELECT * FROM {p}_new UNION ALL SELECT * FROM {p}_expired),
-dim_{p} AS (
+  FROM {name}_stg2 s JOIN {name}_dim1 d ON s.{key} = d.{key} AND d.is_current WHERE {changed}),
+{name}_delta AS (SELECT * FROM {name}_new UNION ALL SELECT * FROM {name}_expired),
+dim_{name} AS (
   SELECT t.{name}_sk, t.{key}, {', '.join(f't.{c}' for c in columns.values())}, t.effective_from,
     CASE WHEN c.{name}_sk IS NOT NULL AND t.is_current THEN c.effective_to ELSE t.effective_to END AS effective_to,
     CASE WHEN c.{name}_sk IS NOT NULL AND t.is_current THEN c.is_current ELSE t.is_current END AS is_current
-  FROM {p}_dim1 t LEFT JOIN {p}_delta c ON t.{name}_sk = c.{name}_sk
+  FROM {name}_dim1 t LEFT JOIN {name}_delta c ON t.{name}_sk = c.{name}_sk
   UNION ALL
-  SELECT {name}_sk, {key}, {attributes}, effective_from, effective_to, is_current FROM {p}_delta
-  WHERE {name}_sk NOT IN (SELECT {name}_sk FROM {p}_dim1))"""
+  SELECT {name}_sk, {key}, {attributes}, effective_from, effective_to, is_current FROM {name}_delta
+  WHERE {name}_sk NOT IN (SELECT {name}_sk FROM {name}_dim1))"""
 
 
 def _as_of(events: str, name: str) -> str:

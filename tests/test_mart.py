@@ -109,7 +109,7 @@ def test_ensure_tables_keeps_what_exists(spark, tmp_path):
     load_table(dim_customers(spark, [("k", "a", "x", D(2020, 1, 1), None, True)]), cfg.table("dim_customer"), "append")
     ensure_tables(spark, cfg)
     assert read_table(spark, cfg.table("dim_customer")).count() == 1
-    assert [f.name for f in read_table(spark, cfg.table("fact_order_summary")).schema] == TABLES["fact_order_summary"].fieldNames()
+    assert read_table(spark, cfg.table("fact_order_summary")).columns == TABLES["fact_order_summary"].names
 
 
 def test_snapshot_may_read_its_own_table(spark, tmp_path):
@@ -128,7 +128,8 @@ def test_failed_snapshot_leaves_the_table(spark, tmp_path):
     cfg = config(tmp_path, "failed")
     ensure_tables(spark, cfg)
     table = cfg.table("dim_customer")
-    switch_snapshot(dim_customers(spark, [("k", "a", "x", D(2020, 1, 1), None, True)]), table, f"{cfg.warehouse}/dim_customer")
+    first = dim_customers(spark, [("k", "a", "x", D(2020, 1, 1), None, True)])
+    switch_snapshot(first, table, f"{cfg.warehouse}/dim_customer")
     broken = enforce_contract(read_table(spark, table).withColumn("state", F.lit(None).cast("string")), DIM_CUSTOMER)
     with pytest.raises(Exception, match="NULL in NOT NULL column state"):
         switch_snapshot(broken, table, f"{cfg.warehouse}/dim_customer")

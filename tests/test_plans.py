@@ -1,7 +1,5 @@
 """Shape of the physical plans."""
 
-import re
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -60,9 +58,11 @@ def test_totals_share_the_item_shuffle(spark, conf):
 
 def test_scans_read_only_what_they_need(spark):
     plan = plan_of(QUERIES["stg_orders"](spark, SF_DIR))
-    assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string,o_orderdate:timestamp_ntz>" in plan
+    columns = "o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string,o_orderdate:timestamp_ntz"
+    assert f"ReadSchema: struct<{columns}>" in plan
     plan = plan_of(QUERIES["pit_join_customer"](spark, SF_DIR))
-    assert re.search(r"ReadSchema: struct<customer_sk:string,customer_id:string,effective_from:date,effective_to:date,is_cur", plan)
+    columns = "customer_sk:string,customer_id:string,effective_from:date,effective_to:date,is_cur"
+    assert f"ReadSchema: struct<{columns}" in plan
 
 
 def test_filters_reach_the_scan(spark):

@@ -71,9 +71,8 @@ def test_left_and_full_outer_forms_agree(spark):
     rng = random.Random(7)
     as_of = START + dt.timedelta(days=60)
     raw = [raw_customers(spark, random_batch(rng, START + dt.timedelta(days=30 * n), 30)) for n in range(2)]
-    dimension = store(
-        load_dimension(CUSTOMER, raw[0], empty_dimension(spark, CUSTOMER), START + dt.timedelta(days=30), FLOOR, store), "d"
-    )
+    nothing, first_run = empty_dimension(spark, CUSTOMER), START + dt.timedelta(days=30)
+    dimension = store(load_dimension(CUSTOMER, raw[0], nothing, first_run, FLOOR, store), "dim_customer")
     staged = stage_dimension(CUSTOMER, raw[1], F.lit(FLOOR))
     s, d = staged.alias("s"), dimension.alias("d")
     both = s.join(d, [F.col("s.customer_id") == F.col("d.customer_id"), F.col("d.is_current")], "fullouter")

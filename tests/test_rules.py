@@ -66,7 +66,8 @@ def test_watermark_is_strict_and_floored(spark):
 
 
 def test_late_rows_behind_the_watermark_are_dropped(spark):
-    first = load(spark, raw_customers(spark, [("a", "x", D(2020, 1, 5))]), empty_dimension(spark, CUSTOMER), D(2020, 1, 6))
+    nothing = empty_dimension(spark, CUSTOMER)
+    first = load(spark, raw_customers(spark, [("a", "x", D(2020, 1, 5))]), nothing, D(2020, 1, 6))
     second = load(spark, raw_customers(spark, [("a", "y", D(2020, 2, 5))]), first, D(2020, 3, 1))
     third = load(spark, raw_customers(spark, [("b", "x", D(2020, 2, 20))]), second, D(2020, 3, 2))
     assert rows_of(third, "customer_id").count(("b",)) == 0
@@ -99,12 +100,19 @@ def test_ties_are_settled_by_every_column(spark):
 
 def test_order_copies_do_not_multiply_items(spark):
     orders = spark.createDataFrame(
-        [("1", "c", D(2020, 1, 2), None, None, None, None, "F"), ("1", "c", D(2020, 1, 1), None, None, None, None, "O")],
+        [
+            ("1", "c", D(2020, 1, 2), None, None, None, None, "F"),
+            ("1", "c", D(2020, 1, 1), None, None, None, None, "O"),
+        ],
         RAW_ORDER,
     )
     price = Decimal("1.00")
     items = spark.createDataFrame(
-        [("1", "1", "p", "s", price, price, None), ("1", "1", "o", "s", price, price, None), ("9", "1", "p", "s", price, price, None)],
+        [
+            ("1", "1", "p", "s", price, price, None),
+            ("1", "1", "o", "s", price, price, None),
+            ("9", "1", "p", "s", price, price, None),
+        ],
         RAW_ITEM,
     )
     for broadcast_rows in (100, 0):
@@ -115,7 +123,11 @@ def test_order_copies_do_not_multiply_items(spark):
 
 def test_missing_purchase_date_is_the_earliest(spark):
     orders = spark.createDataFrame(
-        [("1", "c", D(2020, 1, 2), None, None, None, None, "F"), ("1", "c", None, None, None, None, None, "F")], RAW_ORDER
+        [
+            ("1", "c", D(2020, 1, 2), None, None, None, None, "F"),
+            ("1", "c", None, None, None, None, None, "F"),
+        ],
+        RAW_ORDER,
     )
     items = spark.createDataFrame([("1", "1", "p", "s", None, None, None)], RAW_ITEM)
     assert rows_of(stage_orders(orders), "order_date") == [(None,)]
@@ -157,7 +169,8 @@ def test_null_hides_a_change(spark, old, new):
 
 
 def test_any_differs_is_three_valued(spark):
-    df = spark.createDataFrame([(1, 1, 2, 3), (1, None, 2, 2), (1, None, 2, 3), (1, 1, 2, 2)], "a int, b int, c int, d int")
+    rows = [(1, 1, 2, 3), (1, None, 2, 2), (1, None, 2, 3), (1, 1, 2, 2)]
+    df = spark.createDataFrame(rows, "a int, b int, c int, d int")
     out = df.select(any_differs([(F.col("a"), F.col("b")), (F.col("c"), F.col("d"))]))
     assert [r[0] for r in out.collect()] == [True, None, True, False]
 
@@ -180,10 +193,8 @@ def test_untracked_attributes_follow_tracked_ones(spark):
 
 def test_keys_missing_from_the_source_stay_current(spark):
     dimension = dim_customers(spark, [("k", "a", "x", D(2020, 1, 1), None, True)])
-    assert rows_of(load(spark, raw_customers(spark, [("b", "y", D(2020, 5, 1))]), dimension, D(2020, 5, 2)), "customer_id", "is_current") == [
-        ("a", True),
-        ("b", True),
-    ]
+    loaded = load(spark, raw_customers(spark, [("b", "y", D(2020, 5, 1))]), dimension, D(2020, 5, 2))
+    assert rows_of(loaded, "customer_id", "is_current") == [("a", True), ("b", True)]
 
 
 def test_same_batch_twice_changes_nothing(spark):
@@ -196,10 +207,8 @@ def test_change_with_unchanged_update_date_is_ambiguous(spark):
     """The new version gets the key of the old one, so two source rows match one target row."""
     day = D(2020, 1, 5)
     dimension = dim_customers(spark, [(sk("a", day), "a", "x", day, None, True)])
-    changes = store(
-        scd2_changes(CUSTOMER, stage_dimension(CUSTOMER, raw_customers(spark, [("a", "y", day)]), F.lit(FLOOR)), dimension, D(2020, 2, 1)),
-        "changes",
-    )
+    staged = stage_dimension(CUSTOMER, raw_customers(spark, [("a", "y", day)]), F.lit(FLOOR))
+    changes = store(scd2_changes(CUSTOMER, staged, dimension, D(2020, 2, 1)), "changes")
     assert rows_of(changes, "customer_sk") == [(sk("a", day),)] * 2
     with pytest.raises(Exception, match="several source rows match"):
         apply_changes(CUSTOMER, dimension, changes).collect()
@@ -211,7 +220,8 @@ def test_key_with_closed_versions_only(spark):
     dimension = dim_customers(spark, [(sk("a", day), "a", "x", day, D(2020, 2, 1), False)])
     for date, rows in ((D(2020, 3, 1), 2), (day, 1)):
         staged = stage_dimension(CUSTOMER, raw_customers(spark, [("a", "x", date)]), F.lit(FLOOR))
-        merged = apply_changes(CUSTOMER, dimension, store(scd2_changes(CUSTOMER, staged, dimension, D(2020, 4, 1)), "c"))
+        changes = store(scd2_changes(CUSTOMER, staged, dimension, D(2020, 4, 1)), "changes")
+        merged = apply_changes(CUSTOMER, dimension, changes)
         assert merged.count() == rows
         assert merged.filter("is_current").count() == rows - 1
 
@@ -220,7 +230,13 @@ def test_merge_upsert_rules(spark):
     schema = "sk string, v string, effective_to date, is_current boolean"
     target = spark.createDataFrame([("a", "1", None, True), ("b", "1", None, False), ("c", "1", None, True)], schema)
     source = spark.createDataFrame(
-        [("a", "2", D(2020, 1, 1), False), ("b", "2", D(2020, 1, 1), True), ("n", "2", None, True), ("n", "3", None, True), (None, "4", None, True)],
+        [
+            ("a", "2", D(2020, 1, 1), False),
+            ("b", "2", D(2020, 1, 1), True),
+            ("n", "2", None, True),
+            ("n", "3", None, True),
+            (None, "4", None, True),
+        ],
         schema,
     )
     merged = merge_upsert(target, source, "sk", F.col("is_current"), ["effective_to", "is_current"])
@@ -251,9 +267,15 @@ def point_in_time(spark, versions, dates):
     ("run", "expected"),
     [
         # Run the day after the update: versions meet.
-        (D(2020, 6, 11), [(D(2020, 6, 8), "k1"), (D(2020, 6, 9), "k1"), (D(2020, 6, 10), "k2"), (D(2020, 6, 11), "k2")]),
+        (
+            D(2020, 6, 11),
+            [(D(2020, 6, 8), "k1"), (D(2020, 6, 9), "k1"), (D(2020, 6, 10), "k2"), (D(2020, 6, 11), "k2")],
+        ),
         # Run on the day of the update: the day before is uncovered.
-        (D(2020, 6, 10), [(D(2020, 6, 8), "k1"), (D(2020, 6, 9), None), (D(2020, 6, 10), "k2"), (D(2020, 6, 11), "k2")]),
+        (
+            D(2020, 6, 10),
+            [(D(2020, 6, 8), "k1"), (D(2020, 6, 9), None), (D(2020, 6, 10), "k2"), (D(2020, 6, 11), "k2")],
+        ),
         # Run days after the update: versions overlap and rows double.
         (
             D(2020, 6, 13),
@@ -278,7 +300,8 @@ def test_closing_date_follows_the_run(spark, run, expected):
 
 
 def test_event_before_the_first_version_has_no_key(spark):
-    assert point_in_time(spark, [("k", "a", "x", D(2020, 2, 1), None, True)], [D(2020, 1, 1)]) == [(D(2020, 1, 1), None)]
+    versions = [("k", "a", "x", D(2020, 2, 1), None, True)]
+    assert point_in_time(spark, versions, [D(2020, 1, 1)]) == [(D(2020, 1, 1), None)]
 
 
 def test_date_keys(spark):
@@ -286,7 +309,7 @@ def test_date_keys(spark):
     df = spark.createDataFrame([(d,) for d in days], "day date")
     dates = calendar_dimension(spark, CALENDAR)
     out = attach_date_key(df, dates, "day", "joined").withColumn("computed", date_key(F.col("day"), CALENDAR))
-    want = [(None, 0, 0), (D(2019, 12, 31), None, None), (D(2020, 1, 1), 1, 1), (D(2020, 12, 31), 366, 366), (D(2021, 1, 1), None, None)]
+    want = [(day, key, key) for day, key in zip(days, [0, None, 1, 366, None], strict=True)]
     assert rows_of(out) == sorted(want, key=repr)
 
 
@@ -362,8 +385,9 @@ def test_item_fact(spark):
     orders = spark.createDataFrame([ORDER], RAW_ORDER)
     items = spark.createDataFrame([("1", "1", "p", "s", Decimal("1.50"), Decimal("0.10"), None)], RAW_ITEM)
     day = D(2020, 1, 1)
-    sellers = spark.createDataFrame([("sk", "s", day, None, True)], "seller_sk string, seller_id string, effective_from date, effective_to date, is_current boolean")
-    products = spark.createDataFrame([("pk", "q", day, None, True)], "product_sk string, product_id string, effective_from date, effective_to date, is_current boolean")
+    validity = "effective_from date, effective_to date, is_current boolean"
+    sellers = spark.createDataFrame([("sk", "s", day, None, True)], f"seller_sk string, seller_id string, {validity}")
+    products = spark.createDataFrame([("pk", "q", day, None, True)], f"product_sk string, product_id string, {validity}")
     fact = fact_order_items(stage_order_items(items, orders), sellers, products, CALENDAR)
     assert rows_of(fact) == [("sk", None, "1", "1", Decimal("1.50"), Decimal("0.10"), 61, 0)]
 

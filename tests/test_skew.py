@@ -36,7 +36,8 @@ def versions(spark):
         rows.append((f"{key}-a", str(key), D(2020, 1, 11), D(2020, 2, 1), False))
         rows.append((f"{key}-b", str(key), D(2020, 1, 21), D(2020, 2, 11), False))
         rows.append((f"{key}-c", str(key), D(2020, 2, 11), None, True))
-    return spark.createDataFrame(rows, "sk string, k string, effective_from date, effective_to date, is_current boolean")
+    schema = "sk string, k string, effective_from date, effective_to date, is_current boolean"
+    return spark.createDataFrame(rows, schema)
 
 
 def brute_force(events, versions):
@@ -113,7 +114,8 @@ def test_items_of_a_hot_order(spark, conf, monkeypatch):
         F.lit(None).cast("date").alias("shipping_limit_date"),
     )
     orders = spark.range(0, 1200).select(
-        (n % 600).cast("string").alias("order_id"), F.date_add(F.lit(DAY), (n % 50).cast("int")).alias("order_purchase_date")
+        (n % 600).cast("string").alias("order_id"),
+        F.date_add(F.lit(DAY), (n % 50).cast("int")).alias("order_purchase_date"),
     )
     dates, lowest = {}, {}
     for o, d in rows_of(orders):
