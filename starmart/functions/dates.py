@@ -22,8 +22,8 @@ def calendar_columns(date: Column) -> dict[str, Column]:
         "quarter": F.quarter(date),
         "day_of_year": F.dayofyear(date),
         "is_month_end": F.last_day(date) == date,
-        "is_month_start": F.dayofmonth(date) == 1,
-        "is_weekend": F.when(F.col("day_of_week").isin(1, 7), True).otherwise(False),
+        "is_month_start": F.trunc(date, "month") == date,
+        "is_weekend": F.col("day_of_week").isin(1, 7),
     }
 
 

@@ -11,6 +11,7 @@ from starmart.functions.keys import null_safe_eq
 from starmart.operators.scd2 import DimensionSpec
 from starmart.sources.contracts import DIM_CUSTOMER, DIM_DATE, DIM_PRODUCT, DIM_SELLER, conform
 
+# Columns of the sources and their names in the mart.
 CUSTOMER = DimensionSpec(
     table="dim_customer",
     source="customers",
@@ -73,9 +74,7 @@ def empty_dimension(spark: SparkSession, spec: DimensionSpec) -> DataFrame:
 def date_spine(bounds: DataFrame) -> DataFrame:
     """One row per day from ``start_date`` to ``end_date`` of a one-row frame, both included."""
     start, end = F.col("start_date").cast("date"), F.col("end_date").cast("date")
-    return bounds.select(
-        start.alias("start_date"), F.explode(F.sequence(start, end, F.expr("interval 1 day"))).alias("date")
-    )
+    return bounds.select(start.alias("start_date"), F.explode(F.sequence(start, end)).alias("date"))
 
 
 def date_dimension(bounds: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from starmart.operators.dedup import keep_first
 from starmart.operators.lookup import BROADCAST_ROWS, hot_keys_unless_small, lookup_join
 
+# Columns of the sources, their staged names and order.
 ORDER_RENAMES = {
     "order_purchase_date": "order_date",
     "order_approved_at": "order_approved_date",

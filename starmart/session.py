@@ -17,7 +17,4 @@ DEFAULTS = {
 def get_or_create_spark_session(
     app_name: str = "starmart", config: Mapping[str, str] | None = None
 ) -> SparkSession:
-    builder = SparkSession.builder.appName(app_name)
-    for key, value in {**DEFAULTS, **(config or {})}.items():
-        builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return SparkSession.builder.appName(app_name).config(map={**DEFAULTS, **(config or {})}).getOrCreate()

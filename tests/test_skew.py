@@ -10,8 +10,10 @@ from starmart.operators.dedup import keep_first
 from starmart.operators.lookup import hot_keys, hot_keys_unless_small, lookup_join
 from starmart.operators.point_in_time import point_in_time_join
 from starmart.plans.staging import stage_order_items
+from starmart.sources import retail
 from tests.helpers import D, final_plan_of, rows_of
 
+SF_DIR = "/root/testdata/sf0.001"
 ROWS = 6000
 DAY = D(2020, 1, 1)
 
@@ -94,6 +96,14 @@ def test_hot_key_is_spread_over_tasks(spark, conf, events, versions):
     assert sum(tasks[True]) == sum(tasks[False])
 
 
+@pytest.mark.parametrize("feed", [retail.raw_customers, retail.raw_sellers, retail.raw_products])
+def test_feeds_by_every_join(spark, monkeypatch, feed):
+    want = rows_of(feed(spark, SF_DIR))
+    for hot in ({}, {1: 4, 5: 2, None: 2}):
+        monkeypatch.setattr(retail, "hot_keys_unless_small", lambda *_, hot=hot: hot)
+        assert rows_of(feed(spark, SF_DIR)) == want
+
+
 def test_hot_group_collapses_before_the_shuffle(spark, events):
     plan = final_plan_of(keep_first(events, ["k"], ["day"]))
     assert "Partial" in plan.split("Exchange")[-1]
