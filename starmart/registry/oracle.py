@@ -319,8 +319,9 @@ FROM customer_stg2 s JOIN customer_dim1 d ON s.customer_id = d.customer_id""",
         "stg_order_items": _with(*RAW, STG_ITEMS, select="SELECT * FROM stg_order_items"),
         "join_inner_items_orders": _with(
             *RAW,
-            select="""SELECT i.*, o.order_purchase_date FROM raw_order_items i
-JOIN raw_orders o ON i.order_id = o.order_id""",
+            select="""SELECT i.*, o.order_date FROM raw_order_items i
+JOIN (SELECT order_id, min(order_purchase_date) AS order_date FROM raw_orders GROUP BY order_id) o
+  ON i.order_id = o.order_id""",
         ),
         "agg_order_items": _with(*RAW, STG_ITEMS, ORDER_TOTALS, select="SELECT * FROM order_totals"),
         "join_left_order_agg": _with(
