@@ -75,10 +75,15 @@ def _first_load(spec: DimensionSpec, spark: SparkSession, sf_dir: str) -> DataFr
     return store(scd2_changes(spec, stage_dimension(spec, raw, _floor()), empty, FIRST_RUN), spec.table)
 
 
+def _second_raw(spec: DimensionSpec, spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Raw rows of the second batch, and the dimension they meet."""
+    return together(
+        partial(FEEDS[spec.table], spark, sf_dir, since=FIRST_RUN), partial(_first_load, spec, spark, sf_dir)
+    )
+
+
 def _second_batch(spec: DimensionSpec, spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Staged rows of the second batch, and the dimension they meet."""
-    dimension = _first_load(spec, spark, sf_dir)
-    raw = FEEDS[spec.table](spark, sf_dir, since=FIRST_RUN)
+    raw, dimension = _second_raw(spec, spark, sf_dir)
     return stage_dimension(spec, raw, high_watermark(dimension, FLOOR).scalar()), dimension
 
 
@@ -101,8 +106,7 @@ def _merged(spec: DimensionSpec, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _loaded(spec: DimensionSpec, spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = FEEDS[spec.table](spark, sf_dir, since=FIRST_RUN)
-    return load_dimension(spec, raw, _first_load(spec, spark, sf_dir), SECOND_RUN, FLOOR, store)
+    return load_dimension(spec, *_second_raw(spec, spark, sf_dir), SECOND_RUN, FLOOR, store)
 
 
 def _dimension(spec: DimensionSpec, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -320,10 +324,10 @@ def pit_join_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pit_join_items(spec: DimensionSpec, spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = stg_order_items(spark, sf_dir).select("order_id", "order_item_id", spec.key, "order_date")
+    items, dimension = together(partial(stg_order_items, spark, sf_dir), partial(_dimension, spec, spark, sf_dir))
     return point_in_time_join(
-        items,
-        _dimension(spec, spark, sf_dir),
+        items.select("order_id", "order_item_id", spec.key, "order_date"),
+        dimension,
         spec.key,
         "order_date",
         spec.sk,
@@ -336,9 +340,12 @@ def _pit_join_items(spec: DimensionSpec, spark: SparkSession, sf_dir: str) -> Da
 
 
 def order_items_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sellers, products = together(*[partial(_dimension, spec, spark, sf_dir) for spec in (SELLER, PRODUCT)])
+    items, sellers, products = together(
+        partial(stg_order_items, spark, sf_dir),
+        *[partial(_dimension, spec, spark, sf_dir) for spec in (SELLER, PRODUCT)],
+    )
     return fact_order_items(
-        stg_order_items(spark, sf_dir),
+        items,
         sellers,
         products,
         CALENDAR,
@@ -347,10 +354,15 @@ def order_items_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_summary_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders, items, customers = together(
+        partial(stg_orders, spark, sf_dir),
+        partial(stg_order_items, spark, sf_dir),
+        partial(_dimension, CUSTOMER, spark, sf_dir),
+    )
     return fact_order_summary(
-        stg_orders(spark, sf_dir),
-        stg_order_items(spark, sf_dir),
-        _dimension(CUSTOMER, spark, sf_dir),
+        orders,
+        items,
+        customers,
         CALENDAR,
         raw_orders=retail.raw_orders(spark, sf_dir),
     )
