@@ -137,3 +137,12 @@ def test_items_of_a_hot_order(spark, conf, monkeypatch):
         monkeypatch.setattr(lookup, "hot_keys", found)
         staged = stage_order_items(items, orders, broadcast_rows=0)
         assert rows_of(staged, "order_id", "order_item_id", "product_id", "order_date") == want
+
+
+def test_hot_keys_of_nothing(spark):
+    nothing = spark.createDataFrame([], "k string")
+    assert hot_keys(nothing, "k", 8) == {}
+    blank = spark.createDataFrame([(None,)] * 20, "k string")
+    assert hot_keys(blank, "k", 8) == {None: 8}
+    dates = spark.createDataFrame([(DAY,)] * 20, "k date")
+    assert hot_keys(dates, "k", 8) == {DAY: 8}
