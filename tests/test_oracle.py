@@ -4,10 +4,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from starmart.registry.oracle import all_oracles
+from starmart.registry.queries import all_queries
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry_point.queries()
-ORACLES = entry_point.oracle_sql()
+QUERIES = all_queries()
+ORACLES = all_oracles()
 TYPES = {
     "string": "VARCHAR",
     "int": "INTEGER",
