@@ -12,6 +12,7 @@ their text, equal rows each have their own entry; an empty table gives no blocks
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 import zlib
@@ -27,7 +28,9 @@ from starmart.sources.files import new_location
 
 BLOCK_IDS = 1 << 18
 # Words that a task remembers the ids of; the others are encoded again in each slice.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
+# Between a letter or number and a mark or line end, and behind a single line end: always between pre-tokens.
+_CUT = re.compile(r"(?<=[^\W_])(?=[.,\n])|(?<=[^\W_]\n|[.,]\n)(?=[^\W_])")
 # A space that ends the text or that white space follows.
 _GAP = re.compile(r" (?=\s|\Z)")
 BLOCK = (
@@ -50,7 +53,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.size = self.tokenizer.get_vocab_size()
-        self.known: dict[str, bytes] = {}
+        self.known = _Ids()
 
     def pieces(self, text: str) -> list[str]:
         cut = self._careful(text) if _GAP.search(text) else text.split(" ")
@@ -72,16 +75,33 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit numbers."""
         cuts = [self.pieces(t) for t in texts]
-        needed = set().union(*cuts)
-        fresh = list(needed.difference(self.known))
+        pieces = {p: _CUT.split(p) for p in set().union(*cuts).difference(self.known)}
+        fresh = list(set().union(*pieces.values()).difference(self.known))
         found = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-        ids = {p: np.array(e.ids, np.uint32).tobytes() for p, e in zip(fresh, found, strict=True)}
-        if len(self.known) < REMEMBERED:
-            self.known.update(ids)
-            ids = self.known
-        else:
-            ids |= {p: self.known[p] for p in needed if p in self.known}
-        return [b"".join(map(ids.__getitem__, c)) for c in cuts]
+        new = {p: np.array(e.ids, np.uint32).tobytes() for p, e in zip(fresh, found, strict=True)}
+        known, self.known.rest = self.known, new
+        for piece, parts in pieces.items():
+            if len(parts) > 1:
+                new[piece] = b"".join([known[p] for p in parts])
+        out = [b"".join(map(known.__getitem__, c)) for c in cuts]
+        if len(known) < REMEMBERED:
+            known.update(new)
+        return out
+
+
+class _Ids(dict):
+    """Ids of remembered words; ``rest`` has those of the slice at hand."""
+
+    rest: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        return self.rest[piece]
+
+
+@functools.cache
+def encoder(path: str) -> Encoder:
+    """One encoder for a worker process; what it remembers serves the next task too."""
+    return Encoder(path)
 
 
 def width_of(vocabulary: int) -> int:
@@ -114,8 +134,8 @@ def unpack(payload: bytes, width: int, start: int, stop: int) -> np.ndarray:
 
 def _blocks(path: str, end_id: int, block_ids: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
-        width = width_of(encoder.size)
+        encode = encoder(path)
+        width = width_of(encode.size)
         end = np.array([end_id], np.uint32).tobytes()
         block, before, doc_ids, held, n, part = 0, 0, [], [], 0, 0
 
@@ -131,7 +151,7 @@ def _blocks(path: str, end_id: int, block_ids: int) -> Callable[[Iterator[pa.Rec
             if len(batch):
                 part = batch.column("part")[0].as_py()
             for doc_id, ids in zip(
-                batch.column("doc").field("doc_id").to_pylist(), encoder.encode(texts.to_pylist()), strict=True
+                batch.column("doc").field("doc_id").to_pylist(), encode.encode(texts.to_pylist()), strict=True
             ):
                 doc_ids.append(doc_id)
                 held.append(ids + end)
