@@ -72,7 +72,7 @@ def write_shards(docs: DataFrame, shards: int = 8, seed: int = SEED, bucket_byte
 
 
 def read_shards(docs: DataFrame, path: str) -> DataFrame:
-    """``doc`` (all columns), ``shard`` and ``slot`` of every written record."""
+    """Every written record: ``doc`` (all columns), ``shard``, ``bucket`` and ``place`` in the bucket."""
     schema = StructType(
         [
             StructField("doc", StructType(docs.schema.fields)),
@@ -81,22 +81,29 @@ def read_shards(docs: DataFrame, path: str) -> DataFrame:
             StructField("shard", IntegerType()),
         ]
     )
-    rows = docs.sparkSession.read.schema(schema).parquet(path)
-    sizes = rows.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    return docs.sparkSession.read.schema(schema).parquet(path)
+
+
+def with_slots(records: DataFrame) -> DataFrame:
+    """Adds ``slot``, the place in the shard; pass only the columns that are needed, the rows are shuffled."""
+    sizes = records.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    return rows.join(starts, ["shard", "bucket"]).select("doc", "shard", (F.col("start") + F.col("place")).alias("slot"))
+    slots = records.join(starts, ["shard", "bucket"]).withColumn("slot", F.col("start") + F.col("place"))
+    return slots.drop("bucket", "place", "start")
 
 
-def digest(written: DataFrame, shards: int = 8, seed: int = SEED) -> DataFrame:
+def digest(records: DataFrame, shards: int = 8, seed: int = SEED) -> DataFrame:
     """One row of figures per document, from the written records."""
     text = F.col("doc.text")
-    return written.select(
+    figures = records.select(
         F.col("doc.doc_id").alias("doc_id"),
         (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("bigint").alias("size"),
         F.coalesce(F.crc32(text), F.lit(0)).cast("bigint").alias("text_crc32"),
         F.lit("key").alias("law"),
         "shard",
-        "slot",
         shard_of(F.col("doc.doc_id"), shards + 1, seed).cast("int").alias("grown_shard"),
+        "bucket",
+        "place",
     )
+    return with_slots(figures)
