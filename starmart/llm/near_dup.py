@@ -7,9 +7,10 @@ under that distance are found; more distant ones mostly too (9 chunks of 5, one
 meets with probability 1 - 6e-6). Links are confirmed on the full shingle sets.
 
 Documents with the same set form a class, and only one of it is indexed. Under a key every class is compared with the
-key's smallest one; after that, pairs are formed only between classes of one key that are not yet connected, so a key
-that a third of all classes share costs one comparison each once they hang together, and no link that could connect
-anything goes unchecked.
+key's smallest one. In further rounds, each key that still has several components compares one drawn class with all that
+are not connected with it, while that links a tenth of what it compares. The rest are compared class by class where two
+unconnected ones of the open keys share one of their rarest shingles, without which they cannot be similar enough. So a
+key that a third of all classes share costs a few comparisons each, and no link that could connect anything is missed.
 
 Defined results: words are `[^\\x20\\x09-\\x0D]+` with A-Z lower-cased; a text of fewer words than a shingle has is one
 shingle, a null or empty text has none and is linked with nothing. Rows are told apart by a row number, so repeated rows
@@ -181,6 +182,59 @@ def connected(edges: DataFrame, name: str = "component") -> DataFrame:
     )
 
 
+def _stars(open_: DataFrame, number: int) -> DataFrame:
+    """One class of each key, another one each time, with those that are not connected with it."""
+    drawn = F.struct(F.xxhash64("node", F.lit(number)).alias("draw"), "node", "component")
+    centers = open_.groupBy("key").agg(F.min(drawn).alias("center"))
+    met = open_.join(centers, "key").filter("component != center.component")
+    return met.select(
+        F.least("node", "center.node").alias("a"), F.greatest("node", "center.node").alias("b")
+    ).distinct()
+
+
+def _tokens(index: Index) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in slices(batches):
+            hashes, _, first = words(*flat(texts), SPACED)
+            grams, begin = _shingles(hashes, first, index.shingle)
+            sets = [np.unique(grams[a:b]) for a, b in itertools.pairwise(begin)]
+            nodes = np.repeat(batch.column("doc").field("node").to_numpy(), [len(s) for s in sets])
+            tokens = np.concatenate(sets).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(tokens)], names=["node", "token"])
+
+    return run
+
+
+def _across(open_: DataFrame, texts: DataFrame, index: Index) -> DataFrame:
+    """The pairs of unconnected open classes that share one of their rarest shingles.
+
+    Two sets of at least the wanted similarity share a shingle among the first ``n - ceil(similarity * n) + 1`` of each,
+    in any common order; in that of rarity, a class with too many shingles of its own meets nothing. Under a shingle,
+    only classes outside its most frequent component look for partners.
+    """
+    nodes = open_.select("node", "component").distinct()
+    tokens = packed(texts.join(nodes.select("node"), "node", "left_semi"))
+    tokens = store(tokens.mapInArrow(_tokens(index), "node bigint, token bigint"), "near_tokens")
+    seen = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    rarest = tokens.join(seen, "token").groupBy("node").agg(
+        F.sort_array(F.collect_list(F.struct("df", "token"))).alias("tokens"), F.count(F.lit(1)).alias("n")
+    )
+    needed = F.ceil(F.col("n") * index.similarity / 100)
+    rarest = rarest.select("node", "n", F.slice("tokens", 1, (F.col("n") - needed + 1).cast("int")).alias("tokens"))
+    rarest = rarest.select("node", "n", F.posexplode("tokens").alias("pos", "t")).filter("t.df > 1")
+    rarest = store(rarest.select("node", "n", "pos", F.col("t.token").alias("token")).join(nodes, "node"), "near_rarest")
+    most = rarest.groupBy("token", "component").agg(F.count(F.lit(1)).alias("c"))
+    most = most.groupBy("token").agg(F.max(F.struct("c", "component")).alias("most"), F.count(F.lit(1)).alias("k"))
+    few = rarest.join(most.filter("k > 1"), "token").filter("component != most.component")
+    x = few.select("token", *[F.col(c).alias(f"x_{c}") for c in ("node", "component", "n", "pos")])
+    y = rarest.select("token", *[F.col(c).alias(f"y_{c}") for c in ("node", "component", "n", "pos")])
+    # As many shingles must be common; behind the first common one, enough of them must be left in both.
+    common = F.ceil((F.col("x_n") + F.col("y_n")) * index.similarity / (100 + index.similarity))
+    enough = F.least(F.col("x_n") - F.col("x_pos"), F.col("y_n") - F.col("y_pos")) >= common
+    met = x.join(y, "token").filter((F.col("x_component") != F.col("y_component")) & enough)
+    return met.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, index: Index = Index()) -> DataFrame:
     """``doc`` (all columns of the row), ``rid``, ``n_shingles``, ``component_id`` and ``kept_row``: one row of each
     component has it, the first with the component's id."""
@@ -202,29 +256,36 @@ def near_duplicates(docs: DataFrame, index: Index = Index()) -> DataFrame:
     texts = signed.select(F.col("rid").alias("node"), F.col("doc.text").alias("text"))
     texts = store(texts.join(wanted, "node", "left_semi"), "near_texts")
 
-    def confirmed(pairs: DataFrame, name: str) -> DataFrame:
+    def confirmed(pairs: DataFrame) -> DataFrame:
         left = texts.withColumnsRenamed({"node": "a", "text": "text_a"})
         right = texts.withColumnsRenamed({"node": "b", "text": "text_b"})
         both = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
-        return store(both.mapInArrow(_confirm(index), "a bigint, b bigint"), name)
+        return store(both.mapInArrow(_confirm(index), "a bigint, b bigint"), "near_links")
 
     stars = shared.filter("node != center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
-    stars = store(stars, "near_stars")
-    links = confirmed(stars, "near_links")
-    joined = connected(links)
-
-    loose = shared.join(joined, "node", "left").select(
-        "key", "node", "center", F.coalesce("component", "node").alias("component")
-    )
-    split = loose.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_ = store(
-        loose.join(split.filter("low != high").select("key"), "key", "left_semi").filter("node != center"), "near_open"
-    )
-    left = open_.select("key", F.col("node").alias("a"), F.col("component").alias("component_a"))
-    right = open_.select("key", F.col("node").alias("b"), F.col("component").alias("component_b"))
-    across = left.join(right, "key").filter("a < b AND component_a != component_b").select("a", "b").distinct()
-    across = confirmed(across.join(stars, ["a", "b"], "left_anti"), "near_across")
-    joined = connected(links.union(across))
+    tried = store(stars, "near_stars")
+    joined = connected(confirmed(tried))
+    open_, number, last = shared.select("key", "node"), 0, False
+    while not last:
+        loose = open_.join(joined, "node", "left").select(
+            "key", "node", F.coalesce("component", "node").alias("component")
+        )
+        n = loose.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+        keyed = n.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"))
+        keyed = store(keyed.filter("n * n > squares"), "near_open_keys")
+        rows, left = keyed.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("squares")) / 2)).first()
+        if not rows:
+            break
+        open_ = store(loose.join(keyed.select("key"), "key", "left_semi"), "near_open")
+        number += 1
+        last = left <= rows or number > 1 and 10 * linked < tries
+        pairs = _across(open_, texts, index) if last else _stars(open_, number)
+        pairs = store(pairs.join(tried, ["a", "b"], "left_anti"), "near_pairs")
+        tried = tried.union(pairs)
+        links = confirmed(pairs)
+        tries, linked = pairs.count(), links.count()
+        joined = connected(joined.select(F.col("component").alias("a"), F.col("node").alias("b")).union(links))
+        open_ = open_.select("key", "node")
 
     members = signed.select("rid", F.col("doc.doc_id").alias("doc_id"), *same).join(
         nodes.select(*same, "node"), same, "left"
