@@ -12,6 +12,7 @@ from starmart.llm import (
     near_dup,
     quality_model,
     quality_rules,
+    repeats,
     sharding,
     token_files,
 )
@@ -53,6 +54,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digest(token_files.read_blocks(spark, token_files.write_token_files(docs, vocabulary_path())))
 
 
+def op6_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest(repeats.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
 def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return sharding.digest(sharding.read_shards(docs, sharding.write_shards(docs)))
@@ -80,6 +85,7 @@ def all_queries() -> dict[str, Query]:
         "op1_decontaminate": op1_decontaminate,
         "op2_mix_sources": op2_mix_sources,
         "op4_token_files": op4_token_files,
+        "op6_remove_repeats": op6_remove_repeats,
         "op7_shard": op7_shard,
         "op8_near_duplicates": op8_near_duplicates,
         "op9_quality_score": op9_quality_score,
