@@ -36,7 +36,7 @@ REACH = LENGTH - GRAM  # bytes of context on either side of an anchor
 SIDE = 2 * REACH + GRAM
 STARTS = SIDE - LENGTH + 1
 # Text for each bucket, and contexts for each shard of a bucket.
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 8 << 20
 SHARD_CONTEXTS = 1_000
 LAST = (1 << 63) - 1
 
@@ -73,7 +73,8 @@ def anchors(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
     if not places:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     place, first = np.unique(np.concatenate(places), return_index=True)
-    return place, np.concatenate(hashes)[first]
+    # Minima are small numbers: hashed again, they spread evenly.
+    return place, mix(np.concatenate(hashes)[first])
 
 
 def _deal(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -214,9 +215,10 @@ def merge(shards: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]
     A pass lists the symbols in the order so far and stably moves every suffix behind the symbol before it; suffixes of
     one block and one symbol form the next block.
     """
-    z = np.repeat(np.arange(len(shards), dtype=np.uint16 if len(shards) < 1 << 16 else np.uint32), list(map(len, shards)))
+    narrow = np.uint16 if len(shards) < 1 << 16 else np.uint32
+    z = np.repeat(np.arange(len(shards), dtype=narrow), list(map(len, shards)))
     symbols = np.concatenate(shards)
-    block = np.zeros(len(z), np.int64)
+    block = np.zeros(len(z), np.uint32)
     for _ in range(depth):
         c = np.empty(len(z), np.uint8)
         c[np.argsort(z, kind="stable")] = symbols
@@ -224,7 +226,7 @@ def merge(shards: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]
         z, c, block = z[order], c[order], block[order]
         new = np.zeros(len(z), bool)
         new[1:] = (c[1:] != c[:-1]) | (block[1:] != block[:-1])
-        block = np.cumsum(new)
+        block = np.cumsum(new, dtype=np.uint32)
     return z, block
 
 
