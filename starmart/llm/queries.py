@@ -8,15 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starmart.llm import (
     decontaminate,
+    lm_scoring,
     mixing,
     near_dup,
     quality_model,
     quality_rules,
     repeats,
     sharding,
+    token_counts,
     token_files,
 )
-from starmart.sources.files import read_parquet
+from starmart.sources.files import read_parquet, store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,11 +51,23 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(mixing.mix_sizes(table(spark, sf_dir, "documents", "doc_id", "source", "text")))
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return token_files.digest(token_files.read_blocks(spark, token_files.write_token_files(docs, vocabulary_path())))
 
 
+def op5_edited_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts before and after redaction of every document, from trees kept as a table."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    trees = store(token_counts.build_trees(docs, vocabulary_path()), "token_trees")
+    edits = store(token_counts.redactions(docs), "token_edits")
+    return token_counts.edited_counts(docs, trees, edits, vocabulary_path())
+
+
 def op6_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.digest(repeats.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text")))
 
@@ -84,7 +98,9 @@ def all_queries() -> dict[str, Query]:
     return {
         "op1_decontaminate": op1_decontaminate,
         "op2_mix_sources": op2_mix_sources,
+        "op3_lm_score": op3_lm_score,
         "op4_token_files": op4_token_files,
+        "op5_edited_token_counts": op5_edited_token_counts,
         "op6_remove_repeats": op6_remove_repeats,
         "op7_shard": op7_shard,
         "op8_near_duplicates": op8_near_duplicates,

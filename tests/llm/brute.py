@@ -133,3 +133,49 @@ def repeats(docs, length=50):
         kept = bytes(x for x, c in zip(b, cut, strict=True) if not c)
         out.append((doc_id, len(b), sum(cut), spans, hashlib.sha256(kept).hexdigest()))
     return out
+
+
+def lm_scores(docs, alpha=0.4):
+    """(doc_id, n_words, n_backed_off, score) of (doc_id, text) with distinct ids."""
+    import math
+
+    texts = [(d, SPACED.findall((t or "").translate(ASCII_LOWER))) for d, t in docs]
+    uni = Counter(w for _, own in texts for w in own)
+    bi = Counter(p for _, own in texts for p in zip(own, own[1:], strict=False))
+    every, out = sum(uni.values()), []
+    for doc_id, own in texts:
+        u, b, total, backed = Counter(own), Counter(zip(own, own[1:], strict=False)), 0.0, 0
+        for before, w in zip([None, *own], own, strict=False):
+            others = bi[before, w] - b[before, w]
+            if before is not None and others:
+                total += math.log(others / uni[before])
+                continue
+            backed += 1
+            rest = uni[w] - u[w]
+            total += math.log((alpha * rest if rest else alpha * alpha) / every)
+        out.append((doc_id, len(own), backed, total / len(own) if own else None))
+    return out
+
+
+def redacted_counts(docs, path, patterns):
+    """(doc_id, n_tokens, n_edits, n_tokens_edited) by editing and encoding whole texts."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+
+    def count(text):
+        return len(tokenizer.encode(text, add_special_tokens=False).ids)
+
+    out = []
+    for doc_id, text in docs:
+        text = text or ""
+        found = sorted((m.start(), m.end(), new) for new, p in patterns.items() for m in p.finditer(text))
+        parts, at, n = [], 0, 0
+        for start, stop, new in found:
+            if n and start < at:
+                continue
+            parts += [text[at:start], new]
+            at, n = stop, n + 1
+        out.append((doc_id, count(text), n, count("".join(parts) + text[at:])))
+    return out
