@@ -32,7 +32,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 BASE = 0xD6E8FEB86659FD93  # odd, so it has an inverse modulo 2**64
 _powers: list[np.ndarray] = []
 
@@ -95,10 +95,10 @@ def words(raw: np.ndarray, bounds: np.ndarray, kind: np.ndarray) -> tuple[np.nda
     after = np.concatenate([inside[1:], [False]]) if len(raw) else inside
     ends = np.flatnonzero(inside & (~after | begins[1:])) + 1
     first = np.searchsorted(starts, bounds)
-    return _span_hashes(low, starts, ends), starts, first
+    return span_hashes(low, starts, ends), starts, first
 
 
-def _span_hashes(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def span_hashes(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Polynomial hash of each span of bytes, from running sums over pieces of the buffer."""
     out = np.empty(len(starts), np.uint64)
     at = 0
@@ -107,7 +107,7 @@ def _span_hashes(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         zero, end = starts[at], ends[to - 1]
         up, down = powers(int(end - zero) + 1)
         sums = np.zeros(end - zero + 1, np.uint64)
-        np.cumsum(_BYTE_VALUES[low[zero:end]] * up[: end - zero], out=sums[1:])
+        np.cumsum(BYTE_VALUES[low[zero:end]] * up[: end - zero], out=sums[1:])
         s, e = starts[at:to] - zero, ends[at:to] - zero
         out[at:to] = mix((sums[e] - sums[s]) * down[s])
         at = to

@@ -3,13 +3,12 @@
 A byte goes if it is in a ``LENGTH``-byte string that also starts in a document with a smaller doc_id. Any two equal
 strings of that length share their minimizer (the ``GRAM`` bytes with the least hash in them, an anchor), so:
 
-1. each document's anchors are dealt out by hash; anchors of one document only are dropped;
-2. the documents' bytes around the anchors that are left are dealt out by anchor; equal contexts fold into one, with the
-   smallest id that has it, before and after the shuffle;
-3. in each bucket, contexts that are not alone under their anchor form shards. Every shard gets its transform by one
-   suffix sort; the shards' transforms are merged by refining their interleave, one symbol deeper with each pass, without
-   sorting suffixes again. The blocks after ``LENGTH`` passes are the suffixes with that common prefix: the repeated
-   intervals, each with its smallest id;
+1. each document's anchors are dealt out by hash, with a hash of the bytes around them (the context). Anchors of one id
+   are dropped; where all contexts of an anchor are equal, the whole context is repeated;
+2. the contexts of the other anchors are dealt out; equal ones fold into one, with the smallest id that has it;
+3. in each bucket, contexts form shards. Every shard gets its transform by one suffix sort; the shards' transforms are
+   merged by refining their interleave, one symbol deeper with each pass, without sorting suffixes again. The blocks
+   after ``LENGTH`` passes are the suffixes with that common prefix: the repeated intervals, each with its smallest id;
 4. the spans go back to their documents.
 
 Buckets grow in number with the input, not in size. Defined results: a null text is empty; texts shorter than ``LENGTH``
@@ -26,19 +25,22 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import StructType
 
-from starmart.llm.common import _BYTE_VALUES, SLICE_BYTES, flat, mix, packed, powers, ranges, slices
+from starmart.llm.common import BYTE_VALUES, SLICE_BYTES, flat, mix, packed, powers, ranges, slices, span_hashes
 
 LENGTH = 50
 GRAM = 16
 REACH = LENGTH - GRAM  # bytes of context on either side of an anchor
 SIDE = 2 * REACH + GRAM
 STARTS = SIDE - LENGTH + 1
-# Text for each bucket, and contexts for each shard of a bucket.
-BUCKET_BYTES = 8 << 20
+# Text for each bucket of anchors and of contexts, and contexts for each shard of a bucket.
+BUCKET_BYTES = 32 << 20
+CONTEXT_BUCKET_BYTES = 8 << 20
 SHARD_CONTEXTS = 1_000
 LAST = (1 << 63) - 1
+LOW = np.uint64((1 << 48) - 1)
+ALONE = np.uint64(1 << 63)
 
 
 def _sliding(values: np.ndarray, width: int, reduce: np.ufunc) -> np.ndarray:
@@ -59,7 +61,7 @@ def anchors(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
         piece = raw[at : at + SLICE_BYTES + 2 * LENGTH]
         up, down = powers(len(piece) + 1)
         sums = np.zeros(len(piece) + 1, np.uint64)
-        np.cumsum(_BYTE_VALUES[piece] * up[:-1], out=sums[1:])
+        np.cumsum(BYTE_VALUES[piece] * up[:-1], out=sums[1:])
         grams = mix((sums[GRAM:] - sums[:-GRAM]) * down[: len(piece) - GRAM + 1]) | np.uint64(1)
         least = _sliding(grams, REACH + 1, np.minimum)
         starts = np.arange(len(least)) + at
@@ -77,35 +79,56 @@ def anchors(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return place, mix(np.concatenate(hashes)[first])
 
 
+def _found(texts: pa.Array) -> tuple[np.ndarray, ...]:
+    """The texts' bytes and bounds; of each anchor the hash, the text it is in, and its context's place and size."""
+    raw, bounds = flat(texts)
+    place, found = anchors(raw, bounds)
+    row = np.searchsorted(bounds, place, "right") - 1
+    start = np.maximum(place - REACH, bounds[row])
+    size = np.minimum(place + GRAM + REACH, bounds[row + 1]) - start
+    return raw, bounds, found, row, start, size
+
+
 def _deal(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A row for each bucket and slice: anchor hashes and whose they are."""
+    """A row for each bucket and slice: anchor hashes, whose they are, and their contexts' hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches):
-            raw, bounds = flat(texts)
-            place, found = anchors(raw, bounds)
-            row = np.searchsorted(bounds, place, "right") - 1
-            order = np.lexsort((row, found))
-            found, row = found[order], row[order]
+            raw, _, found, row, start, size = _found(texts)
+            context = span_hashes(raw, start, start + size) & LOW
+            order = np.lexsort((context, row, found))
+            found, row, context = found[order], row[order], context[order]
             new = np.ones(len(found), bool)
-            new[1:] = (found[1:] != found[:-1]) | (row[1:] != row[:-1])
-            yield _rows(buckets, batch, found[new], row[new])
+            new[1:] = (found[1:] != found[:-1]) | (row[1:] != row[:-1]) | (context[1:] != context[:-1])
+            context = context[new]
+            yield _rows(buckets, batch, found[new], row[new], context=lambda mine, c=context: _six(c[mine]))
 
     return run
 
 
+def _six(values: np.ndarray) -> bytes:
+    """The low six bytes of each."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _eight(raw: list[bytes]) -> np.ndarray:
+    narrow = np.frombuffer(b"".join(raw), np.uint8).reshape(-1, 6)
+    wide = np.zeros((len(narrow), 8), np.uint8)
+    wide[:, :6] = narrow
+    return wide.view(np.uint64).reshape(-1)
+
+
 def _rows(buckets: int, batch: pa.RecordBatch, found: np.ndarray, row: np.ndarray, **more) -> pa.RecordBatch:
     bucket = _bucket(found, buckets)
     order = np.argsort(bucket, kind="stable")
     used, at = np.unique(bucket[order], return_index=True)
-    docs = batch.column("doc")
-    ids, texts = docs.field("id").to_numpy(), docs.field("th").to_numpy()
+    ids, texts = batch.column("id").to_numpy(), batch.column("th").to_numpy()
     out = []
     for b, mine in zip(used.tolist(), np.split(order, at[1:]), strict=True):
         own, index = np.unique(row[mine], return_inverse=True)
         narrow = np.uint16 if len(own) < 1 << 16 else np.uint32
         one = {"bucket": b, "ids": ids[own].tobytes(), "ths": texts[own].tobytes(), "row": index.astype(narrow).tobytes()}
-        one["hashes"] = found[mine].view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+        one["hashes"] = _six(found[mine])
         one |= {name: value(mine) for name, value in more.items()}
         out.append(one)
     names = ["ids", "ths", "row", "hashes", *more]
@@ -124,14 +147,13 @@ def _column(table: pa.Table, name: str, kind) -> list[np.ndarray]:
 def _gathered(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Ids and text hashes of the bucket's documents, and for each anchor its hash and document."""
     ids, ths = _column(table, "ids", np.int64), _column(table, "ths", np.int64)
-    hashes = [x.reshape(-1, 6) for x in _column(table, "hashes", np.uint8)]
+    hashes = table.column("hashes").to_pylist()
     rows, before = [], 0
     for own, raw, found in zip(ids, table.column("row").to_pylist(), hashes, strict=True):
-        rows.append(np.frombuffer(raw, np.uint16 if len(raw) == 2 * len(found) else np.uint32).astype(np.int64) + before)
+        kind = np.uint16 if len(raw) * 3 == len(found) else np.uint32
+        rows.append(np.frombuffer(raw, kind).astype(np.int64) + before)
         before += len(own)
-    wide = np.zeros((sum(map(len, hashes)), 8), np.uint8)
-    wide[:, :6] = np.concatenate(hashes)
-    return np.concatenate(ids), np.concatenate(ths), wide.view(np.uint64).reshape(-1), np.concatenate(rows)
+    return np.concatenate(ids), np.concatenate(ths), _eight(hashes), np.concatenate(rows)
 
 
 def _per_document(ids, ths, row, values: np.ndarray, name: str) -> pa.Table:
@@ -143,16 +165,35 @@ def _per_document(ids, ths, row, values: np.ndarray, name: str) -> pa.Table:
 
 
 def _shared(table: pa.Table) -> pa.Table:
-    """The anchors of each document that another id has too."""
+    """The anchors of each document that another id has too, marked where their contexts are all equal.
+
+    Of marked ones, those of the smallest id itself are left out.
+    """
     ids, ths, found, row = _gathered(table)
+    context = _eight(table.column("context").to_pylist())
     order = np.argsort(found, kind="stable")
-    found, row = found[order], row[order]
+    found, row, context = found[order], row[order], context[order]
     heads = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]))
     size = np.diff(np.append(heads, len(found)))
     who = ids[row]
-    several = np.minimum.reduceat(who, heads) != np.maximum.reduceat(who, heads)
-    keep = np.repeat(several, size)
-    return _per_document(ids, ths, row[keep], found[keep], "anchors")
+    least = np.minimum.reduceat(who, heads)
+    several = np.repeat(least != np.maximum.reduceat(who, heads), size)
+    alone = np.repeat(np.minimum.reduceat(context, heads) == np.maximum.reduceat(context, heads), size)
+    keep = several & (~alone | (who > np.repeat(least, size)))
+    return _per_document(ids, ths, row[keep], np.where(alone, found | ALONE, found)[keep], "anchors")
+
+
+def _wanted(parts: pa.Array, found: np.ndarray, row: np.ndarray, alone: bool) -> np.ndarray:
+    """Which anchors are among those listed for their text."""
+    keep = np.zeros(len(found), bool)
+    cuts = np.searchsorted(row, np.arange(len(parts) + 1))
+    for i, own in enumerate(parts.to_pylist()):
+        if own:
+            listed = np.frombuffer(b"".join(own), np.uint64)
+            listed = listed[(listed >= ALONE) == alone] & LOW
+            mine = slice(cuts[i], cuts[i + 1])
+            keep[mine] = np.isin(found[mine] & LOW, listed)
+    return keep
 
 
 def _contexts(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -160,19 +201,10 @@ def _contexts(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches):
-            raw, bounds = flat(texts)
-            place, found = anchors(raw, bounds)
-            row = np.searchsorted(bounds, place, "right") - 1
-            low = found & np.uint64((1 << 48) - 1)
-            keep = np.zeros(len(place), bool)
-            cuts = np.searchsorted(row, np.arange(len(bounds)))
-            for i, parts in enumerate(batch.column("anchors").to_pylist()):
-                mine = slice(cuts[i], cuts[i + 1])
-                keep[mine] = np.isin(low[mine], np.frombuffer(b"".join(parts), np.uint64))
-            place, found, row = place[keep], found[keep], row[keep]
-            start = np.maximum(place - REACH, bounds[row])
-            size = np.minimum(place + GRAM + REACH, bounds[row + 1]) - start
-            text = np.zeros((len(place), SIDE), np.uint8)
+            raw, bounds, found, row, start, size = _found(texts)
+            keep = _wanted(batch.column("anchors"), found, row, alone=False)
+            found, row, start, size = found[keep], row[keep], start[keep], size[keep]
+            text = np.zeros((len(found), SIDE), np.uint8)
             at = np.arange(SIDE)[None, :]
             inside = at < size[:, None]
             # No byte of UTF-8 is above 0xF4, so one up leaves zero for the end.
@@ -209,42 +241,48 @@ def transform(texts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return before, row, offset
 
 
-def merge(shards: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Interleave of the shards' suffixes by their first ``depth`` symbols, and the block each is in.
+def merge(symbols: np.ndarray, step: np.ndarray, rows: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Interleave of suffixes by their first ``depth`` symbols, and the block each is in.
 
-    A pass lists the symbols in the order so far and stably moves every suffix behind the symbol before it; suffixes of
-    one block and one symbol form the next block.
+    ``symbols`` are the shards' transforms one after the other, ``step`` leads from a row to that of the suffix one
+    symbol longer in the same shard, ``rows`` are where to begin. A pass lists the symbols in the order so far and stably
+    moves every suffix behind the symbol before it; suffixes of one block and one symbol form the next block. A suffix
+    alone in its block stays alone and is dropped.
     """
-    narrow = np.uint16 if len(shards) < 1 << 16 else np.uint32
-    z = np.repeat(np.arange(len(shards), dtype=narrow), list(map(len, shards)))
-    symbols = np.concatenate(shards)
-    block = np.zeros(len(z), np.uint32)
+    block = np.zeros(len(rows), np.uint32)
     for _ in range(depth):
-        c = np.empty(len(z), np.uint8)
-        c[np.argsort(z, kind="stable")] = symbols
+        c = symbols[rows]
         order = np.argsort(c, kind="stable")
-        z, c, block = z[order], c[order], block[order]
-        new = np.zeros(len(z), bool)
-        new[1:] = (c[1:] != c[:-1]) | (block[1:] != block[:-1])
-        block = np.cumsum(new, dtype=np.uint32)
-    return z, block
+        rows, c, block = step[rows[order]], c[order], block[order]
+        new = np.ones(len(rows) + 1, bool)
+        new[1:-1] = (c[1:] != c[:-1]) | (block[1:] != block[:-1])
+        block = np.cumsum(new[:-1], dtype=np.uint32)
+        several = ~(new[:-1] & new[1:])
+        rows, block = rows[several], block[several]
+    return rows, block
 
 
 def smallest_ids(texts: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """For each context and each of its strings of ``LENGTH`` bytes, the smallest id of a context that has it."""
-    out = np.full((len(texts), STARTS), LAST, np.int64)
-    parts = [transform(texts[a : a + SHARD_CONTEXTS]) for a in range(0, len(texts), SHARD_CONTEXTS)]
-    z, block = merge([p[0] for p in parts], LENGTH)
-    order = np.argsort(z, kind="stable")
-    row, offset = np.empty(len(z), np.int64), np.empty(len(z), np.int64)
-    row[order] = np.concatenate([p[1] + k * SHARD_CONTEXTS for k, p in enumerate(parts)])
-    offset[order] = np.concatenate([p[2] for p in parts])
-    whole = offset + LENGTH <= (texts > 0).sum(1)[row]
-    row, offset, block = row[whole], offset[whole], block[whole]
-    if len(row):
+    whole = np.arange(STARTS)[None, :] + LENGTH <= (texts > 0).sum(1)[:, None]
+    out = np.where(whole, ids[:, None], LAST)
+    symbols, step, row, offset, before = [], [], [], [], 0
+    for at in range(0, len(texts), SHARD_CONTEXTS):
+        own, r, o = transform(texts[at : at + SHARD_CONTEXTS])
+        lead = np.empty(len(own), np.int64)
+        lead[np.argsort(own, kind="stable")] = np.arange(len(own))
+        symbols.append(own)
+        step.append(lead + before)
+        row.append(r + at)
+        offset.append(o)
+        before += len(own)
+    symbols, step, row, offset = map(np.concatenate, (symbols, step, row, offset))
+    # After LENGTH passes, suffixes from here on have become those that begin the strings.
+    rows, block = merge(symbols, step, np.flatnonzero(offset >= LENGTH), LENGTH)
+    if len(rows):
+        row, offset = row[rows], offset[rows]
         heads = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
-        least = np.minimum.reduceat(ids[row], heads)
-        out[row, offset] = np.repeat(least, np.diff(np.append(heads, len(row))))
+        out[row, offset] = np.repeat(np.minimum.reduceat(ids[row], heads), np.diff(np.append(heads, len(rows))))
     return out
 
 
@@ -263,14 +301,7 @@ def _spans(table: pa.Table) -> pa.Table:
     who = ids[row]
     least = np.full(len(texts), LAST, np.int64)
     np.minimum.at(least, which, who)
-    anchor = np.zeros(len(texts), np.uint64)
-    anchor[which] = found
-    _, group, size = np.unique(anchor, return_inverse=True, return_counts=True)
-    alone = size[group] == 1
-    size = (texts > 0).sum(1)
-    smallest = np.where(np.arange(STARTS)[None, :] + LENGTH <= size[:, None], least[:, None], LAST)
-    if not alone.all():
-        smallest[~alone] = smallest_ids(texts[~alone], least[~alone])
+    smallest = smallest_ids(texts, least)
     hit = np.zeros((len(which), STARTS + 2), np.int8)
     hit[:, 1:-1] = smallest[which] < who[:, None]
     turn = np.diff(hit, axis=1)
@@ -280,9 +311,8 @@ def _spans(table: pa.Table) -> pa.Table:
     return _per_document(ids, ths, row[at], spans, "spans")
 
 
-def _union(parts: list[bytes] | None) -> np.ndarray:
+def _union(spans: np.ndarray) -> np.ndarray:
     """Spans in order, overlapping and touching ones joined."""
-    spans = np.frombuffer(b"".join(parts or []), np.int64).reshape(-1, 2)
     if not len(spans):
         return spans
     spans = spans[np.argsort(spans[:, 0], kind="stable")]
@@ -293,7 +323,19 @@ def _union(parts: list[bytes] | None) -> np.ndarray:
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, texts in slices(batches):
-        spans = [_union(p) for p in batch.column("parts").to_pylist()]
+        parts = batch.column("parts").to_pylist()
+        spans = [np.frombuffer(b"".join(p or []), np.int64).reshape(-1, 2) for p in parts]
+        listed = np.flatnonzero(batch.column("anchors").is_valid().to_numpy(zero_copy_only=False))
+        if len(listed):
+            of = pa.array(listed)
+            _, bounds, found, row, start, size = _found(texts.take(of))
+            keep = _wanted(batch.column("anchors").take(of), found, row, alone=True) & (size >= LENGTH)
+            row, start, size = row[keep], (start - bounds[row])[keep], size[keep]
+            cuts = np.searchsorted(row, np.arange(len(listed) + 1))
+            both = np.stack([start, start + size], axis=1)
+            for i, k in enumerate(listed):
+                spans[k] = np.concatenate([spans[k], both[cuts[i] : cuts[i + 1]]])
+        spans = [_union(s) for s in spans]
         kept, removed = [], []
         for text, own in zip(texts.to_pylist(), spans, strict=True):
             raw = text.encode()
@@ -306,24 +348,28 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=["doc", "kept", "spans", "n_removed", "kept_sha256"])
 
 
-def remove_repeats(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, context_bucket_bytes: int = CONTEXT_BUCKET_BYTES
+) -> DataFrame:
     """``doc`` (all columns of the row), the bytes that stay (``kept``), the removed ``spans``, ``n_removed``, ``kept_sha256``."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(1, -(-total // bucket_bytes))
+    buckets, context_buckets = (max(1, -(-total // size)) for size in (bucket_bytes, context_bucket_bytes))
     identity = [F.coalesce("doc_id", F.lit(LAST)).cast("bigint").alias("id"), F.xxhash64("text").alias("th")]
-    rows = docs.select(F.struct(*identity, "text").alias("doc"))
+    rows = packed(docs, *identity)
     blobs = "bucket int, ids binary, ths binary, row binary, hashes binary"
-    dealt = rows.mapInArrow(_deal(buckets), blobs)
+    dealt = rows.mapInArrow(_deal(buckets), f"{blobs}, context binary")
     shared = dealt.groupBy("bucket").applyInArrow(_shared, "id bigint, th bigint, anchors binary")
+    # At most a document's own anchors are collected.
     shared = shared.groupBy("id", "th").agg(F.collect_list("anchors").alias("anchors"))
-    # Rows equal in id and text have the same spans: one of them is enough.
-    held = rows.select("doc.id", "doc.th", "doc").join(shared, ["id", "th"]).select("doc", "anchors")
-    around = held.mapInArrow(_contexts(buckets), f"{blobs}, contexts binary, which binary, start binary")
+    listed = rows.join(shared, ["id", "th"], "left")
+    around = listed.filter("anchors IS NOT NULL").mapInArrow(
+        _contexts(context_buckets), f"{blobs}, contexts binary, which binary, start binary"
+    )
     spans = around.groupBy("bucket").applyInArrow(_spans, "id bigint, th bigint, spans binary")
     spans = spans.groupBy("id", "th").agg(F.collect_list("spans").alias("parts"))
-    all_rows = packed(docs, *identity).join(spans, ["id", "th"], "left").select("doc", "parts")
+    cut = listed.join(spans, ["id", "th"], "left").select("doc", "anchors", "parts")
     fields = StructType.fromDDL("kept binary, spans array<array<bigint>>, n_removed bigint, kept_sha256 string").fields
-    return all_rows.mapInArrow(_cut, StructType([StructField("doc", all_rows.schema["doc"].dataType), *fields]))
+    return cut.mapInArrow(_cut, StructType([cut.schema["doc"], *fields]))
 
 
 def digest(found: DataFrame) -> DataFrame:
