@@ -75,8 +75,8 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit numbers."""
         cuts = [self.pieces(t) for t in texts]
-        pieces = {p: _CUT.split(p) for p in set().union(*cuts).difference(self.known)}
-        fresh = list(set().union(*pieces.values()).difference(self.known))
+        pieces = {p: _CUT.split(p) for p in set().union(*cuts) if p not in self.known}
+        fresh = [p for p in set().union(*pieces.values()) if p not in self.known]
         found = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
         new = {p: np.array(e.ids, np.uint32).tobytes() for p, e in zip(fresh, found, strict=True)}
         known, self.known.rest = self.known, new
