@@ -50,7 +50,7 @@ def _packets(buckets: int, word: np.ndarray, row: np.ndarray, ids: np.ndarray, *
     bucket = _bucket(word, buckets)
     used, at = np.unique(bucket, return_index=True)
     out = []
-    for b, mine in zip(used.tolist(), np.split(np.arange(len(word)), at[1:]), strict=True):
+    for b, mine in zip(used.tolist(), np.split(np.arange(len(word)), at[1:])[: len(used)], strict=True):
         own, index = np.unique(row[mine], return_inverse=True)
         kinds, runs = np.unique(word[mine], return_counts=True)
         one = {"bucket": b, "ids": ids[own].tobytes(), "row": index.astype(_narrow(len(own))).tobytes()}

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from starmart.llm.common import SPACED, flat, mix, packed, slices, words
-from starmart.sources.files import store
+from starmart.llm.scratch import Scratch
 
 
 @dataclass(frozen=True)
@@ -153,7 +153,7 @@ def _confirm(index: Index) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
     return run
 
 
-def connected(edges: DataFrame, name: str = "component") -> DataFrame:
+def connected(edges: DataFrame, scratch: Scratch, name: str = "component") -> DataFrame:
     """``node`` and the smallest node of its component, for every node of the edges (``a``, ``b``).
 
     Large-star and small-star steps in turn: every node's greater, then its smaller neighbours hang themselves on its
@@ -163,7 +163,7 @@ def connected(edges: DataFrame, name: str = "component") -> DataFrame:
     def marks(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
-    current = store(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
+    current = scratch.store(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
     before = marks(current)
     while before[0]:
         both = current.union(current.select("b", "a"))
@@ -172,7 +172,7 @@ def connected(edges: DataFrame, name: str = "component") -> DataFrame:
         large = large.distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        current = store(small.union(least.select("a", "m")).distinct(), name)
+        current = scratch.store(small.union(least.select("a", "m")).distinct(), name)
         after = marks(current)
         if after == before:
             break
@@ -205,7 +205,7 @@ def _tokens(index: Index) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
     return run
 
 
-def _across(open_: DataFrame, texts: DataFrame, index: Index) -> DataFrame:
+def _across(open_: DataFrame, texts: DataFrame, index: Index, scratch: Scratch) -> DataFrame:
     """The pairs of unconnected open classes that share one of their rarest shingles.
 
     Two sets of at least the wanted similarity share a shingle among the first ``n - ceil(similarity * n) + 1`` of each,
@@ -214,7 +214,7 @@ def _across(open_: DataFrame, texts: DataFrame, index: Index) -> DataFrame:
     """
     nodes = open_.select("node", "component").distinct()
     tokens = packed(texts.join(nodes.select("node"), "node", "left_semi"))
-    tokens = store(tokens.mapInArrow(_tokens(index), "node bigint, token bigint"), "near_tokens")
+    tokens = scratch.store(tokens.mapInArrow(_tokens(index), "node bigint, token bigint"), "near_tokens")
     seen = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     rarest = tokens.join(seen, "token").groupBy("node").agg(
         F.sort_array(F.collect_list(F.struct("df", "token"))).alias("tokens"), F.count(F.lit(1)).alias("n")
@@ -222,7 +222,7 @@ def _across(open_: DataFrame, texts: DataFrame, index: Index) -> DataFrame:
     needed = F.ceil(F.col("n") * index.similarity / 100)
     rarest = rarest.select("node", "n", F.slice("tokens", 1, (F.col("n") - needed + 1).cast("int")).alias("tokens"))
     rarest = rarest.select("node", "n", F.posexplode("tokens").alias("pos", "t")).filter("t.df > 1")
-    rarest = store(rarest.select("node", "n", "pos", F.col("t.token").alias("token")).join(nodes, "node"), "near_rarest")
+    rarest = scratch.store(rarest.select("node", "n", "pos", F.col("t.token").alias("token")).join(nodes, "node"), "near_rarest")
     most = rarest.groupBy("token", "component").agg(F.count(F.lit(1)).alias("c"))
     most = most.groupBy("token").agg(F.max(F.struct("c", "component")).alias("most"), F.count(F.lit(1)).alias("k"))
     few = rarest.join(most.filter("k > 1"), "token").filter("component != most.component")
@@ -238,33 +238,34 @@ def _across(open_: DataFrame, texts: DataFrame, index: Index) -> DataFrame:
 def near_duplicates(docs: DataFrame, index: Index = Index()) -> DataFrame:
     """``doc`` (all columns of the row), ``rid``, ``n_shingles``, ``component_id`` and ``kept_row``: one row of each
     component has it, the first with the component's id."""
+    scratch = Scratch()
     fields = [StructField(c, LongType()) for c in ("n_shingles", "set_sum", "set_xor")]
     out = packed(docs)
     schema = StructType([out.schema["doc"], *fields, StructField("signature", BinaryType())])
     signed = out.mapInArrow(_sign(index), schema).withColumn("rid", F.monotonically_increasing_id())
-    signed = store(signed, "near_signed")
+    signed = scratch.store(signed, "near_signed")
 
     same = ["n_shingles", "set_sum", "set_xor"]
     sets = signed.filter("n_shingles > 0").select("rid", "signature", *same)
     nodes = sets.groupBy(*same).agg(F.min(F.struct("rid", "signature")).alias("first"))
-    nodes = store(nodes.select(*same, F.col("first.rid").alias("node"), "first.signature"), "near_nodes")
+    nodes = scratch.store(nodes.select(*same, F.col("first.rid").alias("node"), "first.signature"), "near_nodes")
 
     keys = nodes.select("node", "signature").mapInArrow(_index_keys(index), "key bigint, node bigint")
     centers = keys.groupBy("key").agg(F.min("node").alias("center"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shared = store(keys.join(centers.select("key", "center"), "key"), "near_shared")
+    shared = scratch.store(keys.join(centers.select("key", "center"), "key"), "near_shared")
     wanted = shared.select("node").distinct()
     texts = signed.select(F.col("rid").alias("node"), F.col("doc.text").alias("text"))
-    texts = store(texts.join(wanted, "node", "left_semi"), "near_texts")
+    texts = scratch.store(texts.join(wanted, "node", "left_semi"), "near_texts")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         left = texts.withColumnsRenamed({"node": "a", "text": "text_a"})
         right = texts.withColumnsRenamed({"node": "b", "text": "text_b"})
         both = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
-        return store(both.mapInArrow(_confirm(index), "a bigint, b bigint"), "near_links")
+        return scratch.store(both.mapInArrow(_confirm(index), "a bigint, b bigint"), "near_links")
 
     stars = shared.filter("node != center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
-    tried = store(stars, "near_stars")
-    joined = connected(confirmed(tried))
+    tried = scratch.store(stars, "near_stars")
+    joined = connected(confirmed(tried), scratch)
     open_, number, last = shared.select("key", "node"), 0, False
     while not last:
         loose = open_.join(joined, "node", "left").select(
@@ -272,19 +273,19 @@ def near_duplicates(docs: DataFrame, index: Index = Index()) -> DataFrame:
         )
         n = loose.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
         keyed = n.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"))
-        keyed = store(keyed.filter("n * n > squares"), "near_open_keys")
+        keyed = scratch.store(keyed.filter("n * n > squares"), "near_open_keys")
         rows, left = keyed.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("squares")) / 2)).first()
         if not rows:
             break
-        open_ = store(loose.join(keyed.select("key"), "key", "left_semi"), "near_open")
+        open_ = scratch.store(loose.join(keyed.select("key"), "key", "left_semi"), "near_open")
         number += 1
         last = left <= rows or number > 1 and 10 * linked < tries
-        pairs = _across(open_, texts, index) if last else _stars(open_, number)
-        pairs = store(pairs.join(tried, ["a", "b"], "left_anti"), "near_pairs")
+        pairs = _across(open_, texts, index, scratch) if last else _stars(open_, number)
+        pairs = scratch.store(pairs.join(tried, ["a", "b"], "left_anti"), "near_pairs")
         tried = tried.union(pairs)
         links = confirmed(pairs)
         tries, linked = pairs.count(), links.count()
-        joined = connected(joined.select(F.col("component").alias("a"), F.col("node").alias("b")).union(links))
+        joined = connected(joined.select(F.col("component").alias("a"), F.col("node").alias("b")).union(links), scratch)
         open_ = open_.select("key", "node")
 
     members = signed.select("rid", F.col("doc.doc_id").alias("doc_id"), *same).join(
@@ -293,13 +294,15 @@ def near_duplicates(docs: DataFrame, index: Index = Index()) -> DataFrame:
     members = members.join(joined, "node", "left").select(
         "rid", "doc_id", F.coalesce("component", "node", "rid").alias("component")
     )
-    members = store(members, "near_members")
+    members = scratch.store(members, "near_members")
     heads = members.groupBy("component").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("head")
     )
     verdicts = members.join(heads, "component").select(
         "rid", F.col("head.doc_id").alias("component_id"), (F.col("rid") == F.col("head.rid")).alias("kept_row")
     )
+    verdicts = scratch.store(verdicts, "near_verdicts")
+    scratch.release(signed, verdicts)
     return signed.select("rid", "doc", "n_shingles").join(verdicts, "rid")
 
 

@@ -124,7 +124,7 @@ def _rows(buckets: int, batch: pa.RecordBatch, found: np.ndarray, row: np.ndarra
     used, at = np.unique(bucket[order], return_index=True)
     ids, texts = batch.column("id").to_numpy(), batch.column("th").to_numpy()
     out = []
-    for b, mine in zip(used.tolist(), np.split(order, at[1:]), strict=True):
+    for b, mine in zip(used.tolist(), np.split(order, at[1:])[: len(used)], strict=True):
         own, index = np.unique(row[mine], return_inverse=True)
         narrow = np.uint16 if len(own) < 1 << 16 else np.uint32
         one = {"bucket": b, "ids": ids[own].tobytes(), "ths": texts[own].tobytes(), "row": index.astype(narrow).tobytes()}

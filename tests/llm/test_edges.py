@@ -1,0 +1,154 @@
+"""Nulls, empty and long texts, ties, repeated rows, empty tables and clashing column names."""
+
+import numpy as np
+import pytest
+
+from starmart.llm import (
+    decontaminate,
+    lm_scoring,
+    mixing,
+    near_dup,
+    quality_model,
+    quality_rules,
+    repeats,
+    sharding,
+    token_counts,
+    token_files,
+)
+from starmart.llm.queries import vocabulary_path
+from tests.llm import brute
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, hash string, found string, row int"
+LONG = "word" * 30_000 + " " + " ".join(f"w{i}" for i in range(30_000))
+ROWS = [
+    (1, None),
+    (2, ""),
+    (3, LONG),
+    (4, "one two three four five six seven eight nine ten eleven twelve\n" * 6),
+    (5, "one two three four five six seven eight nine ten eleven twelve\n" * 6),
+    (5, "one two three four five six seven eight nine ten eleven twelve\n" * 6),
+    (6, " \t\n "),
+    (7, "solo"),
+    (8, "Ünï ½ 日本 \U0001f600 " * 20),
+    (None, "no id at all but several words of text that nothing else has in this table"),
+]
+LABELS = "doc_id bigint, quality int, toxic int"
+
+
+@pytest.fixture(scope="module", params=["rows", "none"])
+def docs(request, spark):
+    rows = ROWS if request.param == "rows" else []
+    source = [None, "b", "a"]
+    full = [(i, t, None if k % 2 else "en", source[k % 3], 0, "h", "f", k) for k, (i, t) in enumerate(rows)]
+    return spark.createDataFrame(full, SCHEMA)
+
+
+def pairs(docs):
+    return [(r.doc_id, r.text) for r in docs.collect()]
+
+
+def plain(df, *columns):
+    return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
+
+
+def test_contamination(spark, docs):
+    items = [(1, "three four five six seven eight nine ten eleven twelve one"), (2, None), (3, ""), (3, "solo"), (None, "日本")]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    columns = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    want = sorted(brute.contamination(pairs(docs), items), key=repr)
+    for block in (decontaminate.BLOCK_BYTES, 20):
+        found = decontaminate.find_contamination(docs, benchmark, block_bytes=block)
+        assert plain(decontaminate.digest(found), *columns) == want
+    clean = decontaminate.remove_contaminated(docs, benchmark.limit(0))
+    assert clean.columns == docs.columns and clean.count() == docs.count()
+
+
+def test_longest_match(spark):
+    docs = spark.createDataFrame([(1, "x a b c d e y a b c")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, "a b c z"), (2, "q a b c d e w")], "item_id bigint, text string")
+    found = decontaminate.digest(decontaminate.find_contamination(docs, items, window=3)).first()
+    assert tuple(found.longest) == ("2", 1, 1, 5)
+
+
+def test_mix(docs):
+    figures = mixing.digest(mixing.mix_sizes(docs)).collect()
+    assert len(figures) == docs.count() and all(r.taken <= 2 * r["size"] for r in figures)
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns
+    assert sum(len((r.text or "").split()) for r in mixed.collect()) == sum(r.taken for r in figures)
+
+
+def test_shards(docs):
+    out = sharding.digest(sharding.read_shards(docs, sharding.write_shards(docs)))
+    assert out.count() == docs.count() and out.select("shard", "slot").distinct().count() == docs.count()
+
+
+def test_near_duplicates(docs):
+    found = near_dup.near_duplicates(docs, near_dup.Index(shingle=2)).cache()
+    got = {(r.doc_id, r.component_id, r.kept) for r in near_dup.digest(found).collect()}
+    kept = near_dup.one_of_each(docs, near_dup.Index(shingle=2))
+    assert kept.columns == docs.columns
+    if docs.count():
+        assert {(4, 4, True), (5, 4, False), (1, 1, True), (2, 2, True), (6, 6, True), (None, None, True)} <= got
+        assert kept.count() == len(ROWS) - 2
+
+
+def test_repeats(docs):
+    out = plain(repeats.digest(repeats.remove_repeats(docs)), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    last = repeats.LAST
+    want = brute.repeats([(last if i is None else i, t) for i, t in pairs(docs)])
+    assert out == sorted(((None if r[0] == last else r[0], *r[1:]) for r in want), key=repr)
+
+
+def test_tokens(spark, docs):
+    path = vocabulary_path()
+    written = token_files.digest(token_files.read_blocks(spark, token_files.write_token_files(docs, path, block_ids=64)))
+    got = plain(written, "doc_id", "n_tokens", "ids_crc32")
+    want = [(r[0], r[2], r[3]) for r in brute.tokens(pairs(docs), path)]
+    assert got == sorted(want, key=repr)
+    edits = docs.selectExpr(
+        "doc_id", "xxhash64(text) th", "array(struct(0L AS start, 2L AS stop, null AS replacement), "
+        "struct(1L AS start, 9L AS stop, 'z' AS replacement), struct(20L AS start, 20L AS stop, ' Q.' AS replacement)) edits"
+    )
+    counted = token_counts.edited_counts(docs, token_counts.build_trees(docs, path), edits, path)
+    got = {(r.doc_id, r.n_tokens_edited) for r in counted.collect()}
+    encode = token_files.Encoder(path)
+
+    def edited(text):
+        out = text[2:20] + (" Q." if len(text) >= 20 else "") + text[20:]
+        return len(encode.tokenizer.encode(out, add_special_tokens=False).ids)
+
+    assert got == {(i, edited(t or "")) for i, t in pairs(docs)}
+
+
+@pytest.mark.parametrize("width", [1, 5, 8, 16, 17, 31])
+def test_packing(width):
+    ids = np.random.default_rng(width).integers(0, 1 << width, 70_001, dtype=np.uint32)
+    payload = token_files.pack(ids, width)
+    assert len(payload) == -(-len(ids) * width // 8)
+    for a, b in ((0, len(ids)), (13, 14), (65_530, 65_545)):
+        assert (token_files.unpack(payload, width, a, b) == ids[a:b]).all()
+
+
+def test_scores(spark, docs):
+    labels = spark.createDataFrame([(4, 1, 0), (5, 1, 0), (5, 0, 0), (3, 0, 0), (99, 1, 0), (None, 1, 0)], LABELS)
+    for own in (labels, labels.limit(0)):
+        scored = quality_model.digest(quality_model.score_quality(docs, own)).collect()
+        assert len(scored) == docs.count() and all(0 <= r.score <= 1 for r in scored)
+        kept = quality_rules.good_documents(docs, own)
+        assert kept.columns == docs.columns
+        assert quality_rules.digest(quality_rules.apply_rules(docs, own)).count() == docs.count()
+    assert lm_scoring.score_documents(docs).count() == docs.count()
+
+
+def test_binomial_tail(spark):
+    """Against the sum of the terms."""
+    from math import comb
+
+    from pyspark.sql import functions as F
+
+    cases = [(0, 100), (3, 700), (9, 1500)]
+    frame = spark.createDataFrame(cases, "k bigint, n bigint")
+    got = [r[0] for r in frame.select(quality_rules.binomial_tail(F.col("k"), F.col("n"), 0.01)).collect()]
+    want = [sum(comb(n, i) * 0.01**i * 0.99 ** (n - i) for i in range(k + 1)) for k, n in cases]
+    assert got == pytest.approx(want, rel=1e-9)
