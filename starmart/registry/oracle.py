@@ -81,7 +81,7 @@ CALENDAR_COLUMNS = """CAST(year({d}) AS INTEGER) AS year, CAST(month({d}) AS INT
     CAST(day({d}) AS INTEGER) AS day, CAST(dayofweek({d}) + 1 AS INTEGER) AS day_of_week,
     CAST(weekofyear({d}) AS INTEGER) AS week_of_year, CAST(quarter({d}) AS INTEGER) AS quarter,
     CAST(dayofyear({d}) AS INTEGER) AS day_of_year, last_day({d}) = {d} AS is_month_end,
-    day({d}) = 1 AS is_month_start, dayofweek({d}) IN (0, 6) AS is_weekend"""
+    day({d}) = 1 AS is_month_start, coalesce(dayofweek({d}) IN (0, 6), false) AS is_weekend"""
 
 DIM_DATE = (
     DAYS
@@ -319,9 +319,8 @@ FROM customer_stg2 s JOIN customer_dim1 d ON s.customer_id = d.customer_id""",
         "stg_order_items": _with(*RAW, STG_ITEMS, select="SELECT * FROM stg_order_items"),
         "join_inner_items_orders": _with(
             *RAW,
-            select="""SELECT i.*, o.order_date FROM raw_order_items i
-JOIN (SELECT order_id, min(order_purchase_date) AS order_date FROM raw_orders GROUP BY order_id) o
-  ON i.order_id = o.order_id""",
+            select="""SELECT i.*, o.order_purchase_date FROM raw_order_items i
+JOIN raw_orders o ON i.order_id = o.order_id""",
         ),
         "agg_order_items": _with(*RAW, STG_ITEMS, ORDER_TOTALS, select="SELECT * FROM order_totals"),
         "join_left_order_agg": _with(

@@ -37,7 +37,7 @@ from starmart.plans.dimensions import (
     empty_dimension,
 )
 from starmart.plans.facts import fact_order_items, fact_order_summary, order_item_totals
-from starmart.plans.staging import ORDER_COLUMNS, ORDER_RENAMES, order_dates, stage_order_items, stage_orders
+from starmart.plans.staging import ORDER_COLUMNS, ORDER_RENAMES, stage_order_items, stage_orders
 from starmart.plans.together import together
 from starmart.sources import retail
 from starmart.sources.contracts import DIM_PRODUCT, enforce_contract
@@ -232,10 +232,11 @@ def stg_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def join_inner_items_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All item rows, copies included, with the earliest date of their order."""
+    """All pairs of a raw item and a raw order row, copies of either included."""
     items, orders = retail.raw_order_items(spark, sf_dir), retail.raw_orders(spark, sf_dir)
+    dates = orders.select("order_id", "order_purchase_date")
     hot = hot_keys_unless_small(items, "order_id", orders.count())
-    return lookup_join(items, order_dates(orders), "order_id", "inner", hot, spread=["order_item_id", "product_id"])
+    return lookup_join(items, dates, "order_id", "inner", hot, spread=items.columns)
 
 
 def agg_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:

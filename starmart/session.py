@@ -11,6 +11,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # The table contracts rely on casts that fail instead of giving NULL.
+    "spark.sql.ansi.enabled": "true",
 }
 
 
