@@ -12,9 +12,10 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 # Up to this many narrow rows (a few hundred bytes each) go to every executor; beyond it both sides are shuffled.
 BROADCAST_ROWS = 100_000
 
-# Entries the heavy-hitter sketch reports and tracks. Keys it misses join unsalted, with the same result.
-HOT_KEYS = 500
-TRACKED_KEYS = 20_000
+# Entries that the heavy-hitter sketch tracks for each key that may be hot, and the most that Spark allows. Keys that it
+# misses join unsalted, with the same result.
+TRACKED_PER_KEY = 40
+MOST_TRACKED = 1_000_000
 
 
 def hot_keys(df: DataFrame, key: str, tasks: int) -> dict[object, int]:
@@ -22,8 +23,10 @@ def hot_keys(df: DataFrame, key: str, tasks: int) -> dict[object, int]:
 
     One pass over one column with a mergeable sketch; fewer than ``tasks / 2`` keys can qualify. NULL is one of them.
     """
+    most = min(tasks // 2 + 1, MOST_TRACKED)
+    tracked = min(max(TRACKED_PER_KEY * most, 20_000), MOST_TRACKED)
     row = df.agg(
-        F.expr(f"approx_top_k(`{key}`, {HOT_KEYS}, {TRACKED_KEYS})").alias("top"),
+        F.expr(f"approx_top_k(`{key}`, {most}, {tracked})").alias("top"),
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col(key).isNull()).alias("nulls"),
     ).first()
