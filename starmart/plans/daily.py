@@ -72,6 +72,7 @@ def refresh_order_items(cfg: MartConfig, raw: Raw) -> None:
 def refresh_dimension(cfg: MartConfig, raw: Raw, spec: DimensionSpec, as_of: dt.date) -> None:
     """Stage the source, find the changes and merge them into the dimension."""
     source, table = raw[spec.source], cfg.table(spec.table)
+    ensure_tables(source.sparkSession, cfg, [spec.table])
     current = read_table(source.sparkSession, table)
     store = partial(_staged, cfg)
     if cfg.table_format in ROW_LEVEL_FORMATS:
@@ -84,6 +85,7 @@ def refresh_dimension(cfg: MartConfig, raw: Raw, spec: DimensionSpec, as_of: dt.
 
 
 def append_order_items(spark: SparkSession, cfg: MartConfig) -> None:
+    ensure_tables(spark, cfg, ["dim_seller", "dim_product", "fact_order_items"])
     fact = fact_order_items(
         read_parquet(spark, cfg.staging, "stg_order_items"),
         read_table(spark, cfg.table("dim_seller")),
@@ -94,6 +96,7 @@ def append_order_items(spark: SparkSession, cfg: MartConfig) -> None:
 
 
 def append_order_summary(spark: SparkSession, cfg: MartConfig) -> None:
+    ensure_tables(spark, cfg, ["dim_customer", "fact_order_summary"])
     fact = fact_order_summary(
         read_parquet(spark, cfg.staging, "stg_orders"),
         read_parquet(spark, cfg.staging, "stg_order_items"),

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import uuid
+import re
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,28 @@ from starmart.sources.contracts import TABLES, relaxed
 # Formats whose catalogs run MERGE themselves.
 ROW_LEVEL_FORMATS = ("iceberg", "delta")
 
+# Snapshots of a file table are numbered folders; Spark's marker, written last, tells the finished ones.
+SNAPSHOT = re.compile(r"snapshot-(\d+)")
+FINISHED = "_SUCCESS"
+
+
+def _snapshots(spark: SparkSession, base: str) -> list[tuple[int, str, bool]]:
+    """Number, location and completeness of every snapshot below ``base``, oldest first."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path
+    files = path(base).getFileSystem(context._jsc.hadoopConfiguration())
+    if not files.exists(path(base)):
+        return []
+    found = [status.getPath() for status in files.listStatus(path(base))]
+    numbered = [(SNAPSHOT.fullmatch(p.getName()), p) for p in found]
+    return sorted((int(m[1]), p.toString(), files.exists(path(p, FINISHED))) for m, p in numbered if m)
+
+
+def live_snapshot(spark: SparkSession, base: str) -> str | None:
+    """Location of the newest finished snapshot, whatever the session's catalog knows."""
+    finished = [location for _, location, done in _snapshots(spark, base) if done]
+    return finished[-1] if finished else None
+
 
 def create_namespace(spark: SparkSession, namespace: str, location: str | None = None) -> None:
     where = f" LOCATION '{location}'" if location else ""
@@ -30,13 +53,25 @@ def create_table(
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING {table_format}{where}")
 
 
-def ensure_tables(spark: SparkSession, cfg: MartConfig) -> None:
-    """Namespace and empty mart tables, where they do not exist yet."""
+def ensure_tables(spark: SparkSession, cfg: MartConfig, names: Iterable[str] = tuple(TABLES)) -> None:
+    """Namespace and mart tables of these names, empty where no data exist yet.
+
+    File tables are attached to their live snapshot, so that a session with a new catalog goes on where the last ended. No
+    other step may replace them meanwhile.
+    """
     base = None if cfg.table_format in ROW_LEVEL_FORMATS else cfg.warehouse.rstrip("/")
     create_namespace(spark, cfg.namespace, base)
-    for name, schema in TABLES.items():
-        schema = schema if cfg.strict else relaxed(schema)
-        create_table(spark, cfg.table(name), schema, cfg.table_format, base and f"{base}/{name}/initial")
+    for name in names:
+        schema = TABLES[name] if cfg.strict else relaxed(TABLES[name])
+        live = base and live_snapshot(spark, f"{base}/{name}")
+        create_table(spark, cfg.table(name), schema, cfg.table_format, live or base and f"{base}/{name}/initial")
+        if live:
+            _attach(spark, cfg.table(name), live)
+
+
+def _attach(spark: SparkSession, table: str, location: str) -> None:
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+    spark.catalog.refreshTable(table)
 
 
 def current_namespace(spark: SparkSession) -> str:
@@ -65,13 +100,16 @@ def load_table(
 def switch_snapshot(df: DataFrame, table: str, base: str) -> None:
     """Replace a file table by a result that may read that same table.
 
-    The new rows go to a folder of their own; readers change over in one catalog update, and a failed write leaves the
-    table as it was.
+    The new rows go to a numbered folder of their own; readers change over in one catalog update, and a failed write
+    leaves the table as it was. The folder alone tells later sessions that it is the live one.
     """
-    location = f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    last = max((number for number, _, _ in _snapshots(spark, base)), default=0)
+    location = f"{base.rstrip('/')}/snapshot-{last + 1:06d}"
     df.write.parquet(location)
-    df.sparkSession.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
-    df.sparkSession.catalog.refreshTable(table)
+    if last + 1 not in [number for number, _, done in _snapshots(spark, base) if done]:
+        raise RuntimeError(f"{location} has no {FINISHED}; mapreduce.fileoutputcommitter.marksuccessfuljobs must be on")
+    _attach(spark, table, location)
 
 
 def merge_into_table(source: DataFrame, table: str, on: str, update_when: Column, update_columns: list[str]) -> None:

@@ -1,6 +1,9 @@
 """Tables, contracts and whole runs over Parquet sources."""
 
 import datetime as dt
+import os
+import subprocess
+import sys
 from decimal import Decimal
 
 import pytest
@@ -16,6 +19,7 @@ from starmart.sources.tables import (
     create_table,
     current_namespace,
     ensure_tables,
+    live_snapshot,
     load_table,
     merge_into_table,
     read_table,
@@ -124,6 +128,21 @@ def test_snapshot_may_read_its_own_table(spark, tmp_path):
     assert rows_of(before, "address") == [("x",)]
 
 
+def test_unfinished_snapshots_are_never_attached(spark, tmp_path):
+    cfg = config(tmp_path, "unfinished")
+    ensure_tables(spark, cfg)
+    base, table = f"{cfg.warehouse}/dim_customer", cfg.table("dim_customer")
+    first = dim_customers(spark, [("k", "a", "x", D(2020, 1, 1), None, True)])
+    switch_snapshot(first, table, base)
+    (tmp_path / "warehouse" / "dim_customer" / "snapshot-000002").mkdir()
+    assert live_snapshot(spark, base).endswith("snapshot-000001")
+    switch_snapshot(read_table(spark, table).withColumn("address", F.lit("y")), table, base)
+    spark.sql(f"DROP TABLE {table}")
+    ensure_tables(spark, cfg)
+    assert live_snapshot(spark, base).endswith("snapshot-000003")
+    assert rows_of(read_table(spark, table), "address") == [("y",)]
+
+
 def test_failed_snapshot_leaves_the_table(spark, tmp_path):
     cfg = config(tmp_path, "failed")
     ensure_tables(spark, cfg)
@@ -216,3 +235,33 @@ def test_session_factory_takes_options(spark):
     session = get_or_create_spark_session("again", {"spark.sql.starmart.probe": "1"})
     assert session.conf.get("spark.sql.starmart.probe") == "1"
     assert session.conf.get("spark.sql.adaptive.enabled") == "true"
+
+
+def test_every_job_may_have_a_process_and_a_catalog_of_its_own(spark, tmp_path):
+    cfg = config(tmp_path, "processes")
+    places = ["--inputs", cfg.inputs, "--staging", cfg.staging, "--warehouse", cfg.warehouse]
+    places += ["--namespace", cfg.namespace, "--calendar-start", "2020-01-01", "--calendar-end", "2020-12-31"]
+    options = "--master local[2] --conf spark.sql.shuffle.partitions=2 --conf spark.ui.enabled=false pyspark-shell"
+    env = os.environ | {"PYTHONPATH": os.pathsep.join(sys.path), "PYSPARK_SUBMIT_ARGS": options}
+
+    def run(job, as_of):
+        command = [sys.executable, "-m", "starmart", job, "--as-of", as_of, *places]
+        done = subprocess.run(command, cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+        assert done.returncode == 0, done.stderr[-3000:]
+
+    write_sources(spark, cfg, "first", D(2020, 2, 1), ["1"])
+    run("daily", "2020-02-02")
+    write_sources(spark, cfg, "second", D(2020, 3, 1), ["2"])
+    for job in JOBS:
+        if job != "daily":
+            run(job, "2020-03-02")
+
+    ensure_tables(spark, cfg)
+    assert rows_of(read_table(spark, cfg.table("dim_customer")), "address", "effective_to", "is_current") == [
+        ("first", D(2020, 3, 1), False),
+        ("second", None, True),
+    ]
+    facts = read_table(spark, cfg.table("fact_order_summary"))
+    customers = read_table(spark, cfg.table("dim_customer"))
+    assert rows_of(facts.join(customers, "customer_sk"), "order_id", "address") == [("1", "first"), ("2", "second")]
+    assert read_table(spark, cfg.table("fact_order_items")).count() == 4
