@@ -7,7 +7,9 @@ document's own occurrences never count for it, so copies within it don't help. T
 
 Words are `[^\\x20\\x09-\\x0D]+` with A-Z lower-cased. Defined results: a document without words has no score (null); its
 first word backs off; a word that no other document has counts ``ALPHA`` times; rows that share an id are one document,
-null ids too; an empty table gives no rows. Hashes are cut to six bytes.
+null ids too; an empty table gives no rows. Hashes are cut to six bytes, a document's sums in a bucket to four.
+
+Between tasks, a slice's bigrams go once with the documents they are in, ids as steps between ascending ones.
 """
 
 from __future__ import annotations
@@ -39,23 +41,63 @@ def _eight(raw: list[bytes]) -> np.ndarray:
     return wide.view(np.uint64).reshape(-1)
 
 
+def _small(values: np.ndarray) -> bytes:
+    """Counts in the fewest bytes that hold the largest one; the first byte tells how many."""
+    kind = np.min_scalar_type(int(values.max(initial=0)))
+    return bytes([kind.itemsize]) + values.astype(kind).tobytes()
+
+
+def _large(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, f"u{raw[0]}", offset=1).astype(np.int64)
+
+
+def _gaps(ids: np.ndarray) -> bytes:
+    """Ascending distinct ids: the first one, then the steps between them."""
+    wide = ids.view(np.uint64)
+    return wide[:1].tobytes() + _small(np.diff(wide))
+
+
+def _ids(raw: bytes) -> np.ndarray:
+    steps = np.frombuffer(raw, f"u{raw[8]}", offset=9).astype(np.uint64)
+    return np.cumsum(np.concatenate([np.frombuffer(raw, np.uint64, 1), steps]), dtype=np.uint64).view(np.int64)
+
+
 def _bucket(word: np.ndarray, buckets: int) -> np.ndarray:
-    return ((word & np.uint64(0xFFFFFFFF)) * np.uint64(buckets)) >> np.uint64(32)
+    """Buckets ascend with the words."""
+    return ((word >> np.uint64(16)) * np.uint64(buckets)) >> np.uint64(32)
+
+
+def _part(ids: np.ndarray, parts: int) -> np.ndarray:
+    """Neighbouring ids mostly share a part, so that the steps between them are small."""
+    mixed = (ids >> 8).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+
 
+def _cuts(numbers: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """The slice of each of these ascending numbers."""
+    used, at = np.unique(numbers, return_index=True)
+    for number, a, b in zip(used.tolist(), at, [*at, len(numbers)][1:], strict=True):
+        yield number, slice(a, b)
 
-def _packets(buckets: int, word: np.ndarray, row: np.ndarray, ids: np.ndarray, **more) -> list[dict]:
-    """For each bucket: its words once with how often they come, and of each occurrence the document and ``more``."""
-    order = np.lexsort((word, _bucket(word, buckets)))
-    word, row = word[order], row[order]
-    bucket = _bucket(word, buckets)
-    used, at = np.unique(bucket, return_index=True)
+
+def _packets(buckets: int, word: np.ndarray, doc: np.ndarray, before: np.ndarray | None = None) -> list[dict]:
+    """For each bucket: its words once, of each the words before it once, how often those come, and in which document."""
+    order = np.argsort(word, kind="stable") if before is None else np.lexsort((before, word))
+    word, doc = word[order], doc[order]
+    before = before if before is None else before[order]
     out = []
-    for b, mine in zip(used.tolist(), np.split(np.arange(len(word)), at[1:])[: len(used)], strict=True):
-        own, index = np.unique(row[mine], return_inverse=True)
-        kinds, runs = np.unique(word[mine], return_counts=True)
-        one = {"bucket": b, "ids": ids[own].tobytes(), "row": index.astype(_narrow(len(own))).tobytes()}
-        one |= {"words": _six(kinds), "runs": runs.astype(np.uint32).tobytes()}
-        out.append(one | {name: pack(values[order][mine]) for name, (values, pack) in more.items()})
+    for b, mine in _cuts(_bucket(word, buckets)):
+        own, index = np.unique(doc[mine], return_inverse=True)
+        pair = np.ones(mine.stop - mine.start, bool)
+        pair[1:] = word[mine][1:] != word[mine][:-1]
+        if before is not None:
+            pair[1:] |= before[mine][1:] != before[mine][:-1]
+        pairs = np.flatnonzero(pair)
+        kinds, runs = np.unique(word[mine][pairs], return_counts=True)
+        one = {"key": b, "ids": _gaps(own), "row": index.astype(_narrow(len(own))).tobytes(), "words": _six(kinds)}
+        if before is not None:
+            one |= {"runs": _small(runs), "before": _six(before[mine][pairs])}
+        out.append(one | {"times": _small(np.diff(pairs, append=len(pair)))})
     return out
 
 
@@ -63,32 +105,43 @@ def _narrow(n: int) -> type:
     return np.uint16 if n <= 1 << 16 else np.uint32
 
 
-def _opened(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word and document of each occurrence in the bucket, and the documents' ids."""
-    ids = [np.frombuffer(x, np.int64) for x in table.column("ids").to_pylist()]
-    runs = np.concatenate([np.frombuffer(x, np.uint32) for x in table.column("runs").to_pylist()])
+def _opened(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Word, document and, where kept, word before of each occurrence in the bucket, and the documents' ids."""
+    ids = [_ids(x) for x in table.column("ids").to_pylist()]
     rows = [np.frombuffer(x, _narrow(len(i))) for x, i in zip(table.column("row").to_pylist(), ids, strict=True)]
     every, index = np.unique(np.concatenate(ids), return_inverse=True)
-    before = np.cumsum([0, *map(len, ids)])
-    row = np.concatenate([index[r.astype(np.int64) + b] for r, b in zip(rows, before, strict=False)])
-    return np.repeat(_eight(table.column("words").to_pylist()), runs), row, every
+    at = np.cumsum([0, *map(len, ids)])
+    row = np.concatenate([index[r.astype(np.int64) + b] for r, b in zip(rows, at, strict=False)])
+    times = np.concatenate([_large(x) for x in table.column("times").to_pylist()])
+    word, before = _eight(table.column("words").to_pylist()), np.empty(0, np.uint64)
+    if "before" in table.column_names:
+        word = np.repeat(word, np.concatenate([_large(x) for x in table.column("runs").to_pylist()]))
+        before = np.repeat(_eight(table.column("before").to_pylist()), times)
+    return np.repeat(word, times), row, before, every
+
+
+def _sums(parts: int, ids: np.ndarray, total: np.ndarray, **counts: np.ndarray) -> list[dict]:
+    """Figures of these ascending ids, in packets for the parts."""
+    order = np.argsort(_part(ids, parts), kind="stable")
+    out = []
+    for part, mine in _cuts(_part(ids, parts)[order]):
+        own = order[mine]
+        one = {"kind": "doc", "key": part, "ids": _gaps(ids[own]), "total": total[own].astype(np.float32).tobytes()}
+        out.append(one | {name: _small(values[own]) for name, values in counts.items()})
+    return out
 
 
 def _occurrences(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    schema = pa.schema(
-        [("bucket", pa.int32()), *[(n, pa.binary()) for n in ("ids", "row", "words", "runs", "before")]]
-    )
+    schema = pa.schema([("key", pa.int32()), *[(n, pa.binary()) for n in DEALT]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches):
             hashes, _, first = words(*flat(texts), SPACED)
             hashes = (hashes & LOW) | np.uint64(1)
-            before = np.concatenate([[np.uint64(0)], hashes[:-1]]).astype(np.uint64)
+            before = np.concatenate([np.zeros(1, np.uint64), hashes])[: len(hashes)]
             before[first[:-1][np.diff(first) > 0]] = 0
-            row = np.repeat(np.arange(len(texts)), np.diff(first))
-            ids = batch.column("doc").field("id").to_numpy()
-            out = _packets(buckets, hashes, row, ids, before=(before, _six))
-            yield pa.RecordBatch.from_pylist(out, schema=schema)
+            ids = np.repeat(batch.column("doc").field("id").to_numpy(), np.diff(first))
+            yield pa.RecordBatch.from_pylist(_packets(buckets, hashes, ids, before), schema=schema)
 
     return run
 
@@ -111,60 +164,60 @@ def _counts(*keys: np.ndarray) -> np.ndarray:
 
 def _score(buckets: int) -> Callable[[pa.Table], pa.Table]:
     def run(table: pa.Table) -> pa.Table:
-        word, row, ids = _opened(table)
-        before = _eight(table.column("before").to_pylist())
+        word, row, before, ids = _opened(table)
+        own = table.column("key")[0].as_py()
         others = _counts(word, before) - _counts(word, before, row)
         rest = _counts(word) - _counts(word, row)
         seen = (others > 0) & (before > 0)
         terms = np.where(seen, np.log(np.maximum(others, 1)), np.log(np.where(rest > 0, ALPHA * rest, ALPHA * ALPHA)))
-        n = np.bincount(row, minlength=len(ids))
-        out = [
-            {"kind": "doc", "id": i, "n": c, "backed": k, "total": t}
-            for i, c, k, t in zip(
-                ids.tolist(),
-                n.tolist(),
-                np.bincount(row[~seen], minlength=len(ids)).tolist(),
-                np.bincount(row, terms, minlength=len(ids)).tolist(),
-                strict=True,
-            )
-        ]
+        n, backed = np.bincount(row, minlength=len(ids)), np.bincount(row[~seen], minlength=len(ids))
+        out = _sums(buckets, ids, np.bincount(row, terms, minlength=len(ids)), n=n, backed=backed)
         kinds, counts = np.unique(word, return_counts=True)
-        own = int(table.column("bucket")[0].as_py())
-        out.append({"kind": "words", "bucket": own, "words": _six(kinds), "runs": counts.astype(np.int64).tobytes()})
-        out += [{"kind": "divide", **p} for p in _packets(buckets, before[seen], row[seen], ids)]
+        out.append({"kind": "words", "key": own, "words": _six(kinds), "times": _small(counts), "size": len(word)})
+        out += [{"kind": "divide", **p} for p in _packets(buckets, before[seen], ids[row[seen]])]
         return pa.Table.from_pylist(out, schema=_TERMS)
 
     return run
 
 
+DEALT = ("ids", "row", "words", "runs", "before", "times")
+TERMS = ("ids", "row", "words", "times", "n", "backed", "total")
 _TERMS = pa.schema(
-    [
-        ("kind", pa.string()),
-        ("bucket", pa.int32()),
-        ("ids", pa.binary()),
-        ("row", pa.binary()),
-        ("words", pa.binary()),
-        ("runs", pa.binary()),
-        ("id", pa.int64()),
-        ("n", pa.int64()),
-        ("backed", pa.int64()),
-        ("total", pa.float64()),
-    ]
+    [("kind", pa.string()), ("key", pa.int32()), *[(n, pa.binary()) for n in TERMS], ("size", pa.int64())]
 )
+PART = ("key", "ids", "n", "backed", "total")
+_PART = pa.schema([_TERMS.field(n) for n in PART])
 
 
-def _divide(table: pa.Table) -> pa.Table:
+def _divide(buckets: int) -> Callable[[pa.Table], pa.Table]:
     """For each document the logarithms of its first words' counts."""
-    kind = table.column("kind").to_numpy(zero_copy_only=False)
-    counts = table.filter(pa.array(kind == "words"))
-    entries = table.filter(pa.array(kind == "divide"))
-    if not len(entries):
-        return pa.table({"id": pa.array([], pa.int64()), "total": pa.array([], pa.float64())})
-    known = _eight(counts.column("words").to_pylist())
-    times = np.concatenate([np.frombuffer(x, np.int64) for x in counts.column("runs").to_pylist()])
-    word, row, ids = _opened(entries)
-    logs = -np.log(times[np.searchsorted(known, word)])
-    return pa.table({"id": ids, "total": np.bincount(row, logs, minlength=len(ids))})
+
+    def run(table: pa.Table) -> pa.Table:
+        kind = table.column("kind").to_numpy(zero_copy_only=False)
+        counts = table.filter(pa.array(kind == "words"))
+        entries = table.filter(pa.array(kind == "divide"))
+        if not len(entries):
+            return _PART.empty_table()
+        known = _eight(counts.column("words").to_pylist())
+        times = np.concatenate([_large(x) for x in counts.column("times").to_pylist()])
+        word, row, _, ids = _opened(entries)
+        logs = -np.log(times[np.searchsorted(known, word)])
+        none = np.zeros(len(ids), np.int64)
+        total = np.bincount(row, logs, minlength=len(ids))
+        return pa.Table.from_pylist(_sums(buckets, ids, total, n=none, backed=none), schema=_PART)
+
+    return run
+
+
+def _gathered(table: pa.Table) -> pa.Table:
+    """The figures of each document of the part."""
+    every, index = np.unique(np.concatenate([_ids(x) for x in table.column("ids").to_pylist()]), return_inverse=True)
+    columns = {"id": every}
+    for name in ("n", "backed"):
+        values = np.concatenate([_large(x) for x in table.column(name).to_pylist()])
+        columns[name] = np.bincount(index, values, minlength=len(every)).astype(np.int64)
+    values = np.concatenate([np.frombuffer(x, np.float32) for x in table.column("total").to_pylist()])
+    return pa.table(columns | {"total": np.bincount(index, values, minlength=len(every))})
 
 
 def score_documents(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
@@ -172,18 +225,14 @@ def score_documents(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFr
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-size // bucket_bytes))
     rows = packed(docs.select(F.coalesce("doc_id", F.lit(NONE)).cast("bigint").alias("id"), "text"))
-    dealt = rows.mapInArrow(
-        _occurrences(buckets), "bucket int, ids binary, row binary, words binary, runs binary, before binary"
-    )
-    terms = "kind string, bucket int, ids binary, row binary, words binary, runs binary"
-    terms = dealt.groupBy("bucket").applyInArrow(_score(buckets), f"{terms}, id bigint, n bigint, backed bigint, total double")
-    terms = store(terms, "lm_terms")
-    divided = terms.filter("kind != 'doc'").drop("id", "n", "backed", "total").groupBy("bucket")
-    divided = divided.applyInArrow(_divide, "id bigint, total double")
-    own = terms.filter("kind = 'doc'").select("id", "n", "backed", "total")
-    parts = own.unionByName(divided.withColumns({"n": F.lit(0).cast("bigint"), "backed": F.lit(0).cast("bigint")}))
-    scores = parts.groupBy("id").agg(F.sum("n").alias("n"), F.sum("backed").alias("backed"), F.sum("total").alias("total"))
-    every = own.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("all")).scalar()
+    dealt = rows.mapInArrow(_occurrences(buckets), ", ".join(["key int", *[f"{n} binary" for n in DEALT]]))
+    schema = ", ".join(["kind string, key int", *[f"{n} binary" for n in TERMS], "size bigint"])
+    terms = store(dealt.groupBy("key").applyInArrow(_score(buckets), schema), "lm_terms")
+    divided = terms.filter("kind != 'doc'").select("kind", "key", "ids", "row", "words", "times").groupBy("key")
+    divided = divided.applyInArrow(_divide(buckets), "key int, " + ", ".join(f"{n} binary" for n in PART[1:]))
+    parts = terms.filter("kind = 'doc'").select(*PART).unionByName(divided)
+    scores = parts.groupBy("key").applyInArrow(_gathered, "id bigint, n bigint, backed bigint, total double")
+    every = terms.filter("kind = 'words'").agg(F.coalesce(F.sum("size"), F.lit(0)).alias("all")).scalar()
     score = (F.col("total") - F.col("backed") * F.log(every)) / F.col("n")
     named = docs.select("doc_id", F.coalesce("doc_id", F.lit(NONE)).cast("bigint").alias("id"))
     return named.join(scores, "id", "left").select(
