@@ -39,8 +39,9 @@ def fact_order_items(
 ) -> DataFrame:
     """One row per staged item and valid seller and product version.
 
-    ``raw_items`` may name a cheaper place than ``items`` to look for hot keys.
+    ``raw_items`` may name a cheaper place than ``items`` to look for hot keys; they are never looked for in a join.
     """
+    hot_in = items if raw_items is None else raw_items
     for versions, key, sk in ((sellers, "seller_id", "seller_sk"), (products, "product_id", "product_sk")):
         items = point_in_time_join(
             items,
@@ -49,7 +50,7 @@ def fact_order_items(
             "order_date",
             sk,
             spread=["order_id", "order_item_id"],
-            hot_in=raw_items,
+            hot_in=hot_in,
             broadcast_rows=broadcast_rows,
         )
     roles = {"order_date_key": "order_date", "shipping_limit_date_key": "shipping_limit_date"}

@@ -240,6 +240,29 @@ FROM stg_orders o LEFT JOIN order_totals t ON o.order_id = t.order_id
 {_as_of('o', 'customer')}""",
 )
 
+EARLY = f"coalesce(order_purchase_date < {FIRST_RUN}, false)"
+
+
+def _two_runs(fact: str, *dimensions: str) -> str:
+    """A fact after two daily runs: each over its own orders, with the dimensions as they are after it."""
+    first, second = fact, fact
+    for name in dimensions:
+        first = first.replace(f"LEFT JOIN dim_{name} ", f"LEFT JOIN {name}_dim1 ")
+    first, second = (
+        sql.replace("FROM raw_orders", f"FROM (SELECT * FROM raw_orders WHERE {batch})").replace(
+            "JOIN raw_orders o ON", f"JOIN (SELECT * FROM raw_orders WHERE {batch}) o ON"
+        )
+        for sql, batch in ((first, EARLY), (second, f"NOT {EARLY}"))
+    )
+    return f"SELECT * FROM ({first}) UNION ALL SELECT * FROM ({second})"
+
+
+def _wide(sql: str, *amounts: str) -> str:
+    """Amounts as the relaxed tables hold them."""
+    wider = ", ".join(f"CAST({c} AS DECIMAL(20,2)) AS {c}" for c in amounts)
+    return f"SELECT * REPLACE ({wider}) FROM ({sql})" if amounts else sql
+
+
 ROLE_KEYS = ", ".join(f"{key}_dim.date_key AS {key}" for key in ORDER_ROLES)
 ROLE_JOINS = "\n".join(_hash_date_join(f"{key}_dim", f"o.{column}") for key, column in ORDER_ROLES.items())
 
@@ -369,6 +392,9 @@ FROM stg_orders o {_as_of('o', 'customer')}""",
             FACT_ITEMS, "order_id, order_item_id, seller_sk NULLS FIRST, product_sk NULLS FIRST", 5
         ),
         "topk_fact_summary": _first(FACT_SUMMARY, "order_id, customer_sk NULLS FIRST", 10),
+        "daily_dim_date": _with(DIM_DATE, select="SELECT * FROM dim_date"),
+        "daily_fact_order_items": _wide(_two_runs(FACT_ITEMS, "seller", "product"), "item_value", "freight_value"),
+        "daily_fact_order_summary": _two_runs(FACT_SUMMARY, "customer"),
         "daily_run_counts": _with(
             *STAGED,
             DIM_DATE,
@@ -390,7 +416,7 @@ FROM stg_orders o {_as_of('o', 'customer')}""",
         sql[f"pit_join_{name}"] = _with(
             *RAW, STG_ITEMS, _history(name), select=PIT_ITEMS.format(name=name, a=name[0], join=_as_of("i", name))
         )
-    for name, (_, key, _columns, _tracked) in DIMENSIONS.items():
+    for name, (_, key, columns, _tracked) in DIMENSIONS.items():
         history = _history(name)
         sql[f"stg_{name}"] = _with(_whole_feed(name), select=f"SELECT * FROM stg_{name}")
         sql[f"scd2_new_{name}"] = _with(history, select=f"SELECT * FROM {name}_new")
@@ -398,6 +424,8 @@ FROM stg_orders o {_as_of('o', 'customer')}""",
         sql[f"scd2_delta_{name}"] = _with(history, select=f"SELECT * FROM {name}_delta")
         sql[f"merge_dim_{name}"] = _with(history, select=f"SELECT * FROM dim_{name}")
         sql[f"dim_{name}_after_2_batches"] = sql[f"merge_dim_{name}"]
+        amounts = [c for c in columns.values() if c == "price"]
+        sql[f"daily_dim_{name}"] = _wide(sql[f"merge_dim_{name}"], *amounts)
         sql[f"topk_dim_{name}"] = _with(
             history, select=f"SELECT * FROM dim_{name} ORDER BY {key}, effective_from LIMIT 5"
         )

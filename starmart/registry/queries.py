@@ -46,8 +46,7 @@ from starmart.sources.tables import create_namespace, create_table, load_table,
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# The test tables span 1995 to 2001. The change feeds arrive in two batches that together cover every row.
-CALENDAR = Calendar(dt.date(1995, 1, 1), dt.date(2001, 12, 31))
+# The change feeds arrive in two batches that together cover every row.
 FLOOR = dt.date(1994, 12, 31)
 FIRST_RUN = dt.date(1998, 1, 1)
 SECOND_RUN = dt.date(2002, 1, 1)
@@ -285,6 +284,11 @@ def _order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _calendar(spark: SparkSession, sf_dir: str) -> Calendar:
+    """The same days as a setting; one row comes to the driver."""
+    return Calendar(*_order_days(spark, sf_dir).first())
+
+
 def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return date_dimension(_order_days(spark, sf_dir))
 
@@ -307,7 +311,8 @@ def join_role_playing_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def date_key_arith(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = retail.raw_orders(spark, sf_dir).withColumnsRenamed(ORDER_RENAMES)
-    return orders.select("order_id", *[date_key(F.col(c), CALENDAR).alias(k) for k, c in ORDER_DATE_ROLES.items()])
+    calendar = _calendar(spark, sf_dir)
+    return orders.select("order_id", *[date_key(F.col(c), calendar).alias(k) for k, c in ORDER_DATE_ROLES.items()])
 
 
 def pit_join_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -341,30 +346,32 @@ def _pit_join_items(spec: DimensionSpec, spark: SparkSession, sf_dir: str) -> Da
 
 
 def order_items_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items, sellers, products = together(
+    items, calendar, sellers, products = together(
         partial(stg_order_items, spark, sf_dir),
+        partial(_calendar, spark, sf_dir),
         *[partial(_dimension, spec, spark, sf_dir) for spec in (SELLER, PRODUCT)],
     )
     return fact_order_items(
         items,
         sellers,
         products,
-        CALENDAR,
+        calendar,
         raw_items=retail.raw_order_items(spark, sf_dir),
     )
 
 
 def order_summary_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders, items, customers = together(
+    orders, items, calendar, customers = together(
         partial(stg_orders, spark, sf_dir),
         partial(stg_order_items, spark, sf_dir),
+        partial(_calendar, spark, sf_dir),
         partial(_dimension, CUSTOMER, spark, sf_dir),
     )
     return fact_order_summary(
         orders,
         items,
         customers,
-        CALENDAR,
+        calendar,
         raw_orders=retail.raw_orders(spark, sf_dir),
     )
 
@@ -383,18 +390,37 @@ def _top(query: Query, order_by: list[str], n: int, spark: SparkSession, sf_dir:
     return spark.sql(f"SELECT * FROM {view} ORDER BY {', '.join(order_by)} LIMIT {n}")
 
 
-def daily_run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One run of the mart over the whole feeds, then the rows of each table the catalog lists."""
+def _new_mart(spark: SparkSession, sf_dir: str) -> MartConfig:
     base = new_location(spark, "mart")
-    cfg = MartConfig(
+    return MartConfig(
         inputs=sf_dir,
         staging=f"{base}/staging",
         warehouse=f"{base}/warehouse",
         namespace=f"starmart_{uuid.uuid4().hex}",
-        calendar=CALENDAR,
+        calendar=_calendar(spark, sf_dir),
         floor_date=FLOOR,
         strict=False,
     )
+
+
+def _daily_table(table: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of the mart after two daily runs, one for each batch of the feeds and of the orders."""
+    cfg = _new_mart(spark, sf_dir)
+    orders = retail.raw_orders(spark, sf_dir)
+    early = F.coalesce(F.col("order_purchase_date") < F.lit(FIRST_RUN), F.lit(False))
+    for as_of, span, batch in (
+        (FIRST_RUN, {"until": FIRST_RUN}, early),
+        (SECOND_RUN, {"since": FIRST_RUN}, ~early),
+    ):
+        raw = {SPECS[name].source: feed(spark, sf_dir, **span) for name, feed in FEEDS.items()}
+        raw |= {"orders": orders.filter(batch), "order_items": retail.raw_order_items(spark, sf_dir)}
+        run_daily(spark, cfg, as_of, raw)
+    return read_table(spark, cfg.table(table))
+
+
+def daily_run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run of the mart over the whole feeds, then the rows of each table the catalog lists."""
+    cfg = _new_mart(spark, sf_dir)
     raw = {
         **{SPECS[name].source: feed(spark, sf_dir) for name, feed in FEEDS.items()},
         "orders": retail.raw_orders(spark, sf_dir),
@@ -447,6 +473,9 @@ def all_queries() -> dict[str, Query]:
         ),
         "topk_fact_summary": partial(_top, order_summary_fact, ["order_id", "customer_sk"], 10),
         "daily_run_counts": daily_run_counts,
+        "daily_dim_date": partial(_daily_table, "dim_date"),
+        "daily_fact_order_items": partial(_daily_table, "fact_order_items"),
+        "daily_fact_order_summary": partial(_daily_table, "fact_order_summary"),
     }
     for spec in SPECS.values():
         name = spec.table.removeprefix("dim_")
@@ -457,6 +486,7 @@ def all_queries() -> dict[str, Query]:
             f"scd2_delta_{name}": partial(_delta, spec),
             f"merge_dim_{name}": partial(_merged, spec),
             f"dim_{name}_after_2_batches": partial(_loaded, spec),
+            f"daily_dim_{name}": partial(_daily_table, spec.table),
             f"topk_dim_{name}": partial(_top, partial(_loaded, spec), [spec.key, "effective_from"], 5),
         }
     return queries
