@@ -2,7 +2,8 @@
 
 A document's text is cut into leaves of whole pieces (between pre-tokens, see ``token_files``); a segment tree has the
 tokens of every subtree. Trees are kept as a table. For a document with edits, only the leaves that an edit touches, with
-the one its last character before and first character behind are in, are encoded again, and the sums above them updated.
+the one its last character before and first character behind are in and those before that end in white space, are
+encoded again, and the sums above them updated.
 
 Defined results: a null text has no tokens; edits (``start``, ``stop``, ``replacement``, in characters of the old text) are
 cut to the text, and of overlapping ones those that begin later are skipped; null replacements delete; edits of unknown
@@ -54,11 +55,12 @@ class Tree:
 def _leaves(encode: Encoder, text: str) -> list[str]:
     out, held, size = [], [], 0
     for piece in encode.pieces(text):
-        held.append(piece)
-        size += len(piece)
-        if size >= LEAF_CHARS:
+        # Not beside the string of an added token: an edit of the string joins it with its neighbours.
+        if size >= LEAF_CHARS and piece[:1] == " ":
             out.append("".join(held))
             held, size = [], 0
+        held.append(piece)
+        size += len(piece)
     return [*out, "".join(held)] if held else out
 
 
@@ -97,6 +99,8 @@ def edited_count(encode: Encoder, text: str, chars: list[int], sums: list[int],
         a = max(int(np.searchsorted(bounds, max(start - 1, 0), "right")) - 1, 0)
         b = max(min(int(np.searchsorted(bounds, stop, "right")) - 1, len(chars) - 1), 0)
         a = min(a, max(len(chars) - 1, 0))
+        while a and text[bounds[a] - 1].isspace():  # white space up to a new added token is one run
+            a -= 1
         if not regions or a > regions[-1][1]:
             regions.append([a, b, [text[bounds[a] : start]], stop])
         else:

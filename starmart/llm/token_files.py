@@ -6,8 +6,9 @@ for the end). Id ``i`` of a block is at bit ``i * width``, so any slice unpacks
 least that holds the vocabulary. Files follow the ascending order of doc_id; ``read_blocks`` adds each block's first id
 in the whole corpus, from the block sizes.
 
-Defined results: a null or empty text is the end id alone; null ids come first; rows that share an id follow the hash of
-their text, equal rows each have their own entry; an empty table gives no blocks.
+Defined results: a null or empty text is the end id alone; the string of an added token in a text is that token, as the
+library reads it; null ids come first; rows that share an id follow the hash of their text, equal rows each have their
+own entry; an empty table gives no blocks.
 """
 
 from __future__ import annotations
@@ -44,6 +45,8 @@ class Encoder:
 
     The vocabulary's pre-tokens never reach over a space that something other than white space follows: the space begins
     a pre-token. Texts are cut there, each piece is encoded once in a slice by the library, and the ids are put together.
+    Strings of added tokens come first: they are pieces of their own, and what is between them is cut by itself. If one
+    of them takes more than its plain string (white space in or beside it, whole words, normalized text), no text is cut.
     """
 
     def __init__(self, path: str):
@@ -51,11 +54,24 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.size = self.tokenizer.get_vocab_size()
-        self.known = _Ids()
+        added = {t.content: (i, t) for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.known = _Ids({s: np.array([i], np.uint32).tobytes() for s, (i, _) in added.items()})
+        self.whole = any(
+            t.lstrip or t.rstrip or t.single_word or t.normalized or re.search(r"\s", s) for s, (_, t) in added.items()
+        )
+        # Of strings that begin at one place, the library takes the longest.
+        longest = sorted(added, key=len, reverse=True)
+        self.added = re.compile(f"({'|'.join(map(re.escape, longest))})") if added else None
 
     def pieces(self, text: str) -> list[str]:
+        if self.whole:
+            return [text]
+        if self.added and self.added.search(text):
+            return [p for k, s in enumerate(self.added.split(text)) for p in ([s] if k % 2 else self._spaced(s))]
+        return self._spaced(text)
+
+    def _spaced(self, text: str) -> list[str]:
         cut = self._careful(text) if _GAP.search(text) else text.split(" ")
         cut[1:] = [" " + p for p in cut[1:]]
         return cut
@@ -74,6 +90,9 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit numbers."""
+        if self.whole:
+            found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            return [np.array(e.ids, np.uint32).tobytes() for e in found]
         cuts = [self.pieces(t) for t in texts]
         pieces = {p: _CUT.split(p) for p in set().union(*cuts) if p not in self.known}
         fresh = [p for p in set().union(*pieces.values()) if p not in self.known]

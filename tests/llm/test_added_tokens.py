@@ -1,0 +1,107 @@
+"""Strings of the vocabulary's added tokens in texts, against the plain call of the library on whole texts."""
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+from tokenizers import AddedToken, Tokenizer
+
+import corpus_pipeline
+from starmart.llm import queries, token_counts, token_files
+from starmart.llm.queries import vocabulary_path
+
+END = "<|endoftext|>"
+TEXTS = [
+    END,
+    f"hello {END} world",
+    f"hello{END}world",
+    f"x   {END}   y",
+    f"x\n\n {END}\n\n y. ",
+    f" {END}{END} !!{END}!!, a.{END}\nb",
+    f"<|{END}|> <|endoftext| > <|endof text|>",
+    "no marker, but a <mail> and a | b",
+    f"{'word! ' * 60}!!{END}!! {'more  ' * 60} mail me@example.org {END}",
+]
+
+
+@pytest.fixture(scope="module")
+def plain():
+    tokenizer = Tokenizer.from_file(vocabulary_path())
+    return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+@pytest.fixture(scope="module")
+def sf_dir(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("added"))
+    docs = [(i, t, "en", "web", len(t)) for i, t in enumerate(TEXTS)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    spark.createDataFrame(docs, schema).write.parquet(f"{path}/documents.parquet")
+    return path
+
+
+def want_files(plain):
+    out, start = [], 0
+    for doc_id, text in enumerate(TEXTS):
+        ids = [*plain(text), 0]
+        out.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    return out
+
+
+def test_op4(spark, sf_dir, plain):
+    got = queries.op4_token_files(spark, sf_dir).select("doc_id", "start", "n_tokens", "ids_crc32").collect()
+    assert sorted(map(tuple, got)) == want_files(plain)
+
+
+def test_pipeline_last_stage(spark, sf_dir, plain):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    assert sorted(map(tuple, corpus_pipeline.token_output(spark, docs, sf_dir).collect())) == want_files(plain)
+
+
+def test_op5(spark, sf_dir, plain):
+    got = {r.doc_id: r for r in queries.op5_edited_token_counts(spark, sf_dir).collect()}
+    assert sorted(got) == list(range(len(TEXTS)))
+    for doc_id, text in enumerate(TEXTS):
+        edited = text.replace("me@example.org", "<mail>")
+        assert (got[doc_id].n_tokens, got[doc_id].n_tokens_edited) == (len(plain(text)), len(plain(edited)))
+
+
+def test_edits_that_make_and_undo_added_tokens(plain):
+    """Random texts of small leaves under random edits."""
+    encode, rng = token_files.Encoder(vocabulary_path()), random.Random(7)
+    parts = [END, "<|endof", "text|>", " ", "  ", "\n", "\n\n", "!!", "word", " word", ".", "\t", " ", "|>", "'s"]
+    for _ in range(3000):
+        text = "".join(rng.choices(parts, k=rng.randrange(30)))
+        size, token_counts.LEAF_CHARS = token_counts.LEAF_CHARS, rng.choice([1, 4, 9])
+        try:
+            leaves = token_counts._leaves(encode, text)
+        finally:
+            token_counts.LEAF_CHARS = size
+        assert "".join(leaves) == text
+        counts = token_counts._count(encode, leaves)
+        assert sum(counts) == len(plain(text))
+        places = sorted(rng.choices(range(len(text) + 1), k=2 * rng.randrange(3)))
+        edits = [
+            {"start": a, "stop": b, "replacement": "".join(rng.choices(parts, k=rng.randrange(3)))}
+            for a, b in zip(places[::2], places[1::2], strict=True)
+        ]
+        sums = token_counts.Tree(np.array(counts, np.int64)).sums.tolist()
+        got, done, _ = token_counts.edited_count(encode, text, [len(leaf) for leaf in leaves], sums, edits)
+        new, at, n = "", 0, 0
+        for e in sorted(edits, key=lambda e: (e["start"], e["stop"], e["replacement"])):
+            if n and e["start"] < at:
+                continue
+            new, at, n = new + text[at : e["start"]] + e["replacement"], e["stop"], n + 1
+        assert (got, done) == (len(plain(new + text[at:])), n), (text, edits)
+
+
+def test_other_added_tokens(tmp_path):
+    """Added tokens that take more than their string."""
+    for token in (AddedToken("<sep>", lstrip=True), AddedToken("word", single_word=True), AddedToken("a b")):
+        tokenizer = Tokenizer.from_file(vocabulary_path())
+        tokenizer.add_tokens([token])
+        tokenizer.save(path := str(tmp_path / "added.json"))
+        texts = ["a  <sep> b", "sword word  words", f"x a b. {END}", ""]
+        got = [np.frombuffer(ids, "<u4").tolist() for ids in token_files.Encoder(path).encode(texts)]
+        assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
