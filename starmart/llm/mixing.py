@@ -15,9 +15,12 @@ rows; a source without words takes nothing.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from decimal import Decimal
+from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm.prefix import running_total
@@ -40,21 +43,24 @@ def _unit(*parts: Column) -> Column:
 def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, total: float = 1.5, most: float = 2.0) -> DataFrame:
     """``source``, ``source_size``, ``target`` for each source of the rows (``source``, ``size``)."""
     one = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    position = F.row_number().over(Window.orderBy(F.asc_nulls_last("source"))) - 1
-    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (position % len(weights) + 1).cast("int"))
-    one = one.withColumn("_weight", weight).withColumn("_cap", F.col("source_size") * F.lit(float(most)))
-    ratio = F.col("_cap") / F.col("_weight")
-    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    lower = Window.orderBy(ratio, F.asc_nulls_last("source")).rowsBetween(Window.unboundedPreceding, -1)
-    one = (
-        one.withColumn("_goal", F.sum("source_size").over(everything) * F.lit(float(total)))
-        .withColumn("_rest", F.sum("_weight").over(everything) - F.coalesce(F.sum("_weight").over(lower), F.lit(0.0)))
-        .withColumn("_left", F.col("_goal") - F.coalesce(F.sum("_cap").over(lower), F.lit(0.0)))
-        .withColumn("_level", F.col("_left") / F.col("_rest"))
-    )
+    one = running_total(one, [], [F.asc_nulls_last("source")], F.lit(1).cast("bigint"), "_position")
+    # Only the weights' ratios count; as whole numbers their sums don't depend on the order.
+    parts = [Fraction(str(w)) for w in weights]
+    whole = [Decimal(int(p * math.lcm(*[q.denominator for q in parts]))) for p in parts]
+    weight = F.element_at(F.array(*[F.lit(w) for w in whole]), (F.col("_position") % len(whole) + 1).cast("int"))
+    one = one.withColumn("_whole", weight.cast("decimal(20,0)")).withColumn("_weight", F.col("_whole").cast("double"))
+    one = one.withColumn("_ratio", F.col("source_size") * F.lit(float(most)) / F.col("_weight"))
+    lower = [F.col("_ratio"), F.asc_nulls_last("source")]
+    one = running_total(one, [], lower, F.col("source_size"), "_size_below")
+    one = running_total(one, [], lower, F.col("_whole"), "_weight_below")
+    sums = one.agg(F.sum("source_size").alias("_sizes"), F.sum("_whole").alias("_weights"))
+    one = one.crossJoin(F.broadcast(sums))
+    left = F.col("_sizes") * F.lit(float(total)) - F.col("_size_below") * F.lit(float(most))
+    one = one.withColumn("_own_level", left / (F.col("_weights") - F.col("_weight_below")).cast("double"))
     # The sources below the first one whose cap reaches the level are full.
-    level = F.max(F.when(F.col("_level") <= ratio, F.col("_level"))).over(everything)
-    target = F.least(F.coalesce(level, ratio) * F.col("_weight"), F.col("_cap"))
+    level = one.agg(F.max(F.when(F.col("_own_level") <= F.col("_ratio"), F.col("_own_level"))).alias("_level"))
+    one = one.crossJoin(F.broadcast(level))
+    target = F.least(F.coalesce("_level", "_ratio") * F.col("_weight"), F.col("source_size") * F.lit(float(most)))
     return one.select("source", "source_size", target.alias("target"))
 
 
