@@ -7,13 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from starmart.llm import (
+    clustering,
     decontaminate,
     lm_scoring,
     mixing,
     near_dup,
+    packing,
     quality_model,
     quality_rules,
     repeats,
+    resampling,
     sharding,
     token_counts,
     token_files,
@@ -24,8 +27,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Records of one Arrow batch; with bytes bounded as well, a batch of long texts stays small.
 BATCH_ROWS = 1_000
-# The vocabulary file of the registered queries; every operator takes a path.
+# The vocabulary files of the registered queries; every operator takes a path.
 VOCABULARY = "byte_bpe_50k.json"
+PACKED_VOCABULARY = "word_bpe_49k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -36,10 +40,10 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return table.select(*columns) if columns else table
 
 
-def vocabulary_path() -> str:
+def vocabulary_path(name: str = VOCABULARY) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(VOCABULARY)
+    return public_tokenizers.path(name)
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,6 +98,21 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.digest(quality_rules.apply_rules(docs, labels, carry=["doc_id", "lang"]))
 
 
+def op11_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.digest(*clustering.cluster(table(spark, sf_dir, "embeddings", "vec_id", "embedding")))
+
+
+def op12_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return packing.digest(packing.read_packed(spark, packing.write_packed(docs, vocabulary_path(PACKED_VOCABULARY))))
+
+
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    weighed = resampling.weigh(docs, table(spark, sf_dir, "benchmark", "text"))
+    return resampling.digest(resampling.draw(weighed))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op1_decontaminate": op1_decontaminate,
@@ -106,4 +125,7 @@ def all_queries() -> dict[str, Query]:
         "op8_near_duplicates": op8_near_duplicates,
         "op9_quality_score": op9_quality_score,
         "op10_quality_rules": op10_quality_rules,
+        "op11_cluster": op11_cluster,
+        "op12_pack": op12_pack,
+        "op13_resample": op13_resample,
     }

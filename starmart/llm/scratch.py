@@ -19,6 +19,10 @@ class Scratch:
         self._paths.append((out, path))
         return out
 
+    def adopt(self, df: DataFrame, path: str) -> None:
+        """Counts a table at ``path`` that something else has written among these."""
+        self._paths.append((df, path))
+
     def release(self, *keep: DataFrame) -> None:
         """Deletes all stored tables but these. Nothing that still reads the others may run after it."""
         for df, path in self._paths:

@@ -105,7 +105,6 @@ def tokens(docs, path, end=0):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     out, start = [], 0
     for doc_id, text in sorted(docs, key=lambda d: (d[0] is not None, d[0] or 0)):
         ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, end]
@@ -162,7 +161,6 @@ def redacted_counts(docs, path, patterns):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
 
     def count(text):
         return len(tokenizer.encode(text, add_special_tokens=False).ids)
@@ -179,3 +177,70 @@ def redacted_counts(docs, path, patterns):
             at, n = stop, n + 1
         out.append((doc_id, count(text), n, count("".join(parts) + text[at:])))
     return out
+
+
+def clusters(vectors, k=8, rounds=10, seed=3, dims=64):
+    """(vec_id, cluster, distance, cluster inertia, inertia, sha) of (vec_id, vector), in Python's whole numbers."""
+    import math
+
+    kept = []
+    for i, v in vectors:
+        if v is not None and len(v) == dims and all(x is not None and math.isfinite(x) for x in v):
+            kept.append((i, tuple(math.floor(1024 * x) for x in v)))
+    named = [(hashlib.sha256(f"{seed}:{'null' if i is None else i}".encode()).hexdigest(), x) for i, x in kept]
+    centroids = [x for _, x in sorted(named)[:k]]
+
+    def nearest(x):
+        return min((sum((a - b) ** 2 for a, b in zip(x, c, strict=True)), n) for n, c in enumerate(centroids))
+
+    for _ in range(rounds):
+        own = defaultdict(list)
+        for _, x in kept:
+            own[nearest(x)[1]].append(x)
+        centroids = [
+            tuple(sum(column) // len(own[n]) for column in zip(*own[n], strict=True)) if n in own else c
+            for n, c in enumerate(centroids)
+        ]
+    found = [(i, *nearest(x)[::-1]) for i, x in kept]
+    inertia = Counter()
+    for _, n, d in found:
+        inertia[n] += d
+    sha = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids]
+    return [(i, n, d, inertia[n], sum(inertia.values()), sha[n]) for i, n, d in found]
+
+
+def importance(docs, target, buckets=10_000, percent=5, min_words=20):
+    """(doc_id, n_features, weight, score, rank) of (doc_id, text); ``target`` has texts."""
+    import math
+
+    def features(text):
+        w = ALNUM.findall((text or "").translate(ASCII_LOWER))
+        grams = [" ".join(w[i : i + n]) for n in (1, 2, 3) for i in range(len(w) - n + 1)]
+        return len(w), [zlib.crc32(g.encode()) % buckets for g in grams]
+
+    own = [(i, *features(t)) for i, t in docs]
+    s, t = Counter(b for _, _, f in own for b in f), Counter(b for x in target for b in features(x)[1])
+    all_s, all_t = sum(s.values()), sum(t.values())
+    gain = [
+        math.floor(1000 * math.log((t[b] + 1) * (all_s + buckets) / ((s[b] + 1) * (all_t + buckets))))
+        for b in range(buckets)
+    ]
+    rows = []
+    for i, n, f in own:
+        h = int(hashlib.sha256(f"42:{'null' if i is None else i}".encode()).hexdigest()[:8], 16)
+        weight = sum(gain[b] for b in f)
+        rows.append((i, n, len(f), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))))
+    able = sorted((r for r in rows if r[1] >= min_words), key=lambda r: (-r[4], r[0] is None, r[0] or 0))
+    # Rows that share an id and a score take the ranks in any order.
+    ranks = defaultdict(list)
+    for rank, r in enumerate(able[: percent * len(able) // 100], 1):
+        ranks[r].append(rank)
+    return [(r[0], *r[2:], ranks[r].pop(0) if ranks[r] else None) for r in rows]
+
+
+def example_ids(docs, path, end=2):
+    """Per (doc_id, text): its ids and the end id."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    return [(i, [*tokenizer.encode(t or "", add_special_tokens=False).ids, end]) for i, t in docs]

@@ -1,0 +1,82 @@
+"""Dimension-sharded clustering against plain whole-number rounds and SQL."""
+
+import math
+
+import duckdb
+import numpy as np
+import pytest
+
+from starmart.llm import clustering, oracle
+from starmart.llm.clustering import Lloyd
+from starmart.llm.queries import all_queries
+from tests.llm import brute
+
+COLUMNS = ("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+SCHEMA = "vec_id bigint, embedding array<double>, label int, chunk int, block string, part int"
+
+
+def figures(found):
+    return sorted((tuple(r) for r in clustering.digest(*found).select(*COLUMNS).collect()), key=repr)
+
+
+def test_query(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
+    got = sorted(tuple(r) for r in all_queries()["op11_cluster"](spark, sf_dir).select(*COLUMNS).collect())
+    assert got == sorted(brute.clusters(rows))
+    duck = duckdb.connect()
+    duck.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{sf_dir}/embeddings.parquet'")
+    want = duck.sql(f"SELECT {', '.join(COLUMNS)} FROM ({oracle.all_oracles()['op11_cluster']})").fetchall()
+    assert got == sorted(want)
+
+
+def vectors(dims):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(i % 3, 0.3, dims).tolist()) for i in range(60)]
+    nothing = [None, [], [1.0] * (dims - 1), [1.0] * (dims + 1), [math.nan] + [1.0] * (dims - 1)]
+    nothing += [[math.inf] * dims, [None] + [1.0] * (dims - 1)]
+    same = [(7, [0.5] * dims)] * 5 + [(None, [0.25] * dims)] * 2
+    far = [(900, [1e5] * dims), (901, [-1e5] * dims)]
+    return rows + [(500 + i, v) for i, v in enumerate(nothing)] + same + far
+
+
+# One whole block, uneven blocks, a block for each dimension; the last two take more than one slice of centroids.
+@pytest.mark.parametrize(("dims", "block_dims", "k"), [(5, 32, 4), (7, 3, 8), (4, 1, 100)])
+def test_edges(spark, dims, block_dims, k):
+    rows = vectors(dims)
+    frame = spark.createDataFrame([(*r, 1, 2, "b", 3) for r in rows], SCHEMA).repartition(3)
+    plan = Lloyd(k=k, dims=dims, rounds=3, block_dims=block_dims)
+    want = brute.clusters(rows, k=k, rounds=3, dims=dims)
+    assert figures(clustering.cluster(frame, plan)) == sorted(want, key=repr)
+
+
+def test_nothing_to_cluster(spark):
+    frame = spark.createDataFrame([(1, None), (2, [1.0])], "vec_id bigint, embedding array<double>")
+    assert figures(clustering.cluster(frame)) == [] == figures(clustering.cluster(frame.limit(0)))
+
+
+def test_size_of_components():
+    got = clustering.whole_numbers(np.array([-0.0005, 131_072.0, 131_073.0, 1e308, -1e308]))
+    assert got.tolist() == [-1, 1 << 27, 1 << 27, 1 << 27, -(1 << 27)]
+    x = np.full((2, 64), clustering.LARGEST)
+    x[1] *= -1
+    assert clustering.partial_distances(x, x).tolist() == [[0, 1 << 62], [1 << 62, 0]]
+
+
+def test_only_distances_and_choices_are_shuffled(spark):
+    """The vectors' packets are joined with the choices where they lie."""
+    plan = Lloyd(k=2, dims=4, block_dims=2)
+    rows = [(i, [float(i)] * 4) for i in range(20)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    cut = frame.selectExpr("vec_id chunk", "0 block", "array(vec_id) ids", "8 size", "unhex('00') data")
+    name, _ = clustering._table(cut, ["chunk"])
+    try:
+        packets = spark.read.table(name)
+        centroids = np.zeros((2, 4), np.int64)
+        chosen = clustering._chosen(packets, plan, centroids)
+        joined = packets.select("chunk", "data").join(chosen.select("chunk", "clusters").hint("shuffle_hash"), "chunk")
+        text = joined._jdf.queryExecution().executedPlan().toString()
+        # One for the partial distances, one for the choices.
+        assert text.count("Exchange hashpartitioning") == 2 and "ShuffledHashJoin" in text
+    finally:
+        spark.sql(f"DROP TABLE {name}")
