@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import os
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -13,8 +14,10 @@ import pyarrow.compute as pc
 from starmart.llm.common import flat, ranges
 
 # What a worker process remembers between slices: this many pieces of at most so many bytes.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 LONGEST = 48
+# Pieces encoded at a time: the library's results are far larger than the ids in them.
+AT_ONCE = 4_096
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E), *range(0x1C, 0x20)]] = True
@@ -88,15 +91,15 @@ class PieceEncoder:
         return out, ends[np.searchsorted(starts, bounds)]
 
     def _distinct(self, pieces: list[bytes]) -> list[bytes]:
-        known = self.known
-        fresh = [p for p in pieces if p not in known]
-        if not fresh:
-            return [known[p] for p in pieces]
-        found = self.tokenizer.encode_batch_fast([p.decode() for p in fresh], add_special_tokens=False)
-        new = {p: np.array(e.ids, np.uint32).tobytes() for p, e in zip(fresh, found, strict=True)}
-        out = [known.get(p) if p in known else new[p] for p in pieces]
-        if len(known) < REMEMBERED:
-            known.update((p, ids) for p, ids in new.items() if len(p) <= LONGEST)
+        out = list(map(self.known.get, pieces))
+        fresh = [i for i, ids in enumerate(out) if ids is None]
+        for at in range(0, len(fresh), AT_ONCE):
+            some = fresh[at : at + AT_ONCE]
+            found = self.tokenizer.encode_batch_fast([pieces[i].decode() for i in some], add_special_tokens=False)
+            for i, e in zip(some, found, strict=True):
+                out[i] = array("I", e.ids).tobytes()
+        if len(self.known) < REMEMBERED:
+            self.known.update((pieces[i], out[i]) for i in fresh if len(pieces[i]) <= LONGEST)
         return out
 
 
