@@ -6,9 +6,12 @@ for the end). Id ``i`` of a block is at bit ``i * width``, so any slice unpacks
 least that holds the vocabulary. Files follow the ascending order of doc_id; ``read_blocks`` adds each block's first id
 in the whole corpus, from the block sizes.
 
-Defined results: a null or empty text is the end id alone; the string of an added token in a text is that token, as the
+Texts are encoded by their distinct pieces (``pieces``): numbered in Arrow, encoded once, their ids gathered in numpy.
+
+Defined results: a null or empty text is the end id alone; a very long one is in one block, which is then longer than the
+others; the string of an added token in a text is that token, as the
 library reads it; null ids come first; rows that share an id follow the hash of their text, equal rows each have their
-own entry; an empty table gives no blocks.
+own entry; an empty table gives no blocks; only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.llm.common import packed, slices
+from starmart.llm.pieces import closed, piece_encoder
 from starmart.sources.files import new_location
 
 BLOCK_IDS = 1 << 18
@@ -153,31 +157,35 @@ def unpack(payload: bytes, width: int, start: int, stop: int) -> np.ndarray:
 
 def _blocks(path: str, end_id: int, block_ids: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path)
+        encode = piece_encoder(path)
         width = width_of(encode.size)
-        end = np.array([end_id], np.uint32).tobytes()
-        block, before, doc_ids, held, n, part = 0, 0, [], [], 0, 0
+        block, before, n, part = 0, 0, 0, 0
+        doc_ids: list = []
+        held: list[np.ndarray] = []
+        sizes: list[np.ndarray] = [np.zeros(1, np.int64)]
 
         def emit() -> pa.RecordBatch:
-            offsets = np.concatenate([[0], np.cumsum([len(h) // 4 for h in held])]).tolist()
-            ids = np.frombuffer(b"".join(held), np.uint32)
+            ids, offsets = np.concatenate(held), np.cumsum(np.concatenate(sizes)).tolist()
             row = {"part": part, "block": block, "part_offset": before, "width": width}
-            row |= {"doc_ids": doc_ids, "offsets": offsets}
-            row |= {"n_ids": len(ids), "payload": pack(ids, width)}
+            row |= {"doc_ids": doc_ids, "offsets": offsets, "n_ids": len(ids), "payload": pack(ids, width)}
             return pa.RecordBatch.from_pylist([row], schema=_BLOCK_ARROW)
 
         for batch, texts in slices(batches):
-            if len(batch):
-                part = batch.column("part")[0].as_py()
-            for doc_id, ids in zip(
-                batch.column("doc").field("doc_id").to_pylist(), encode.encode(texts.to_pylist()), strict=True
-            ):
-                doc_ids.append(doc_id)
-                held.append(ids + end)
-                n += len(ids) // 4 + 1
+            part = batch.column("part")[0].as_py()
+            ids, bounds = closed(*encode.encode(texts), end_id)
+            own, at = batch.column("doc").field("doc_id").to_pylist(), 0
+            while at < len(own):
+                # Up to the document that fills the block.
+                to = int(np.searchsorted(bounds, bounds[at] + block_ids - n))
+                to = min(max(to, at + 1), len(own))
+                doc_ids += own[at:to]
+                held.append(ids[bounds[at] : bounds[to]])
+                sizes.append(np.diff(bounds[at : to + 1]))
+                n, at = n + int(bounds[to] - bounds[at]), to
                 if n >= block_ids:
                     yield emit()
-                    block, before, doc_ids, held, n = block + 1, before + n, [], [], 0
+                    block, before, n, doc_ids, held = block + 1, before + n, 0, [], []
+                    sizes = [np.zeros(1, np.int64)]
         if held:
             yield emit()
 
