@@ -237,7 +237,7 @@ def cluster(vectors: DataFrame, plan: Lloyd = Lloyd()) -> tuple[DataFrame, np.nd
     cut = rows.withColumn("part", F.spark_partition_id()).mapInArrow(_cut(plan, arrow_kind), schema)
     name, path = _table(cut, ["chunk"])
     scratch = Scratch()
-    scratch.adopt(vectors, path)
+    scratch.adopt(path)
     try:
         packets = spark.read.table(name)
         for _ in range(plan.rounds):

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm.prefix import running_total
+from starmart.llm.scratch import Scratch
 from starmart.sources.files import store
 
 WEIGHTS = (5, 2, 1)
@@ -88,8 +89,12 @@ def digest(mixed: DataFrame) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", taken)
 
 
-def mixed_documents(docs: DataFrame, seed: str = SEED) -> DataFrame:
-    """The documents, each as often as it is emitted, columns as they were."""
+def mixed_documents(docs: DataFrame, seed: str = SEED, lent: Scratch | None = None) -> DataFrame:
+    """The documents, each as often as it is emitted, columns as they were.
+
+    ``lent`` takes the tables that the result still reads, to be released once it is stored.
+    """
+    scratch = Scratch()
     marked = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
         F.monotonically_increasing_id().alias("row"),
@@ -98,10 +103,12 @@ def mixed_documents(docs: DataFrame, seed: str = SEED) -> DataFrame:
         F.xxhash64("text").alias("hash"),
         n_spaced_words(F.col("text")).alias("size"),
     )
-    marked = store(marked, "mix_documents")
+    marked = scratch.store(marked, "mix_documents")
     tie = F.md5(F.concat_ws("/", F.lit(seed), "doc_id"))
     rows = marked.select("row", "doc_id", "source", "hash", "size")
     decided = _copies(rows, ["size", tie, F.asc_nulls_last("doc_id"), "hash", "row"], seed)
-    emitted = decided.filter("copies > 0").select("row", "copies")
+    emitted = scratch.store(decided.filter("copies > 0").select("row", "copies"), "mix_copies")
+    if lent is not None:
+        scratch.lend(lent)
     copies = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
     return marked.select("row", "doc").join(emitted, "row").select("doc", copies.alias("copy")).select("doc.*")

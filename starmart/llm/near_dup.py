@@ -235,9 +235,11 @@ def _across(open_: DataFrame, texts: DataFrame, index: Index, scratch: Scratch)
     return met.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, index: Index = Index()) -> DataFrame:
+def near_duplicates(docs: DataFrame, index: Index = Index(), lent: Scratch | None = None) -> DataFrame:
     """``doc`` (all columns of the row), ``rid``, ``n_shingles``, ``component_id`` and ``kept_row``: one row of each
-    component has it, the first with the component's id."""
+    component has it, the first with the component's id.
+
+    ``lent`` takes the tables that the result still reads, to be released once it is stored."""
     scratch = Scratch()
     fields = [StructField(c, LongType()) for c in ("n_shingles", "set_sum", "set_xor")]
     out = packed(docs)
@@ -303,6 +305,8 @@ def near_duplicates(docs: DataFrame, index: Index = Index()) -> DataFrame:
     )
     verdicts = scratch.store(verdicts, "near_verdicts")
     scratch.release(signed, verdicts)
+    if lent is not None:
+        scratch.lend(lent)
     return signed.select("rid", "doc", "n_shingles").join(verdicts, "rid")
 
 
@@ -316,6 +320,6 @@ def digest(found: DataFrame) -> DataFrame:
     )
 
 
-def one_of_each(docs: DataFrame, index: Index = Index()) -> DataFrame:
+def one_of_each(docs: DataFrame, index: Index = Index(), lent: Scratch | None = None) -> DataFrame:
     """One document of each component, columns as they were."""
-    return near_duplicates(docs, index).filter("kept_row").select("doc.*")
+    return near_duplicates(docs, index, lent).filter("kept_row").select("doc.*")
