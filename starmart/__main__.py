@@ -31,8 +31,8 @@ JOBS: dict[str, Job] = {
     "stg_orders": lambda spark, cfg, as_of: daily.refresh_orders(cfg, daily.raw_sources(spark, cfg)),
     "stg_order_items": lambda spark, cfg, as_of: daily.refresh_order_items(cfg, daily.raw_sources(spark, cfg)),
     **{table: _dimension_job(table) for table in SPECS},
-    "fact_order_items": lambda spark, cfg, as_of: daily.append_order_items(spark, cfg),
-    "fact_order_summary": lambda spark, cfg, as_of: daily.append_order_summary(spark, cfg),
+    "fact_order_items": daily.load_order_items,
+    "fact_order_summary": daily.load_order_summary,
 }
 
 
@@ -48,6 +48,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--calendar-start", type=dt.date.fromisoformat, default=DEFAULT_CALENDAR.start)
     parser.add_argument("--calendar-end", type=dt.date.fromisoformat, default=DEFAULT_CALENDAR.end)
     parser.add_argument("--relaxed", action="store_true", help="keep rows that break the table contracts")
+    parser.add_argument("--unknown-members", action="store_true", help="unknown members and zeros instead of NULLs")
+    parser.add_argument("--contiguous", action="store_true", help="versions end where the next one begins")
     args = parser.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s - %(name)s - %(levelname)s - %(message)s")
     cfg = MartConfig(
@@ -59,6 +61,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         calendar=Calendar(args.calendar_start, args.calendar_end),
         floor_date=args.floor_date,
         strict=not args.relaxed,
+        unknown_members=args.unknown_members,
+        contiguous_validity=args.contiguous,
     )
     JOBS[args.job](get_or_create_spark_session(f"starmart-{args.job}"), cfg, args.as_of)
 

@@ -18,6 +18,9 @@ class Calendar:
 DEFAULT_CALENDAR = Calendar(dt.date(2020, 1, 1), dt.date(2025, 12, 31))
 DEFAULT_FLOOR_DATE = dt.date(1999, 12, 31)
 
+# Formats whose catalogs run MERGE themselves.
+ROW_LEVEL_FORMATS = ("iceberg", "delta")
+
 
 @dataclass(frozen=True)
 class MartConfig:
@@ -32,6 +35,18 @@ class MartConfig:
     floor_date: dt.date = DEFAULT_FLOOR_DATE
     # False keeps rows that break the table contracts (no matching version, huge totals) instead of failing the run.
     strict: bool = True
+    # True gives facts without a valid version, date or item the unknown members and zeros instead of NULLs.
+    unknown_members: bool = False
+    # True lets a version end where the next one of its key begins, for facts, instead of where it was closed.
+    contiguous_validity: bool = False
+
+    @property
+    def row_level(self) -> bool:
+        return self.table_format in ROW_LEVEL_FORMATS
 
     def table(self, name: str) -> str:
         return f"{self.namespace}.{name}"
+
+    def folder(self, name: str) -> str:
+        """Where the files of a file table are."""
+        return f"{self.warehouse.rstrip('/')}/{name}"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.config import Calendar
@@ -32,11 +32,17 @@ def day_ordinal(date: Column, start: Column) -> Column:
     return F.datediff(date, start) + 1
 
 
-def date_key(date: Column, calendar: Calendar) -> Column:
-    """Key that a NULL-safe left join with the date dimension finds.
+def calendar_days(calendar: Calendar | DataFrame) -> tuple[Column, Column]:
+    """First and last day of a calendar, also one in a one-row frame (``start_date``, ``end_date``) that is read with the
+    query that uses them."""
+    if isinstance(calendar, Calendar):
+        return F.lit(calendar.start), F.lit(calendar.end)
+    return calendar.select("start_date").scalar(), calendar.select("end_date").scalar()
+
+
+def date_key(date: Column, start: Column, end: Column) -> Column:
+    """Key that a NULL-safe left join with the date dimension over these days finds.
 
     NULL finds the unknown member, a day outside the calendar finds nothing.
     """
-    return F.when(date.isNull(), UNKNOWN_DATE_KEY).when(
-        date.between(F.lit(calendar.start), F.lit(calendar.end)), day_ordinal(date, F.lit(calendar.start))
-    )
+    return F.when(date.isNull(), UNKNOWN_DATE_KEY).when(date.between(start, end), day_ordinal(date, start))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
@@ -14,6 +16,18 @@ def surrogate_key(business_key: Column, effective_from: Column) -> Column:
     return F.sha2(F.concat_ws("||", business_key, effective_from.cast("string")), 256)
 
 
+def text_key_in(stored: str, texts: Sequence[str]) -> Column:
+    """Filter for a whole-number column whose text is one of ``texts``, on the column itself.
+
+    A filter on the text of a column never reaches the file scan; this one is pushed as an equality or IN. Texts that no
+    number is written as, such as ``007``, match nothing.
+    """
+    numbers = [int(t) for t in texts if re.fullmatch(r"0|-?[1-9][0-9]{0,18}", t) and -(1 << 63) <= int(t) < 1 << 63]
+    if not numbers:
+        return F.lit(False)
+    return F.col(stored) == F.lit(numbers[0]) if len(numbers) == 1 else F.col(stored).isin(numbers)
+
+
 def null_safe_eq(left: Column, right: Column) -> Column:
     return left.eqNullSafe(right)
 

@@ -4,35 +4,88 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
+from threading import Lock
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-# Up to this many narrow rows (a few hundred bytes each) go to every executor; beyond it both sides are shuffled.
-BROADCAST_ROWS = 100_000
+# A right side of up to so many bytes, as counted, goes to every executor; beyond it both sides are shuffled.
+BROADCAST_BYTES = 16 << 20
+# What a value takes besides the bytes of a text: its place in the row and in the hash table.
+VALUE_BYTES = 16
 
-# Entries that the heavy-hitter sketch tracks for each key that may be hot, and the most that Spark allows. Keys that it
-# misses join unsalted, with the same result.
+# Entries that the heavy-hitter sketch tracks for each key that may be hot, and the most of one sketch. Where a key needs
+# more, its values are dealt over several sketches. Keys that they miss join unsalted, with the same result.
 TRACKED_PER_KEY = 40
 MOST_TRACKED = 1_000_000
 
 
-def hot_keys(df: DataFrame, key: str, tasks: int) -> dict[object, int]:
-    """Keys with more rows than two of ``tasks`` equal shares, each with the number of pieces to cut it into.
+def broadcast_size(df: DataFrame, copies: int = 1) -> int:
+    """Bytes that the rows of ``df`` take in a broadcast, counted over its values; pass only the columns that are joined."""
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema if isinstance(f.dataType, StringType)]
+    row = sum(texts, F.lit(VALUE_BYTES * len(df.columns))).cast("bigint")
+    return copies * (df.agg(F.sum(row)).first()[0] or 0)
 
-    One pass over one column with a mergeable sketch; fewer than ``tasks / 2`` keys can qualify. NULL is one of them.
-    """
-    most = min(tasks // 2 + 1, MOST_TRACKED)
-    tracked = min(max(TRACKED_PER_KEY * most, 20_000), MOST_TRACKED)
-    row = df.agg(
-        F.expr(f"approx_top_k(`{key}`, {most}, {tracked})").alias("top"),
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col(key).isNull()).alias("nulls"),
-    ).first()
-    counts = {e["item"]: e["count"] for e in row["top"] if e["item"] is not None} | {None: row["nulls"]}
-    share = max(row["rows"] / tasks, 1)
-    return {item: math.ceil(count / share) for item, count in counts.items() if count > 2 * share}
+
+@dataclass(frozen=True)
+class KeySketch:
+    """The most frequent values of a key, and how many rows it is of."""
+
+    rows: int
+    counts: dict[object, int]
+
+    def hot(self, tasks: int) -> dict[object, int]:
+        """Values with more rows than two of ``tasks`` equal shares, each with the number of pieces to cut it into.
+
+        Fewer than ``tasks / 2`` values can qualify. NULL is one of them.
+        """
+        share = max(self.rows / tasks, 1)
+        return {item: math.ceil(n / share) for item, n in self.counts.items() if n > 2 * share}
+
+
+class KeySketches:
+    """Sketches of several keys of a table, all made in one pass when the first of them is asked for."""
+
+    def __init__(self, df: DataFrame, keys: Sequence[str], tasks: int | None = None):
+        self._df, self._keys = df.select(*keys), tuple(keys)
+        self.tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        self._lock = Lock()
+        self._found: dict[str, KeySketch] = {}
+
+    def hot(self, key: str) -> dict[object, int]:
+        with self._lock:
+            if not self._found:
+                self._found = _sketched(self._df, self._keys, self.tasks)
+        return self._found[key].hot(self.tasks)
+
+
+def _sketched(df: DataFrame, keys: Sequence[str], tasks: int) -> dict[str, KeySketch]:
+    most = tasks // 2 + 1
+    wanted = max(TRACKED_PER_KEY * most, 20_000)
+    parts = -(-wanted // MOST_TRACKED)
+    listed, tracked = min(most, MOST_TRACKED), min(wanted, MOST_TRACKED)
+
+    def figures(key: str, part: int) -> list[Column]:
+        # Each sketch sees the values of its part of the hashes; the others count as NULL, which it leaves out.
+        mine = f"IF(pmod(xxhash64(`{key}`), {parts}) = {part}, `{key}`, NULL)" if parts > 1 else f"`{key}`"
+        return [F.expr(f"approx_top_k({mine}, {listed}, {tracked})").alias(f"top_{key}_{part}")]
+
+    nulls = [F.count_if(F.col(key).isNull()).alias(f"nulls_{key}") for key in keys]
+    tops = [c for key in keys for part in range(parts) for c in figures(key, part)]
+    row = df.agg(F.count(F.lit(1)).alias("rows"), *nulls, *tops).first()
+
+    def counts(key: str) -> dict[object, int]:
+        found = [e for part in range(parts) for e in row[f"top_{key}_{part}"] if e["item"] is not None]
+        return {e["item"]: e["count"] for e in found} | {None: row[f"nulls_{key}"]}
+
+    return {key: KeySketch(row["rows"], counts(key)) for key in keys}
+
+
+def hot_keys(df: DataFrame, key: str, tasks: int) -> dict[object, int]:
+    """The hot values of one key, by one pass over its column."""
+    return KeySketches(df, [key], tasks).hot(key)
 
 
 def salted_join(
@@ -79,15 +132,16 @@ def _equi_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, res
 
 
 def hot_keys_unless_small(
-    left: DataFrame, key: str, right_rows: int, broadcast_rows: int = BROADCAST_ROWS
+    left: DataFrame | KeySketches, key: str, right_bytes: int, broadcast_bytes: int = BROADCAST_BYTES
 ) -> dict[object, int] | None:
-    """How to join ``left`` with a right side of at most ``right_rows`` rows, for ``lookup_join``.
+    """How to join ``left`` (or the table that has these sketches) with a right side of ``right_bytes``, for ``lookup_join``.
 
     None means that the right side is small enough to broadcast; otherwise the hot keys of ``left``, often none.
     """
-    if right_rows <= broadcast_rows:
+    if right_bytes <= broadcast_bytes:
         return None
-    return hot_keys(left.select(key), key, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    sketches = left if isinstance(left, KeySketches) else KeySketches(left, [key])
+    return sketches.hot(key)
 
 
 def lookup_join(

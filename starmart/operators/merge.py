@@ -8,32 +8,48 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def reject_ambiguous(target: DataFrame, source: DataFrame, on: str) -> None:
+    """Fails if several source rows match one target row, whatever is read of the merge later.
+
+    The few keys that the source repeats are found first; where there are none, Spark doesn't read the target.
+    """
+    repeated = source.groupBy(on).count().filter("count > 1").select(on)
+    match = target.select(on).join(repeated, on, "left_semi").first()
+    if match:
+        raise ValueError(f"several source rows match {on} {match[0]}")
+
+
 def merge_upsert(
-    target: DataFrame, source: DataFrame, on: str, update_when: Column, update_columns: Sequence[str]
+    target: DataFrame,
+    source: DataFrame,
+    on: str,
+    update_when: Column,
+    update_columns: Sequence[str],
+    frozen: DataFrame | None = None,
 ) -> DataFrame:
     """The target after the merge.
 
     A matched target row takes ``update_columns`` from the source where ``update_when`` (over target columns) holds; a
-    target row with several source rows fails the job; source rows without a match are added. ``source`` is read three
+    target row with several source rows fails the call; source rows without a match are added. ``source`` is read several
     times, so pass a stored one. While it is small, Spark broadcasts it and never shuffles the target.
+
+    ``frozen`` has the target rows that ``update_when`` never holds for, if they are kept elsewhere: only their keys are read,
+    and they are not in the result.
     """
-    changes = source.groupBy(on).agg(
-        F.count(F.lit(1)).alias("_matches"), *[F.any_value(c).alias(f"_new_{c}") for c in update_columns]
+    keys = target.select(on) if frozen is None else target.select(on).unionByName(frozen.select(on))
+    reject_ambiguous(keys, source, on)
+    changes = source.select(
+        F.col(on).alias("_on"), *[F.col(c).alias(f"_new_{c}") for c in update_columns], F.lit(True).alias("_matched")
     )
-    ambiguous = F.raise_error(F.concat(F.lit("several source rows match "), F.col(on)))
 
     def merged(column: str) -> Column:
         if column not in update_columns:
             return F.col(column)
-        kind = target.schema[column].dataType
         return (
-            F.when(F.col("_matches") > 1, ambiguous.cast(kind))
-            .when(F.col("_matches").isNotNull() & update_when, F.col(f"_new_{column}"))
-            .otherwise(F.col(column))
-            .alias(column)
+            F.when(F.col("_matched") & update_when, F.col(f"_new_{column}")).otherwise(F.col(column)).alias(column)
         )
 
-    updated = target.join(changes, on, "left").select(*[merged(c) for c in target.columns])
-    known = target.select(on).join(source.select(on), on, "left_semi")
+    updated = target.join(changes, F.col(on) == F.col("_on"), "left").select(*[merged(c) for c in target.columns])
+    known = keys.join(source.select(on), on, "left_semi")
     added = source.join(known, on, "left_anti").select(*target.columns)
     return updated.unionByName(added)

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.operators.lookup import BROADCAST_ROWS, hot_keys_unless_small, lookup_join
+from starmart.operators.lookup import BROADCAST_BYTES, KeySketches, broadcast_size, hot_keys_unless_small, lookup_join
 
 
 def point_in_time_join(
@@ -18,23 +18,29 @@ def point_in_time_join(
     sk: str,
     *,
     spread: Sequence[str],
-    hot_in: DataFrame | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    hot_in: DataFrame | KeySketches | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    unknown: str | None = None,
+    contiguous: bool = False,
 ) -> DataFrame:
-    """Events with the surrogate key of every version valid on the event date, NULL where none is.
+    """Events with the surrogate key of every version valid on the event date, ``unknown`` where none is.
 
     A version is valid from ``effective_from`` until before ``effective_to``, a current one without end. Versions that
-    overlap each give a row. ``dimension`` must be a stored table: its rows are counted to choose the join. ``hot_in``
-    may name a cheaper place than ``events`` to look for hot keys.
+    overlap each give a row. ``dimension`` must be a stored table: its size is counted to choose the join. ``hot_in``
+    may name a cheaper place than ``events`` to look for hot keys, or sketches that several joins share. ``contiguous``
+    validity ends where the key's next version begins, so versions neither overlap nor leave a gap.
     """
+    ends, current = F.col("effective_to"), F.col("is_current")
+    if contiguous:
+        ends = F.lead("effective_from").over(Window.partitionBy(key).orderBy("effective_from", "is_current", sk))
+        current = ends.isNull()
     versions = dimension.select(
-        key,
-        sk,
-        F.col("effective_from").alias("_from"),
-        F.col("effective_to").alias("_to"),
-        F.col("is_current").alias("_current"),
+        key, sk, F.col("effective_from").alias("_from"), ends.alias("_to"), current.alias("_current")
     )
     valid = (F.col(event_date) >= F.col("_from")) & ((F.col(event_date) < F.col("_to")) | F.col("_current"))
-    hot = hot_keys_unless_small(events if hot_in is None else hot_in, key, dimension.count(), broadcast_rows)
+    size = broadcast_size(versions)
+    hot = hot_keys_unless_small(events if hot_in is None else hot_in, key, size, broadcast_bytes)
     joined = lookup_join(events, versions, key, "left", hot, spread=spread, residual=valid)
+    if unknown is not None:
+        joined = joined.withColumn(sk, F.coalesce(F.col(sk), F.lit(unknown)))
     return joined.drop("_from", "_to", "_current")

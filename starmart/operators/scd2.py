@@ -5,16 +5,20 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, DateType, DecimalType, FloatType, StringType, StructType
 
 from starmart.functions.keys import any_differs, effective_update_date, surrogate_key, updated_after
 from starmart.operators.dedup import keep_first
 from starmart.operators.merge import merge_upsert
 from starmart.sources.contracts import conform
 
+# Fixed value: the surrogate key, and every text, of the unknown member of a type 2 dimension.
+UNKNOWN_SK = "unknown"
+
 
 @dataclass(frozen=True)
 class DimensionSpec:
@@ -114,6 +118,22 @@ def apply_changes(spec: DimensionSpec, dimension: DataFrame, changes: DataFrame)
     return merge_upsert(dimension, changes, spec.sk, F.col("is_current"), ["effective_to", "is_current"])
 
 
+def open_after_changes(spec: DimensionSpec, dimension: DataFrame, changes: DataFrame) -> DataFrame:
+    """What a run writes: the versions open before or after it. Those closed earlier are only looked up by key."""
+    current = dimension.filter("is_current")
+    closed = dimension.filter("NOT is_current")
+    return merge_upsert(
+        current, changes, spec.sk, F.col("is_current"), ["effective_to", "is_current"], frozen=closed
+    )
+
+
+def unknown_version(spec: DimensionSpec, spark: SparkSession, since: dt.date) -> DataFrame:
+    """The reserved version that facts without a valid one refer to."""
+    blank = {StringType: UNKNOWN_SK, DecimalType: Decimal(0), FloatType: 0.0, DateType: since, BooleanType: True}
+    row = [None if f.nullable else blank[type(f.dataType)] for f in spec.schema.fields]
+    return spark.createDataFrame([tuple(row)], spec.schema)
+
+
 def load_dimension(
     spec: DimensionSpec,
     raw: DataFrame,

@@ -11,15 +11,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.config import MartConfig
-from starmart.operators.scd2 import DimensionSpec, high_watermark, load_dimension, scd2_changes, stage_dimension
+from starmart.operators.scd2 import (
+    DimensionSpec,
+    high_watermark,
+    open_after_changes,
+    scd2_changes,
+    stage_dimension,
+    unknown_version,
+)
 from starmart.plans.dimensions import SPECS, calendar_dimension
 from starmart.plans.facts import fact_order_items, fact_order_summary
 from starmart.plans.staging import stage_order_items, stage_orders
 from starmart.plans.together import together
 from starmart.sources.contracts import TABLES, conform, enforce_contract, relaxed
 from starmart.sources.files import read_parquet, write_parquet
+from starmart.sources.runs import kept_watermark, write_day, write_versions
 from starmart.sources.tables import (
-    ROW_LEVEL_FORMATS,
     ensure_tables,
     load_table,
     merge_into_table,
@@ -55,10 +62,10 @@ def migrate(spark: SparkSession, cfg: MartConfig) -> None:
     """Create what is missing and rebuild the date dimension."""
     ensure_tables(spark, cfg)
     dates = calendar_dimension(spark, cfg.calendar)
-    if cfg.table_format in ROW_LEVEL_FORMATS:
+    if cfg.row_level:
         load_table(dates, cfg.table("dim_date"), "overwrite", cfg.table_format)
     else:
-        switch_snapshot(dates, cfg.table("dim_date"), f"{cfg.warehouse}/dim_date")
+        switch_snapshot(dates, cfg.table("dim_date"), cfg.folder("dim_date"))
 
 
 def refresh_orders(cfg: MartConfig, raw: Raw) -> None:
@@ -70,44 +77,73 @@ def refresh_order_items(cfg: MartConfig, raw: Raw) -> None:
 
 
 def refresh_dimension(cfg: MartConfig, raw: Raw, spec: DimensionSpec, as_of: dt.date) -> None:
-    """Stage the source, find the changes and merge them into the dimension."""
+    """Stage the source, find the changes and merge them into the dimension.
+
+    A file table gets its open versions written anew and the newly closed ones added; earlier closed ones stay where they
+    are.
+    """
     source, table = raw[spec.source], cfg.table(spec.table)
-    ensure_tables(source.sparkSession, cfg, [spec.table])
-    current = read_table(source.sparkSession, table)
-    store = partial(_staged, cfg)
-    if cfg.table_format in ROW_LEVEL_FORMATS:
-        staged = stage_dimension(spec, source, high_watermark(current, cfg.floor_date).scalar())
-        changes = store(scd2_changes(spec, staged, current, as_of), f"changes_{spec.table}")
+    spark = source.sparkSession
+    ensure_tables(spark, cfg, [spec.table])
+    current = read_table(spark, table)
+    if cfg.row_level:
+        watermark = high_watermark(current, cfg.floor_date).scalar()
+    else:
+        watermark = F.lit(kept_watermark(spark, cfg.folder(spec.table)) or cfg.floor_date)
+    staged = stage_dimension(spec, source, watermark)
+    changes = scd2_changes(spec, staged, current, as_of)
+    if cfg.unknown_members:
+        unknown = unknown_version(spec, spark, cfg.floor_date)
+        changes = changes.unionByName(unknown.join(current.select(spec.sk), spec.sk, "left_anti"))
+    changes = _staged(cfg, changes, f"changes_{spec.table}")
+    if cfg.row_level:
         merge_into_table(changes, table, spec.sk, F.col(f"{table}.is_current"), ["effective_to", "is_current"])
     else:
-        merged = load_dimension(spec, source, current, as_of, cfg.floor_date, store)
-        switch_snapshot(_checked(merged, cfg, spec.table), table, f"{cfg.warehouse}/{spec.table}")
+        merged = open_after_changes(spec, current, changes)
+        write_versions(_checked(merged, cfg, spec.table), table, cfg.folder(spec.table))
 
 
-def append_order_items(spark: SparkSession, cfg: MartConfig) -> None:
+def _load_fact(fact: DataFrame, cfg: MartConfig, name: str, as_of: dt.date) -> None:
+    """Puts a run's rows in place of those of an earlier run for the same date; catalogs of other formats append."""
+    rows = _checked(fact, cfg, name)
+    if cfg.row_level:
+        load_table(rows, cfg.table(name), "append", cfg.table_format)
+    else:
+        write_day(rows, cfg.table(name), cfg.folder(name), as_of)
+
+
+def load_order_items(spark: SparkSession, cfg: MartConfig, as_of: dt.date) -> None:
     ensure_tables(spark, cfg, ["dim_seller", "dim_product", "fact_order_items"])
     fact = fact_order_items(
         read_parquet(spark, cfg.staging, "stg_order_items"),
         read_table(spark, cfg.table("dim_seller")),
         read_table(spark, cfg.table("dim_product")),
         cfg.calendar,
+        unknown=cfg.unknown_members,
+        contiguous=cfg.contiguous_validity,
     )
-    load_table(_checked(fact, cfg, "fact_order_items"), cfg.table("fact_order_items"), "append", cfg.table_format)
+    _load_fact(fact, cfg, "fact_order_items", as_of)
 
 
-def append_order_summary(spark: SparkSession, cfg: MartConfig) -> None:
+def load_order_summary(spark: SparkSession, cfg: MartConfig, as_of: dt.date) -> None:
     ensure_tables(spark, cfg, ["dim_customer", "fact_order_summary"])
     fact = fact_order_summary(
         read_parquet(spark, cfg.staging, "stg_orders"),
         read_parquet(spark, cfg.staging, "stg_order_items"),
         read_table(spark, cfg.table("dim_customer")),
         cfg.calendar,
+        unknown=cfg.unknown_members,
+        contiguous=cfg.contiguous_validity,
     )
-    load_table(_checked(fact, cfg, "fact_order_summary"), cfg.table("fact_order_summary"), "append", cfg.table_format)
+    _load_fact(fact, cfg, "fact_order_summary", as_of)
 
 
 def run_daily(spark: SparkSession, cfg: MartConfig, as_of: dt.date, raw: Raw | None = None) -> None:
-    """Migrations, then staging and dimensions, then facts. A second run for the same day appends its facts again."""
+    """Migrations, then staging and dimensions, then facts.
+
+    A run may be repeated, whether the first one ended or failed: dimensions find nothing new, and facts of the same
+    processing date are replaced.
+    """
     raw = raw or raw_sources(spark, cfg)
     migrate(spark, cfg)
     together(
@@ -116,5 +152,5 @@ def run_daily(spark: SparkSession, cfg: MartConfig, as_of: dt.date, raw: Raw | N
         *[partial(refresh_dimension, cfg, raw, spec, as_of) for spec in SPECS.values()],
     )
     logger.info("staged orders and order items, refreshed dimensions as of %s", as_of)
-    together(partial(append_order_items, spark, cfg), partial(append_order_summary, spark, cfg))
-    logger.info("appended facts")
+    together(partial(load_order_items, spark, cfg, as_of), partial(load_order_summary, spark, cfg, as_of))
+    logger.info("loaded facts")

@@ -6,14 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.config import Calendar
-from starmart.functions.dates import date_key
-from starmart.operators.lookup import BROADCAST_ROWS
+from starmart.functions.dates import UNKNOWN_DATE_KEY, calendar_days, date_key
+from starmart.operators.lookup import BROADCAST_BYTES, KeySketches
 from starmart.operators.point_in_time import point_in_time_join
+from starmart.operators.scd2 import UNKNOWN_SK
 from starmart.sources.contracts import FACT_ORDER_ITEMS, FACT_ORDER_SUMMARY
 
 
 def order_item_totals(items: DataFrame) -> DataFrame:
     """Per order: value, freight, first and last shipping limit, number of items."""
+    # Names of the totals.
     return items.groupBy("order_id").agg(
         F.sum("item_value").alias("total_order_value"),
         F.sum("freight_value").alias("total_freight_value"),
@@ -23,25 +25,37 @@ def order_item_totals(items: DataFrame) -> DataFrame:
     )
 
 
-def with_date_keys(df: DataFrame, roles: dict[str, str], calendar: Calendar) -> DataFrame:
-    """Adds the date key of each role. The calendar has no gaps, so the keys are computed and nothing is joined."""
-    return df.withColumns({key: date_key(F.col(column), calendar).cast("int") for key, column in roles.items()})
+def with_date_keys(df: DataFrame, roles: dict[str, str], calendar: Calendar | DataFrame, unknown: bool = False) -> DataFrame:
+    """Adds the date key of each role. The calendar has no gaps, so the keys are computed and nothing is joined.
+
+    ``unknown`` gives days outside the calendar the key of its unknown member instead of NULL.
+    """
+    days = calendar_days(calendar)
+    keys = {key: date_key(F.col(column), *days).cast("int") for key, column in roles.items()}
+    if unknown:
+        keys = {name: F.coalesce(key, F.lit(UNKNOWN_DATE_KEY)) for name, key in keys.items()}
+    return df.withColumns(keys)
 
 
 def fact_order_items(
     items: DataFrame,
     sellers: DataFrame,
     products: DataFrame,
-    calendar: Calendar,
+    calendar: Calendar | DataFrame,
     *,
-    raw_items: DataFrame | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    hot_in: DataFrame | KeySketches | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    unknown: bool = False,
+    contiguous: bool = False,
 ) -> DataFrame:
     """One row per staged item and valid seller and product version.
 
-    ``raw_items`` may name a cheaper place than ``items`` to look for hot keys; they are never looked for in a join.
+    ``hot_in`` may name a cheaper place than ``items`` to look for hot keys, or sketches of it; both keys are looked for in
+    one pass, and never in a join. ``unknown`` puts the unknown members where a version or a date has no key;
+    ``contiguous`` as for the join.
     """
-    hot_in = items if raw_items is None else raw_items
+    if not isinstance(hot_in, KeySketches):
+        hot_in = KeySketches(items if hot_in is None else hot_in, ["seller_id", "product_id"])
     for versions, key, sk in ((sellers, "seller_id", "seller_sk"), (products, "product_id", "product_sk")):
         items = point_in_time_join(
             items,
@@ -51,35 +65,47 @@ def fact_order_items(
             sk,
             spread=["order_id", "order_item_id"],
             hot_in=hot_in,
-            broadcast_rows=broadcast_rows,
+            broadcast_bytes=broadcast_bytes,
+            unknown=UNKNOWN_SK if unknown else None,
+            contiguous=contiguous,
         )
+    # Key columns of the fact and the dates they stand for.
     roles = {"order_date_key": "order_date", "shipping_limit_date_key": "shipping_limit_date"}
-    return with_date_keys(items, roles, calendar).select(*FACT_ORDER_ITEMS.names)
+    return with_date_keys(items, roles, calendar, unknown).select(*FACT_ORDER_ITEMS.names)
 
 
 def fact_order_summary(
     orders: DataFrame,
     items: DataFrame,
     customers: DataFrame,
-    calendar: Calendar,
+    calendar: Calendar | DataFrame,
     *,
-    raw_orders: DataFrame | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    hot_in: DataFrame | KeySketches | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    unknown: bool = False,
+    contiguous: bool = False,
 ) -> DataFrame:
     """One row per staged order and valid customer version; orders without items keep NULL measures.
 
-    Totals have the width of their sums; the table contract narrows them on write.
+    Totals have the width of their sums; the table contract narrows them on write. ``unknown`` puts the unknown members
+    where a version or a date has no key, and zeros for orders without items.
     """
+    totalled = orders.join(order_item_totals(items), "order_id", "left")
+    if unknown:
+        totalled = totalled.fillna(0, ["total_order_value", "total_freight_value", "item_count"])
     summary = point_in_time_join(
-        orders.join(order_item_totals(items), "order_id", "left"),
+        totalled,
         customers,
         "customer_id",
         "order_date",
         "customer_sk",
         spread=["order_id"],
-        hot_in=raw_orders,
-        broadcast_rows=broadcast_rows,
+        hot_in=hot_in,
+        broadcast_bytes=broadcast_bytes,
+        unknown=UNKNOWN_SK if unknown else None,
+        contiguous=contiguous,
     )
+    # Fixed values, as above.
     roles = {
         "order_date_key": "order_date",
         "order_approved_date_key": "order_approved_date",
@@ -89,4 +115,4 @@ def fact_order_summary(
         "min_shipping_limit_date_key": "min_shipping_limit_date",
         "max_shipping_limit_date_key": "max_shipping_limit_date",
     }
-    return with_date_keys(summary, roles, calendar).select(*FACT_ORDER_SUMMARY.names)
+    return with_date_keys(summary, roles, calendar, unknown).select(*FACT_ORDER_SUMMARY.names)

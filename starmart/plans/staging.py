@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.operators.dedup import keep_first
-from starmart.operators.lookup import BROADCAST_ROWS, hot_keys_unless_small, lookup_join
+from starmart.operators.lookup import BROADCAST_BYTES, KeySketches, broadcast_size, hot_keys_unless_small, lookup_join
 
 # Columns of the sources, their staged names and order.
 ORDER_RENAMES = {
@@ -53,20 +53,25 @@ def order_dates(raw_orders: DataFrame) -> DataFrame:
 
 
 def stage_order_items(
-    raw_items: DataFrame, raw_orders: DataFrame, broadcast_rows: int = BROADCAST_ROWS
+    raw_items: DataFrame,
+    raw_orders: DataFrame,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    hot_in: KeySketches | None = None,
 ) -> DataFrame:
     """One row per order item, with the order date; items of unknown orders vanish.
 
     Both sides are reduced before they meet: the earliest order row and the lowest item row are also the lowest pair,
     and copies of an order never multiply the copies of its items. Unless some order is hot, the items are shuffled
-    once, by order: that serves the deduplication, the join and later totals per order.
+    once, by order: that serves the deduplication, the join and later totals per order. ``hot_in`` may have the hot orders
+    already.
     """
     items = (
         raw_items.filter(F.col("order_id").isNotNull())
         .withColumnsRenamed({"price": "item_value"})
         .select(*ITEM_COLUMNS)
     )
-    hot = hot_keys_unless_small(items, "order_id", raw_orders.count(), broadcast_rows)
+    size = broadcast_size(raw_orders.select("order_id", "order_purchase_date"))
+    hot = hot_keys_unless_small(items if hot_in is None else hot_in, "order_id", size, broadcast_bytes)
     if hot == {}:
         items = items.repartition("order_id")
     items = keep_first(

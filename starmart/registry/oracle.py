@@ -263,6 +263,26 @@ def _wide(sql: str, *amounts: str) -> str:
     return f"SELECT * REPLACE ({wider}) FROM ({sql})" if amounts else sql
 
 
+def _complete(sql: str, zero: tuple[str, ...], narrow: dict[str, str], *surrogates: str) -> str:
+    """A fact with unknown members and zeros instead of NULLs, in the types of the strict contracts."""
+    columns = [f"coalesce({c}, 'unknown') AS {c}" for c in surrogates]
+    columns += [f"coalesce({c}, 0) AS {c}" for c in zero]
+    columns += [f"CAST(coalesce({c}, 0) AS {kind}) AS {c}" for c, kind in narrow.items()]
+    return f"SELECT * REPLACE ({', '.join(columns)}) FROM ({sql})"
+
+
+def _complete_dimension(name: str) -> str:
+    """The dimension after both batches with its reserved version."""
+    _, key, columns, _tracked = DIMENSIONS[name]
+    blank = {c: "CAST(0 AS FLOAT)" for c in ("length_cm", "height_cm", "width_cm")} | {"price": "CAST(0 AS DECIMAL(10,2))"}
+    unknown = ", ".join(blank.get(c, "'unknown'") for c in columns.values())
+    return _with(
+        _history(name),
+        select=f"""SELECT * FROM dim_{name}
+UNION ALL SELECT 'unknown', 'unknown', {unknown}, {FLOOR}, CAST(NULL AS DATE), true""",
+    )
+
+
 ROLE_KEYS = ", ".join(f"{key}_dim.date_key AS {key}" for key in ORDER_ROLES)
 ROLE_JOINS = "\n".join(_hash_date_join(f"{key}_dim", f"o.{column}") for key, column in ORDER_ROLES.items())
 
@@ -289,6 +309,8 @@ FROM stg_order_items i {join}"""
 
 def all_oracles() -> dict[str, str]:
     raw_orders = _with(RAW_ORDERS, select="SELECT * FROM raw_orders")
+    daily_items = _wide(_two_runs(FACT_ITEMS, "seller", "product"), "item_value", "freight_value")
+    daily_summary = _two_runs(FACT_SUMMARY, "customer")
     sql = {
         "scan_parquet": "SELECT * FROM customer",
         "roundtrip_parquet": raw_orders,
@@ -385,16 +407,43 @@ FROM stg_orders o {_as_of('o', 'customer')}""",
             _history("customer"),
             select=f"SELECT coalesce(max(effective_to), {FLOOR}) AS max_date FROM dim_customer",
         ),
+        "stored_watermark": _with(
+            _history("customer"),
+            select=f"SELECT coalesce(max(effective_to), {FLOOR}) AS max_date FROM dim_customer",
+        ),
+        "contiguous_fact_order_summary": FACT_SUMMARY.replace(
+            "LEFT JOIN dim_customer ",
+            """LEFT JOIN (SELECT customer_sk, customer_id, effective_from,
+  lead(effective_from) OVER w AS effective_to, lead(effective_from) OVER w IS NULL AS is_current
+  FROM dim_customer WINDOW w AS (PARTITION BY customer_id ORDER BY effective_from, is_current, customer_sk)) """,
+        ),
         "fact_order_items": FACT_ITEMS,
         "fact_order_summary": FACT_SUMMARY,
+        "lookup_order": raw_orders + " WHERE order_id = '7'",
+        "lookup_orders": raw_orders + " WHERE order_id IN ('7', '1', '32', '007', 'no key')",
         "topk_dim_date": _with(DIM_DATE, select="SELECT * FROM dim_date ORDER BY date_key LIMIT 5"),
         "topk_fact_items": _first(
-            FACT_ITEMS, "order_id, order_item_id, seller_sk NULLS FIRST, product_sk NULLS FIRST", 5
+            daily_items, "order_id, order_item_id, seller_sk NULLS FIRST, product_sk NULLS FIRST", 5
         ),
-        "topk_fact_summary": _first(FACT_SUMMARY, "order_id, customer_sk NULLS FIRST", 10),
+        "topk_fact_summary": _first(daily_summary, "order_id, customer_sk NULLS FIRST", 10),
         "daily_dim_date": _with(DIM_DATE, select="SELECT * FROM dim_date"),
-        "daily_fact_order_items": _wide(_two_runs(FACT_ITEMS, "seller", "product"), "item_value", "freight_value"),
-        "daily_fact_order_summary": _two_runs(FACT_SUMMARY, "customer"),
+        "daily_fact_order_items": daily_items,
+        "daily_fact_order_summary": daily_summary,
+        "rerun_fact_order_items": daily_items,
+        "rerun_fact_order_summary": daily_summary,
+        "complete_fact_order_items": _complete(
+            _two_runs(FACT_ITEMS, "seller", "product"),
+            ("order_date_key", "shipping_limit_date_key"),
+            {},
+            "seller_sk",
+            "product_sk",
+        ),
+        "complete_fact_order_summary": _complete(
+            daily_summary,
+            (*ORDER_ROLES, "min_shipping_limit_date_key", "max_shipping_limit_date_key"),
+            {"total_order_value": "DECIMAL(10,2)", "total_freight_value": "DECIMAL(10,2)", "item_count": "INTEGER"},
+            "customer_sk",
+        ),
         "daily_run_counts": _with(
             *STAGED,
             DIM_DATE,
@@ -426,7 +475,6 @@ FROM stg_orders o {_as_of('o', 'customer')}""",
         sql[f"dim_{name}_after_2_batches"] = sql[f"merge_dim_{name}"]
         amounts = [c for c in columns.values() if c == "price"]
         sql[f"daily_dim_{name}"] = _wide(sql[f"merge_dim_{name}"], *amounts)
-        sql[f"topk_dim_{name}"] = _with(
-            history, select=f"SELECT * FROM dim_{name} ORDER BY {key}, effective_from LIMIT 5"
-        )
+        sql[f"complete_dim_{name}"] = _complete_dimension(name)
+        sql[f"topk_dim_{name}"] = _first(sql[f"daily_dim_{name}"], f"{key}, effective_from", 5)
     return sql

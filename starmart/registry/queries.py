@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.config import Calendar, MartConfig
-from starmart.functions.dates import calendar_columns, date_key
+from starmart.functions.dates import calendar_columns, calendar_days, date_key
 from starmart.functions.keys import any_differs, effective_update_date, surrogate_key, updated_after
-from starmart.operators.lookup import hot_keys_unless_small, lookup_join
+from starmart.operators.lookup import broadcast_size, hot_keys_unless_small, lookup_join
 from starmart.operators.point_in_time import point_in_time_join
 from starmart.operators.scd2 import (
     DimensionSpec,
@@ -42,6 +42,7 @@ from starmart.plans.together import together
 from starmart.sources import retail
 from starmart.sources.contracts import DIM_PRODUCT, enforce_contract
 from starmart.sources.files import new_location, read_parquet, shared_dir, store, write_parquet
+from starmart.sources.runs import kept_watermark, write_versions
 from starmart.sources.tables import create_namespace, create_table, load_table, read_table, table_names
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -195,6 +196,10 @@ def filter_in(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retail.raw_orders(spark, sf_dir).filter(F.col("order_status").isin(["O", "P"]))
 
 
+def _orders_by_id(order_ids: list[str], spark: SparkSession, sf_dir: str) -> DataFrame:
+    return retail.raw_orders(spark, sf_dir, order_ids)
+
+
 def scd2_changed_null_blind(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change test per customer, with one address value of either side read as NULL."""
     staged, dimension = _second_batch(CUSTOMER, spark, sf_dir)
@@ -224,7 +229,11 @@ def stg_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stg_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage_order_items(retail.raw_order_items(spark, sf_dir), retail.raw_orders(spark, sf_dir))
+    return stage_order_items(
+        retail.raw_order_items(spark, sf_dir),
+        retail.raw_orders(spark, sf_dir),
+        hot_in=retail.order_item_sketches(spark, sf_dir),
+    )
 
 
 # Joins and aggregates
@@ -234,7 +243,7 @@ def join_inner_items_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pairs of a raw item and a raw order row, copies of either included."""
     items, orders = retail.raw_order_items(spark, sf_dir), retail.raw_orders(spark, sf_dir)
     dates = orders.select("order_id", "order_purchase_date")
-    hot = hot_keys_unless_small(items, "order_id", orders.count())
+    hot = hot_keys_unless_small(retail.order_item_sketches(spark, sf_dir), "order_id", broadcast_size(dates))
     return lookup_join(items, dates, "order_id", "inner", hot, spread=items.columns)
 
 
@@ -311,8 +320,8 @@ def join_role_playing_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def date_key_arith(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = retail.raw_orders(spark, sf_dir).withColumnsRenamed(ORDER_RENAMES)
-    calendar = _calendar(spark, sf_dir)
-    return orders.select("order_id", *[date_key(F.col(c), calendar).alias(k) for k, c in ORDER_DATE_ROLES.items()])
+    days = calendar_days(_order_days(spark, sf_dir))
+    return orders.select("order_id", *[date_key(F.col(c), *days).alias(k) for k, c in ORDER_DATE_ROLES.items()])
 
 
 def pit_join_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -338,7 +347,7 @@ def _pit_join_items(spec: DimensionSpec, spark: SparkSession, sf_dir: str) -> Da
         "order_date",
         spec.sk,
         spread=["order_id", "order_item_id"],
-        hot_in=retail.raw_order_items(spark, sf_dir),
+        hot_in=retail.order_item_sketches(spark, sf_dir),
     )
 
 
@@ -346,34 +355,43 @@ def _pit_join_items(spec: DimensionSpec, spark: SparkSession, sf_dir: str) -> Da
 
 
 def order_items_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items, calendar, sellers, products = together(
+    items, sellers, products = together(
         partial(stg_order_items, spark, sf_dir),
-        partial(_calendar, spark, sf_dir),
         *[partial(_dimension, spec, spark, sf_dir) for spec in (SELLER, PRODUCT)],
     )
-    return fact_order_items(
-        items,
-        sellers,
-        products,
-        calendar,
-        raw_items=retail.raw_order_items(spark, sf_dir),
-    )
+    hot_in = retail.order_item_sketches(spark, sf_dir)
+    return fact_order_items(items, sellers, products, _order_days(spark, sf_dir), hot_in=hot_in)
 
 
 def order_summary_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders, items, calendar, customers = together(
+    orders, items, customers = together(
         partial(stg_orders, spark, sf_dir),
         partial(stg_order_items, spark, sf_dir),
-        partial(_calendar, spark, sf_dir),
         partial(_dimension, CUSTOMER, spark, sf_dir),
     )
-    return fact_order_summary(
-        orders,
-        items,
-        customers,
-        calendar,
-        raw_orders=retail.raw_orders(spark, sf_dir),
+    raw = retail.raw_orders(spark, sf_dir)
+    return fact_order_summary(orders, items, customers, _order_days(spark, sf_dir), hot_in=raw)
+
+
+def contiguous_summary_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per order: versions of a customer end where the next one begins."""
+    orders, items, customers = together(
+        partial(stg_orders, spark, sf_dir),
+        partial(stg_order_items, spark, sf_dir),
+        partial(_dimension, CUSTOMER, spark, sf_dir),
     )
+    raw = retail.raw_orders(spark, sf_dir)
+    return fact_order_summary(orders, items, customers, _order_days(spark, sf_dir), hot_in=raw, contiguous=True)
+
+
+def stored_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The watermark that is kept with a stored dimension; its rows are not scanned for it."""
+    base, name = new_location(spark, "dim_customer"), f"{SCRATCH}.dim_customer_{uuid.uuid4().hex}"
+    create_namespace(spark, SCRATCH, f"{shared_dir(spark)}/{SCRATCH}")
+    write_versions(_loaded(CUSTOMER, spark, sf_dir), name, base)
+    latest = kept_watermark(spark, base) or FLOOR
+    spark.sql(f"DROP VIEW {name}")
+    return spark.range(1).select(F.lit(latest).alias("max_date"))
 
 
 def watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -383,14 +401,8 @@ def watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Reports
 
 
-def _top(query: Query, order_by: list[str], n: int, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First rows of a table by SQL; the ids alone are not unique, so the order goes on."""
-    view = f"report_{uuid.uuid4().hex}"
-    query(spark, sf_dir).createOrReplaceTempView(view)
-    return spark.sql(f"SELECT * FROM {view} ORDER BY {', '.join(order_by)} LIMIT {n}")
-
-
-def _new_mart(spark: SparkSession, sf_dir: str) -> MartConfig:
+def _new_mart(spark: SparkSession, sf_dir: str, complete: bool = False) -> MartConfig:
+    """An empty mart; a ``complete`` one has strict contracts and unknown members for what is missing."""
     base = new_location(spark, "mart")
     return MartConfig(
         inputs=sf_dir,
@@ -399,13 +411,13 @@ def _new_mart(spark: SparkSession, sf_dir: str) -> MartConfig:
         namespace=f"starmart_{uuid.uuid4().hex}",
         calendar=_calendar(spark, sf_dir),
         floor_date=FLOOR,
-        strict=False,
+        strict=complete,
+        unknown_members=complete,
     )
 
 
-def _daily_table(table: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A table of the mart after two daily runs, one for each batch of the feeds and of the orders."""
-    cfg = _new_mart(spark, sf_dir)
+def _two_runs(cfg: MartConfig, spark: SparkSession, sf_dir: str, repeats: int = 1) -> None:
+    """Two daily runs, one for each batch of the feeds and of the orders, each made so many times."""
     orders = retail.raw_orders(spark, sf_dir)
     early = F.coalesce(F.col("order_purchase_date") < F.lit(FIRST_RUN), F.lit(False))
     for as_of, span, batch in (
@@ -414,10 +426,36 @@ def _daily_table(table: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     ):
         raw = {SPECS[name].source: feed(spark, sf_dir, **span) for name, feed in FEEDS.items()}
         raw |= {"orders": orders.filter(batch), "order_items": retail.raw_order_items(spark, sf_dir)}
-        run_daily(spark, cfg, as_of, raw)
+        for _ in range(repeats):
+            run_daily(spark, cfg, as_of, raw)
+
+
+def _daily_table(
+    table: str, spark: SparkSession, sf_dir: str, *, complete: bool = False, repeats: int = 1
+) -> DataFrame:
+    """A table of the mart after two daily runs."""
+    cfg = _new_mart(spark, sf_dir, complete)
+    _two_runs(cfg, spark, sf_dir, repeats)
     return read_table(spark, cfg.table(table))
 
 
+# Marts that reports read, by application and source folder.
+_reported: dict[tuple[str, str], MartConfig] = {}
+
+
+def _report(table: str, order_by: list[str], n: int, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First rows of a stored table by SQL; the ids alone are not unique, so the order goes on.
+
+    The reports of a session share one mart, made by the first of them.
+    """
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _reported:
+        cfg = _new_mart(spark, sf_dir)
+        _two_runs(cfg, spark, sf_dir)
+        _reported[key] = cfg
+    return spark.sql(f"SELECT * FROM {_reported[key].table(table)} ORDER BY {', '.join(order_by)} LIMIT {n}")
+
+
 def daily_run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One run of the mart over the whole feeds, then the rows of each table the catalog lists."""
     cfg = _new_mart(spark, sf_dir)
@@ -465,17 +503,25 @@ def all_queries() -> dict[str, Query]:
         "pit_join_seller": partial(_pit_join_items, SELLER),
         "pit_join_product": partial(_pit_join_items, PRODUCT),
         "high_watermark": watermark,
+        "stored_watermark": stored_watermark,
         "fact_order_items": order_items_fact,
         "fact_order_summary": order_summary_fact,
-        "topk_dim_date": partial(_top, dim_date, ["date_key"], 5),
+        "contiguous_fact_order_summary": contiguous_summary_fact,
+        "topk_dim_date": partial(_report, "dim_date", ["date_key"], 5),
         "topk_fact_items": partial(
-            _top, order_items_fact, ["order_id", "order_item_id", "seller_sk", "product_sk"], 5
+            _report, "fact_order_items", ["order_id", "order_item_id", "seller_sk", "product_sk"], 5
         ),
-        "topk_fact_summary": partial(_top, order_summary_fact, ["order_id", "customer_sk"], 10),
+        "topk_fact_summary": partial(_report, "fact_order_summary", ["order_id", "customer_sk"], 10),
         "daily_run_counts": daily_run_counts,
         "daily_dim_date": partial(_daily_table, "dim_date"),
         "daily_fact_order_items": partial(_daily_table, "fact_order_items"),
         "daily_fact_order_summary": partial(_daily_table, "fact_order_summary"),
+        "rerun_fact_order_items": partial(_daily_table, "fact_order_items", repeats=2),
+        "rerun_fact_order_summary": partial(_daily_table, "fact_order_summary", repeats=2),
+        "complete_fact_order_items": partial(_daily_table, "fact_order_items", complete=True),
+        "complete_fact_order_summary": partial(_daily_table, "fact_order_summary", complete=True),
+        "lookup_order": partial(_orders_by_id, ["7"]),
+        "lookup_orders": partial(_orders_by_id, ["7", "1", "32", "007", "no key"]),
     }
     for spec in SPECS.values():
         name = spec.table.removeprefix("dim_")
@@ -487,6 +533,7 @@ def all_queries() -> dict[str, Query]:
             f"merge_dim_{name}": partial(_merged, spec),
             f"dim_{name}_after_2_batches": partial(_loaded, spec),
             f"daily_dim_{name}": partial(_daily_table, spec.table),
-            f"topk_dim_{name}": partial(_top, partial(_loaded, spec), [spec.key, "effective_from"], 5),
+            f"complete_dim_{name}": partial(_daily_table, spec.table, complete=True),
+            f"topk_dim_{name}": partial(_report, spec.table, [spec.key, "effective_from"], 5),
         }
     return queries

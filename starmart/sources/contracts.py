@@ -84,6 +84,9 @@ TABLES = {
     "fact_order_summary": FACT_ORDER_SUMMARY,
 }
 
+HISTORIES = ("dim_customer", "dim_seller", "dim_product")
+FACTS = ("fact_order_items", "fact_order_summary")
+
 
 def relaxed(schema: StructType) -> StructType:
     """The contract without its limits: NULLs anywhere, room for totals of any size."""

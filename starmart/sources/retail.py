@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.operators.lookup import hot_keys_unless_small, lookup_join
+from starmart.functions.keys import text_key_in
+from starmart.operators.lookup import KeySketches, broadcast_size, hot_keys_unless_small, lookup_join
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,9 +33,13 @@ def _history(prefix: str, date: Column, never_updated: Column) -> list[Column]:
     ]
 
 
-def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_orders(spark: SparkSession, sf_dir: str, order_ids: Sequence[str] | None = None) -> DataFrame:
+    """Orders, or only those with these ids, which the file scan then looks up."""
     date, status = F.col("o_orderdate").cast("date"), F.col("o_orderstatus")
-    return _table(spark, sf_dir, "orders").select(
+    stored = _table(spark, sf_dir, "orders")
+    if order_ids is not None:
+        stored = stored.filter(text_key_in("o_orderkey", order_ids))
+    return stored.select(
         F.col("o_orderkey").cast("string").alias("order_id"),
         F.col("o_custkey").cast("string").alias("customer_id"),
         date.alias("order_purchase_date"),
@@ -57,9 +63,43 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _feed(facts: DataFrame, owners: DataFrame, owner_rows: int, spread: list[str]) -> DataFrame:
-    hot = hot_keys_unless_small(facts, "key", owner_rows)
-    return lookup_join(facts, owners, "key", "inner", hot, spread=spread)
+# Sketches by application, source folder and number of tasks.
+_sketches: dict[tuple[str, str, str], KeySketches] = {}
+
+
+def item_sketches(spark: SparkSession, sf_dir: str) -> KeySketches:
+    """The hot keys of lineitem for every join with it in a session: one pass over the table when the first needs it."""
+    key = spark.sparkContext.applicationId, sf_dir, spark.conf.get("spark.sql.shuffle.partitions")
+    made = KeySketches(_table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_suppkey", "l_partkey"])
+    return _sketches.setdefault(key, made)  # steps side by side get the same one; none has looked at the table yet
+
+
+class Renamed(KeySketches):
+    """Sketches of stored keys under other names, and as texts where the joined columns are the keys' texts."""
+
+    def __init__(self, stored: KeySketches, names: dict[str, str], texts: bool):
+        self._stored, self._names, self._texts = stored, names, texts
+
+    def hot(self, key: str) -> dict[object, int]:
+        found = self._stored.hot(self._names[key])
+        return {str(item) if self._texts and item is not None else item: pieces for item, pieces in found.items()}
+
+
+def order_item_sketches(spark: SparkSession, sf_dir: str) -> KeySketches:
+    """The same for the raw and staged order items."""
+    names = {"order_id": "l_orderkey", "seller_id": "l_suppkey", "product_id": "l_partkey"}
+    return Renamed(item_sketches(spark, sf_dir), names, texts=True)
+
+
+def _feed(facts: DataFrame, owners: DataFrame, sketches: KeySketches) -> DataFrame:
+    """Facts with their owners' columns; a hot owner's facts are spread by the whole row, so copies of one spread too."""
+    hot = hot_keys_unless_small(sketches, "key", broadcast_size(owners))
+    return lookup_join(facts, owners, "key", "inner", hot, spread=facts.columns)
+
+
+def _item_feed(spark: SparkSession, sf_dir: str, items: DataFrame, stored: str, owners: DataFrame) -> DataFrame:
+    """A feed from line items whose ``key`` is the ``stored`` column."""
+    return _feed(items, owners, Renamed(item_sketches(spark, sf_dir), {"key": stored}, texts=False))
 
 
 def _with_nation(df: DataFrame, nation: DataFrame, nation_key: str) -> DataFrame:
@@ -74,12 +114,10 @@ def raw_customers(
     nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     orders = _between(_table(spark, sf_dir, "orders"), "o_orderdate", since, until)
     owners = customers.select(F.col("c_custkey").alias("key"), "c_nationkey", "c_mktsegment")
-    feed = _feed(
-        orders.select(F.col("o_custkey").alias("key"), "o_orderkey", "o_orderdate", "o_orderpriority", "o_orderstatus"),
-        _with_nation(owners, nation, "c_nationkey"),
-        customers.count(),
-        ["o_orderkey"],
+    facts = orders.select(
+        F.col("o_custkey").alias("key"), "o_orderkey", "o_orderdate", "o_orderpriority", "o_orderstatus"
     )
+    feed = _feed(facts, _with_nation(owners, nation, "c_nationkey"), KeySketches(facts, ["key"]))
     return feed.select(
         F.col("key").cast("string").alias("customer_id"),
         F.col("o_orderpriority").alias("customer_address"),
@@ -96,14 +134,11 @@ def raw_sellers(
     suppliers = _table(spark, sf_dir, "supplier")
     nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     items = _between(_table(spark, sf_dir, "lineitem"), "l_shipdate", since, until)
-    feed = _feed(
-        items.select(
-            F.col("l_suppkey").alias("key"), "l_orderkey", "l_linenumber", "l_shipdate", "l_returnflag", "l_linestatus"
-        ),
-        _with_nation(suppliers.select(F.col("s_suppkey").alias("key"), "s_nationkey"), nation, "s_nationkey"),
-        suppliers.count(),
-        ["l_orderkey", "l_linenumber"],
+    facts = items.select(
+        F.col("l_suppkey").alias("key"), "l_orderkey", "l_linenumber", "l_shipdate", "l_returnflag", "l_linestatus"
     )
+    owners = suppliers.select(F.col("s_suppkey").alias("key"), "s_nationkey")
+    feed = _item_feed(spark, sf_dir, facts, "l_suppkey", _with_nation(owners, nation, "s_nationkey"))
     return feed.select(
         F.col("key").cast("string").alias("seller_id"),
         F.col("l_returnflag").alias("seller_address"),
@@ -119,19 +154,11 @@ def raw_products(
     """Product change feed: one row per line item."""
     parts = _table(spark, sf_dir, "part")
     items = _between(_table(spark, sf_dir, "lineitem"), "l_shipdate", since, until)
-    feed = _feed(
-        items.select(
-            F.col("l_partkey").alias("key"),
-            "l_orderkey",
-            "l_linenumber",
-            "l_shipdate",
-            "l_returnflag",
-            "l_extendedprice",
-        ),
-        parts.select(F.col("p_partkey").alias("key"), "p_name", "p_type", "p_size"),
-        parts.count(),
-        ["l_orderkey", "l_linenumber"],
+    facts = items.select(
+        F.col("l_partkey").alias("key"), "l_orderkey", "l_linenumber", "l_shipdate", "l_returnflag", "l_extendedprice"
     )
+    owners = parts.select(F.col("p_partkey").alias("key"), "p_name", "p_type", "p_size")
+    feed = _item_feed(spark, sf_dir, facts, "l_partkey", owners)
     size = F.col("p_size").cast("float")
     return feed.select(
         F.col("key").cast("string").alias("product_id"),

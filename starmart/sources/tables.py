@@ -10,10 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from starmart.config import MartConfig
-from starmart.sources.contracts import TABLES, relaxed
-
-# Formats whose catalogs run MERGE themselves.
-ROW_LEVEL_FORMATS = ("iceberg", "delta")
+from starmart.sources.contracts import FACTS, HISTORIES, TABLES, relaxed
+from starmart.sources.runs import KEPT_COPIES, attach_days, attach_versions, folder, quoted
 
 # Snapshots of a file table are numbered folders; Spark's marker, written last, tells the finished ones.
 SNAPSHOT = re.compile(r"snapshot-(\d+)")
@@ -22,14 +20,13 @@ FINISHED = "_SUCCESS"
 
 def _snapshots(spark: SparkSession, base: str) -> list[tuple[int, str, bool]]:
     """Number, location and completeness of every snapshot below ``base``, oldest first."""
-    context = spark.sparkContext
-    path = context._jvm.org.apache.hadoop.fs.Path
-    files = path(base).getFileSystem(context._jsc.hadoopConfiguration())
-    if not files.exists(path(base)):
+    files, place = folder(spark, base)
+    if not files.exists(place):
         return []
-    found = [status.getPath() for status in files.listStatus(path(base))]
-    numbered = [(SNAPSHOT.fullmatch(p.getName()), p) for p in found]
-    return sorted((int(m[1]), p.toString(), files.exists(path(p, FINISHED))) for m, p in numbered if m)
+    found = [status.getPath() for status in files.listStatus(place)]
+    numbered = [(SNAPSHOT.fullmatch(p.getName()), p.toString()) for p in found]
+    done = [(m, p, folder(spark, f"{p}/{FINISHED}")[1]) for m, p in numbered if m]
+    return sorted((int(m[1]), p, files.exists(marker)) for m, p, marker in done)
 
 
 def live_snapshot(spark: SparkSession, base: str) -> str | None:
@@ -38,39 +35,54 @@ def live_snapshot(spark: SparkSession, base: str) -> str | None:
     return finished[-1] if finished else None
 
 
+def _located(location: str | None) -> str:
+    escaped = location and location.replace("\\", "\\\\").replace("'", "\\'")
+    return f" LOCATION '{escaped}'" if location else ""
+
+
 def create_namespace(spark: SparkSession, namespace: str, location: str | None = None) -> None:
-    where = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace}{where}")
+    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {quoted(namespace)}{_located(location)}")
 
 
 def create_table(
     spark: SparkSession, table: str, schema: StructType, table_format: str = "parquet", location: str | None = None
 ) -> None:
     columns = ", ".join(
-        f"{f.name} {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in schema.fields
+        f"{quoted(f.name)} {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in schema.fields
     )
-    where = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING {table_format}{where}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {quoted(table)} ({columns}) USING {table_format}{_located(location)}")
 
 
 def ensure_tables(spark: SparkSession, cfg: MartConfig, names: Iterable[str] = tuple(TABLES)) -> None:
     """Namespace and mart tables of these names, empty where no data exist yet.
 
-    File tables are attached to their live snapshot, so that a session with a new catalog goes on where the last ended. No
-    other step may replace them meanwhile.
+    File tables are attached to what is live in their folders, so that a session with a new catalog goes on where the last
+    ended. No other step may replace them meanwhile.
     """
-    base = None if cfg.table_format in ROW_LEVEL_FORMATS else cfg.warehouse.rstrip("/")
-    create_namespace(spark, cfg.namespace, base)
+    create_namespace(spark, cfg.namespace, None if cfg.row_level else cfg.warehouse.rstrip("/"))
     for name in names:
-        schema = TABLES[name] if cfg.strict else relaxed(TABLES[name])
-        live = base and live_snapshot(spark, f"{base}/{name}")
-        create_table(spark, cfg.table(name), schema, cfg.table_format, live or base and f"{base}/{name}/initial")
-        if live:
-            _attach(spark, cfg.table(name), live)
+        table, schema = cfg.table(name), TABLES[name] if cfg.strict else relaxed(TABLES[name])
+        if cfg.row_level:
+            create_table(spark, table, schema, cfg.table_format)
+        elif not _attach_live(spark, table, cfg.folder(name), name, schema):
+            create_table(spark, table, schema, cfg.table_format, f"{cfg.folder(name)}/initial")
+
+
+def _attach_live(spark: SparkSession, table: str, base: str, name: str, schema: StructType) -> bool:
+    """Whether the folder of a file table has finished rows, which the catalog then shows."""
+    if name in HISTORIES:
+        return attach_versions(spark, table, base, schema)
+    if name in FACTS:
+        return attach_days(spark, table, base, schema)
+    live = live_snapshot(spark, base)
+    if live:
+        create_table(spark, table, schema, location=live)
+        _attach(spark, table, live)
+    return live is not None
 
 
 def _attach(spark: SparkSession, table: str, location: str) -> None:
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+    spark.sql(f"ALTER TABLE {quoted(table)} SET{_located(location)}")
     spark.catalog.refreshTable(table)
 
 
@@ -79,7 +91,7 @@ def current_namespace(spark: SparkSession) -> str:
 
 
 def table_names(spark: SparkSession, namespace: str) -> list[str]:
-    tables = spark.sql(f"SHOW TABLES IN {namespace}").filter(~F.col("isTemporary"))
+    tables = spark.sql(f"SHOW TABLES IN {quoted(namespace)}").filter(~F.col("isTemporary"))
     return sorted(row["tableName"] for row in tables.collect())
 
 
@@ -97,11 +109,12 @@ def load_table(
     writer.saveAsTable(table)
 
 
-def switch_snapshot(df: DataFrame, table: str, base: str) -> None:
+def switch_snapshot(df: DataFrame, table: str, base: str, kept: int = KEPT_COPIES) -> None:
     """Replace a file table by a result that may read that same table.
 
     The new rows go to a numbered folder of their own; readers change over in one catalog update, and a failed write
-    leaves the table as it was. The folder alone tells later sessions that it is the live one.
+    leaves the table as it was. The folder alone tells later sessions that it is the live one. The last ``kept`` finished
+    folders stay, for queries that still read one of them.
     """
     spark = df.sparkSession
     last = max((number for number, _, _ in _snapshots(spark, base)), default=0)
@@ -110,6 +123,9 @@ def switch_snapshot(df: DataFrame, table: str, base: str) -> None:
     if last + 1 not in [number for number, _, done in _snapshots(spark, base) if done]:
         raise RuntimeError(f"{location} has no {FINISHED}; mapreduce.fileoutputcommitter.marksuccessfuljobs must be on")
     _attach(spark, table, location)
+    for _, old, _ in [s for s in _snapshots(spark, base) if s[0] <= last + 1 - kept]:
+        files, place = folder(spark, old)
+        files.delete(place, True)
 
 
 def merge_into_table(source: DataFrame, table: str, on: str, update_when: Column, update_columns: list[str]) -> None:

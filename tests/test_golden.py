@@ -68,8 +68,8 @@ def facts(spark, dimensions, request):
     customers, sellers, products = (states[-1] for states in dimensions.values())
     return {
         "items": items,
-        "summary": fact_order_summary(orders, items, customers, CALENDAR, broadcast_rows=request.param),
-        "order_items": fact_order_items(items, sellers, products, CALENDAR, broadcast_rows=request.param),
+        "summary": fact_order_summary(orders, items, customers, CALENDAR, broadcast_bytes=request.param),
+        "order_items": fact_order_items(items, sellers, products, CALENDAR, broadcast_bytes=request.param),
     }
 
 

@@ -116,43 +116,51 @@ def test_ensure_tables_keeps_what_exists(spark, tmp_path):
     assert read_table(spark, cfg.table("fact_order_summary")).columns == TABLES["fact_order_summary"].names
 
 
+DAY = "date_key int, date date, year int, month int, day int, day_of_week int, week_of_year int, quarter int, "
+DAY += "day_of_year int, is_month_end boolean, is_month_start boolean, is_weekend boolean"
+
+
+def one_day(spark, year):
+    return spark.createDataFrame([(1, D(2020, 1, 1), year, *[1] * 6, True, True, True)], DAY)
+
+
 def test_snapshot_may_read_its_own_table(spark, tmp_path):
     cfg = config(tmp_path, "snapshot")
     ensure_tables(spark, cfg)
-    table = cfg.table("dim_customer")
-    first = dim_customers(spark, [("k", "a", "x", D(2020, 1, 1), None, True)])
-    switch_snapshot(first, table, f"{cfg.warehouse}/dim_customer")
+    table = cfg.table("dim_date")
+    switch_snapshot(one_day(spark, 1), table, cfg.folder("dim_date"))
     before = read_table(spark, table)
-    switch_snapshot(before.withColumn("address", F.lit("y")), table, f"{cfg.warehouse}/dim_customer")
-    assert rows_of(read_table(spark, table), "address") == [("y",)]
-    assert rows_of(before, "address") == [("x",)]
+    switch_snapshot(before.withColumn("year", F.lit(2)), table, cfg.folder("dim_date"))
+    assert rows_of(read_table(spark, table), "year") == [(2,)]
+    assert rows_of(before, "year") == [(1,)]
+    switch_snapshot(before.withColumn("year", F.lit(3)), table, cfg.folder("dim_date"))
+    left = sorted(p.name for p in (tmp_path / "warehouse" / "dim_date").glob("snapshot-*"))
+    assert left == ["snapshot-000002", "snapshot-000003"]
 
 
 def test_unfinished_snapshots_are_never_attached(spark, tmp_path):
     cfg = config(tmp_path, "unfinished")
     ensure_tables(spark, cfg)
-    base, table = f"{cfg.warehouse}/dim_customer", cfg.table("dim_customer")
-    first = dim_customers(spark, [("k", "a", "x", D(2020, 1, 1), None, True)])
-    switch_snapshot(first, table, base)
-    (tmp_path / "warehouse" / "dim_customer" / "snapshot-000002").mkdir()
+    base, table = cfg.folder("dim_date"), cfg.table("dim_date")
+    switch_snapshot(one_day(spark, 1), table, base)
+    (tmp_path / "warehouse" / "dim_date" / "snapshot-000002").mkdir()
     assert live_snapshot(spark, base).endswith("snapshot-000001")
-    switch_snapshot(read_table(spark, table).withColumn("address", F.lit("y")), table, base)
+    switch_snapshot(read_table(spark, table).withColumn("year", F.lit(2)), table, base)
     spark.sql(f"DROP TABLE {table}")
     ensure_tables(spark, cfg)
     assert live_snapshot(spark, base).endswith("snapshot-000003")
-    assert rows_of(read_table(spark, table), "address") == [("y",)]
+    assert rows_of(read_table(spark, table), "year") == [(2,)]
 
 
 def test_failed_snapshot_leaves_the_table(spark, tmp_path):
     cfg = config(tmp_path, "failed")
     ensure_tables(spark, cfg)
-    table = cfg.table("dim_customer")
-    first = dim_customers(spark, [("k", "a", "x", D(2020, 1, 1), None, True)])
-    switch_snapshot(first, table, f"{cfg.warehouse}/dim_customer")
-    broken = enforce_contract(read_table(spark, table).withColumn("state", F.lit(None).cast("string")), DIM_CUSTOMER)
-    with pytest.raises(Exception, match="NULL in NOT NULL column state"):
-        switch_snapshot(broken, table, f"{cfg.warehouse}/dim_customer")
-    assert rows_of(read_table(spark, table), "state") == [("S",)]
+    table = cfg.table("dim_date")
+    switch_snapshot(one_day(spark, 1), table, cfg.folder("dim_date"))
+    broken = read_table(spark, table).withColumn("year", F.raise_error(F.lit("broken")).cast("int"))
+    with pytest.raises(Exception, match="broken"):
+        switch_snapshot(broken, table, cfg.folder("dim_date"))
+    assert rows_of(read_table(spark, table), "year") == [(1,)]
 
 
 def test_append_goes_by_name_and_overwrite_replaces(spark, tmp_path):

@@ -50,7 +50,7 @@ def test_dedup_limits_groups_on_both_sides_of_the_shuffle(spark):
 def test_totals_share_the_item_shuffle(spark, conf):
     """Dedup, join with the order and totals per order: one exchange of the items, one of the order dates."""
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
-    items = stage_order_items(retail.raw_order_items(spark, SF_DIR), retail.raw_orders(spark, SF_DIR), broadcast_rows=0)
+    items = stage_order_items(retail.raw_order_items(spark, SF_DIR), retail.raw_orders(spark, SF_DIR), broadcast_bytes=0)
     plan = plan_of(order_item_totals(items))
     assert plan.count("Exchange hashpartitioning") == 2
     assert "SortMergeJoin" in plan
@@ -68,6 +68,8 @@ def test_scans_read_only_what_they_need(spark):
 def test_filters_reach_the_scan(spark):
     assert "EqualTo(o_orderstatus,F)" in plan_of(QUERIES["filter_eq"](spark, SF_DIR))
     assert "In(o_orderstatus, [O,P])" in plan_of(QUERIES["filter_in"](spark, SF_DIR))
+    assert "EqualTo(o_orderkey,7)" in plan_of(QUERIES["lookup_order"](spark, SF_DIR))
+    assert "In(o_orderkey, [1,32,7])" in plan_of(QUERIES["lookup_orders"](spark, SF_DIR))
     batch = stage_dimension(PRODUCT, retail.raw_products(spark, SF_DIR, D(1998, 1, 1), D(1999, 1, 1)), F.lit(FLOOR))
     assert "GreaterThanOrEqual(l_shipdate,1998-01-01T00:00)" in plan_of(batch)
 
@@ -97,7 +99,7 @@ def test_small_changes_leave_the_target_unshuffled(spark):
     plan = final_plan_of(QUERIES["merge_dim_customer"](spark, SF_DIR))
     final = plan.split("== Initial Plan ==")[0]
     assert "SortMergeJoin" not in final
-    assert final.count("Exchange hashpartitioning") == 1
+    assert "Exchange hashpartitioning" not in final
 
 
 def test_first_load_joins_nothing(spark):

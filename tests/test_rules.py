@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starmart.config import Calendar
-from starmart.functions.dates import date_key
+from starmart.functions.dates import calendar_days, date_key
 from starmart.functions.keys import any_differs, effective_update_date, null_safe_eq, surrogate_key, updated_after
 from starmart.operators.dedup import keep_first
 from starmart.operators.merge import merge_upsert
@@ -115,8 +115,8 @@ def test_order_copies_do_not_multiply_items(spark):
         ],
         RAW_ITEM,
     )
-    for broadcast_rows in (100, 0):
-        staged = stage_order_items(items, orders, broadcast_rows)
+    for broadcast_bytes in (1 << 20, 0):
+        staged = stage_order_items(items, orders, broadcast_bytes)
         assert rows_of(staged, "order_id", "product_id", "order_date") == [("1", "o", D(2020, 1, 1))]
     assert rows_of(stage_orders(orders), "order_date", "order_status") == [(D(2020, 1, 1), "O")]
 
@@ -308,7 +308,7 @@ def test_date_keys(spark):
     days = [None, D(2019, 12, 31), D(2020, 1, 1), D(2020, 12, 31), D(2021, 1, 1)]
     df = spark.createDataFrame([(d,) for d in days], "day date")
     dates = calendar_dimension(spark, CALENDAR)
-    out = attach_date_key(df, dates, "day", "joined").withColumn("computed", date_key(F.col("day"), CALENDAR))
+    out = attach_date_key(df, dates, "day", "joined").withColumn("computed", date_key(F.col("day"), *calendar_days(CALENDAR)))
     want = [(day, key, key) for day, key in zip(days, [0, None, 1, 366, None], strict=True)]
     assert rows_of(out) == sorted(want, key=repr)
 

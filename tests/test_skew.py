@@ -57,14 +57,14 @@ def test_hot_keys(events):
     hot = hot_keys(events, "k", 8)
     assert hot == {"0": 3}
     assert hot_keys(events, "k", 100) == {"0": 34, None: 17}
-    assert hot_keys_unless_small(events, "k", 10, broadcast_rows=10) is None
-    assert hot_keys_unless_small(events, "k", 11, broadcast_rows=10) == hot
+    assert hot_keys_unless_small(events, "k", 10, broadcast_bytes=10) is None
+    assert hot_keys_unless_small(events, "k", 11, broadcast_bytes=10) == hot
 
 
-@pytest.mark.parametrize("broadcast_rows", [10_000, 0], ids=["broadcast", "salted"])
-def test_point_in_time_join(spark, conf, events, versions, broadcast_rows):
+@pytest.mark.parametrize("broadcast_bytes", [1 << 20, 0], ids=["broadcast", "salted"])
+def test_point_in_time_join(spark, conf, events, versions, broadcast_bytes):
     conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__shuffle__partitions="16")
-    joined = point_in_time_join(events, versions, "k", "day", "sk", spread=["event"], broadcast_rows=broadcast_rows)
+    joined = point_in_time_join(events, versions, "k", "day", "sk", spread=["event"], broadcast_bytes=broadcast_bytes)
     assert joined.columns == ["event", "k", "day", "sk"]
     assert rows_of(joined) == brute_force(events, versions)
 
@@ -135,7 +135,7 @@ def test_items_of_a_hot_order(spark, conf, monkeypatch):
     want = sorted(((o, i, p, dates[o]) for (o, i), p in lowest.items() if o in dates), key=repr)
     for found in (lookup.hot_keys, lambda *_: {}):
         monkeypatch.setattr(lookup, "hot_keys", found)
-        staged = stage_order_items(items, orders, broadcast_rows=0)
+        staged = stage_order_items(items, orders, broadcast_bytes=0)
         assert rows_of(staged, "order_id", "order_item_id", "product_id", "order_date") == want
 
 
@@ -146,3 +146,51 @@ def test_hot_keys_of_nothing(spark):
     assert hot_keys(blank, "k", 8) == {None: 8}
     dates = spark.createDataFrame([(DAY,)] * 20, "k date")
     assert hot_keys(dates, "k", 8) == {DAY: 8}
+
+
+@pytest.mark.parametrize("most", [1_000_000, 700])
+def test_sketches_of_all_keys_in_one_pass(spark, events, monkeypatch, most):
+    """Also where a key needs more entries than one sketch has."""
+    monkeypatch.setattr(lookup, "MOST_TRACKED", most)
+    monkeypatch.setattr(lookup, "TRACKED_PER_KEY", 4)
+    passes = []
+    monkeypatch.setattr(lookup, "_sketched", lambda *a, real=lookup._sketched: passes.append(a) or real(*a))
+    two = events.withColumn("other", F.when(F.col("event") % 2 == 0, 7).otherwise(F.col("event")))
+    sketches = lookup.KeySketches(two, ["k", "other"], 100)
+    assert sketches.hot("k") == {"0": 34, None: 17} and sketches.hot("other") == {7: 51}
+    assert len(passes) == 1
+
+
+def test_one_pass_over_lineitem_for_every_join(spark, conf, monkeypatch):
+    """Nothing is broadcast: both feeds of both batches, the staged items and both as-of joins ask for hot keys."""
+    from starmart.registry import queries
+
+    passes = []
+    monkeypatch.setattr(lookup, "_sketched", lambda df, *a, real=lookup._sketched: passes.append(df.columns) or real(df, *a))
+    for module in (retail, queries, lookup):
+        if hasattr(module, "broadcast_size"):
+            monkeypatch.setattr(module, "broadcast_size", lambda *_: 1 << 40)
+    monkeypatch.setattr("starmart.plans.staging.broadcast_size", lambda *_: 1 << 40)
+    monkeypatch.setattr("starmart.operators.point_in_time.broadcast_size", lambda *_: 1 << 40)
+    monkeypatch.setattr(retail, "_sketches", {})
+    got = rows_of(queries.order_items_fact(spark, SF_DIR))
+    assert [c for c in passes if "l_orderkey" in c] == [["l_orderkey", "l_suppkey", "l_partkey"]] == passes
+    monkeypatch.undo()
+    assert got == rows_of(queries.order_items_fact(spark, SF_DIR))
+
+
+def test_copies_of_one_row_of_a_hot_key_spread(spark, conf):
+    """All rows of the feed share seller, product and order; the whole row tells where each goes."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__coalescePartitions__enabled="false")
+    conf(spark__sql__shuffle__partitions="16")
+    facts = spark.range(4000).selectExpr("1L AS key", "5L AS l_orderkey", "1 AS l_linenumber", "id % 1000 AS l_extendedprice")
+    owners = spark.createDataFrame([(1, "p")], "key bigint, p_name string")
+    joined = lookup_join(facts, owners, "key", "inner", hot_keys(facts, "key", 16), spread=facts.columns)
+    sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 4000 and max(sizes) < 1400 and len(sizes) > 8
+
+
+def test_size_of_a_broadcast(spark):
+    frame = spark.createDataFrame([("abc", 1), (None, 2), ("é", None)], "k string, n int")
+    assert lookup.broadcast_size(frame) == 3 * 2 * lookup.VALUE_BYTES + 3 + 2
+    assert lookup.broadcast_size(frame.limit(0)) == 0
