@@ -11,7 +11,9 @@ strings of that length share their minimizer (the ``GRAM`` bytes with the least
    after ``LENGTH`` passes are the suffixes with that common prefix: the repeated intervals, each with its smallest id;
 4. the spans go back to their documents.
 
-Buckets grow in number with the input, not in size. Defined results: a null text is empty; texts shorter than ``LENGTH``
+What a bucket finds goes back to the slices that its packets came from, one row for each, and only there to documents.
+
+Buckets grow in number with the input, not in size, up to 2**32 of them. Defined results: a null text is empty; texts shorter than ``LENGTH``
 bytes stay whole; null ids come after all others; rows with one id are not repeats of each other, and rows equal in id
 and text get the same result; empty tables give no rows; other columns are carried in a struct.
 """
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +42,9 @@ BUCKET_BYTES = 32 << 20
 CONTEXT_BUCKET_BYTES = 8 << 20
 SHARD_CONTEXTS = 1_000
 LAST = (1 << 63) - 1
-LOW = np.uint64((1 << 48) - 1)
+# Anchors of a bucket meet by so many bytes of their hash; contexts of a wrong match differ and are compared.
+HASH_BYTES = 5
+LOW = np.uint64((1 << 8 * HASH_BYTES) - 1)
 ALONE = np.uint64(1 << 63)
 
 
@@ -93,75 +98,122 @@ def _deal(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
     """A row for each bucket and slice: anchor hashes, whose they are, and their contexts' hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in slices(batches):
+        for n, (batch, texts) in enumerate(slices(batches)):
             raw, _, found, row, start, size = _found(texts)
-            context = span_hashes(raw, start, start + size) & LOW
+            context = span_hashes(raw, start, start + size) & np.uint64((1 << 48) - 1)
             order = np.lexsort((context, row, found))
             found, row, context = found[order], row[order], context[order]
             new = np.ones(len(found), bool)
             new[1:] = (found[1:] != found[:-1]) | (row[1:] != row[:-1]) | (context[1:] != context[:-1])
             context = context[new]
-            yield _rows(buckets, batch, found[new], row[new], context=lambda mine, c=context: _six(c[mine]))
+            more = {"context": lambda mine, c=context: _low(c[mine], 6)}
+            yield _rows(buckets, batch, n, found[new], row[new], more)
 
     return run
 
 
-def _six(values: np.ndarray) -> bytes:
-    """The low six bytes of each."""
-    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+def _low(values: np.ndarray, size: int) -> bytes:
+    """The low bytes of each."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8)[:, :size].tobytes()
 
 
-def _eight(raw: list[bytes]) -> np.ndarray:
-    narrow = np.frombuffer(b"".join(raw), np.uint8).reshape(-1, 6)
+def _wide(raw: list[bytes], size: int) -> np.ndarray:
+    narrow = np.frombuffer(b"".join(raw), np.uint8).reshape(-1, size)
     wide = np.zeros((len(narrow), 8), np.uint8)
-    wide[:, :6] = narrow
+    wide[:, :size] = narrow
     return wide.view(np.uint64).reshape(-1)
 
 
-def _rows(buckets: int, batch: pa.RecordBatch, found: np.ndarray, row: np.ndarray, **more) -> pa.RecordBatch:
+def _rows(
+    buckets: int,
+    batch: pa.RecordBatch,
+    number: int,
+    found: np.ndarray,
+    row: np.ndarray,
+    more: dict[str, Callable[[np.ndarray], bytes]],
+) -> pa.RecordBatch:
+    """A packet for each bucket with anchors of the slice: by document, its id, text hash and how many follow."""
     bucket = _bucket(found, buckets)
-    order = np.argsort(bucket, kind="stable")
+    order = np.lexsort((row, bucket))
     used, at = np.unique(bucket[order], return_index=True)
     ids, texts = batch.column("id").to_numpy(), batch.column("th").to_numpy()
+    name = (batch.column("part")[0].as_py() << 32) + number if len(batch) else 0
     out = []
     for b, mine in zip(used.tolist(), np.split(order, at[1:])[: len(used)], strict=True):
-        own, index = np.unique(row[mine], return_inverse=True)
-        narrow = np.uint16 if len(own) < 1 << 16 else np.uint32
-        one = {"bucket": b, "ids": ids[own].tobytes(), "ths": texts[own].tobytes(), "row": index.astype(narrow).tobytes()}
-        one["hashes"] = _six(found[mine])
+        own, n = np.unique(row[mine], return_counts=True)
+        one = {"bucket": b, "slice": name, "ids": ids[own].tobytes(), "ths": texts[own].tobytes()}
+        one |= {"n": n.astype(np.uint32).tobytes(), "hashes": _low(found[mine], HASH_BYTES)}
         one |= {name: value(mine) for name, value in more.items()}
         out.append(one)
-    names = ["ids", "ths", "row", "hashes", *more]
-    schema = pa.schema([("bucket", pa.int32()), *[(n, pa.binary()) for n in names]])
-    return pa.RecordBatch.from_pylist(out, schema=schema)
+    fields = [("bucket", pa.int64()), ("slice", pa.int64())]
+    names = ["ids", "ths", "n", "hashes", *more]
+    return pa.RecordBatch.from_pylist(out, schema=pa.schema([*fields, *[(n, pa.binary()) for n in names]]))
 
 
 def _bucket(found: np.ndarray, buckets: int) -> np.ndarray:
-    return ((found >> np.uint64(48)) * np.uint64(buckets)) >> np.uint64(16)
+    """From the upper half of the hash, so up to 2**32 buckets."""
+    return ((found >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+
+
+def _named(low: np.ndarray, bucket: np.ndarray | int) -> np.ndarray:
+    """An anchor by its bucket and what its bucket knows of its hash."""
+    return low | ((np.uint64(bucket) if isinstance(bucket, int) else bucket) & np.uint64((1 << 23) - 1)) << np.uint64(40)
 
 
 def _column(table: pa.Table, name: str, kind) -> list[np.ndarray]:
     return [np.frombuffer(x, kind) for x in table.column(name).to_pylist()]
 
 
-def _gathered(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Ids and text hashes of the bucket's documents, and for each anchor its hash and document."""
-    ids, ths = _column(table, "ids", np.int64), _column(table, "ths", np.int64)
-    hashes = table.column("hashes").to_pylist()
-    rows, before = [], 0
-    for own, raw, found in zip(ids, table.column("row").to_pylist(), hashes, strict=True):
-        kind = np.uint16 if len(raw) * 3 == len(found) else np.uint32
-        rows.append(np.frombuffer(raw, kind).astype(np.int64) + before)
-        before += len(own)
-    return np.concatenate(ids), np.concatenate(ths), _eight(hashes), np.concatenate(rows)
-
+@dataclass
+class _Bucket:
+    """A bucket's documents, packet by packet, and of each anchor the hash and the document."""
+
+    ids: np.ndarray
+    ths: np.ndarray
+    packet: np.ndarray
+    slices: np.ndarray
+    found: np.ndarray
+    row: np.ndarray
+
+    @classmethod
+    def of(cls, table: pa.Table) -> _Bucket:
+        ids, ths, n = (_column(table, name, kind) for name, kind in (("ids", np.int64), ("ths", np.int64), ("n", np.uint32)))
+        packet = np.repeat(np.arange(len(ids)), [len(i) for i in ids])
+        ids, ths, n = map(np.concatenate, (ids, ths, n))
+        found = _wide(table.column("hashes").to_pylist(), HASH_BYTES)
+        return cls(ids, ths, packet, table.column("slice").to_numpy(), found, np.repeat(np.arange(len(ids)), n))
+
+    def back(self, row: np.ndarray, values: np.ndarray, name: str) -> pa.Table:
+        """What was found, a row for each packet: it goes back to the packet's slice."""
+        order = np.argsort(row, kind="stable")
+        own, at, n = np.unique(row[order], return_index=True, return_counts=True)
+        packets, first = np.unique(self.packet[own], return_index=True)
+        docs = np.append(first, len(own)).tolist()
+        ends = np.append(at, len(row))[docs].tolist()
+        values, out = values[order], []
+        for k, packet in enumerate(packets.tolist()):
+            mine = own[docs[k] : docs[k + 1]]
+            one = {"slice": int(self.slices[packet]), "ids": self.ids[mine].tobytes(), "ths": self.ths[mine].tobytes()}
+            one |= {"n": n[docs[k] : docs[k + 1]].astype(np.uint32).tobytes()}
+            out.append(one | {name: values[ends[k] : ends[k + 1]].tobytes()})
+        names = ["ids", "ths", "n", name]
+        return pa.Table.from_pylist(out, pa.schema([("slice", pa.int64()), *[(n, pa.binary()) for n in names]]))
+
+
+def _returned(name: str, size: int) -> Callable[[pa.Table], pa.Table]:
+    """Of a slice what its packets brought back, a row for each document; each value has ``size`` bytes."""
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, ths, n = (_column(table, c, kind) for c, kind in (("ids", np.int64), ("ths", np.int64), ("n", np.uint32)))
+        ids, ths, n = map(np.concatenate, (ids, ths, n))
+        raw, ends = b"".join(table.column(name).to_pylist()), np.concatenate([[0], np.cumsum(n, dtype=np.int64)]) * size
+        parts: dict[tuple[int, int], list[bytes]] = {}
+        for key, a, b in zip(zip(ids.tolist(), ths.tolist(), strict=True), ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+            parts.setdefault(key, []).append(raw[a:b])
+        columns = [pa.array([k[i] for k in parts], pa.int64()) for i in (0, 1)]
+        return pa.table([*columns, pa.array([b"".join(v) for v in parts.values()], pa.binary())], names=["id", "th", name])
 
-def _per_document(ids, ths, row, values: np.ndarray, name: str) -> pa.Table:
-    """A row for each document with the bytes of its values."""
-    order = np.argsort(row, kind="stable")
-    own, at = np.unique(row[order], return_index=True)
-    parts = [v.tobytes() for v in np.split(values[order], at[1:])] if len(own) else []
-    return pa.table({"id": ids[own], "th": ths[own], name: pa.array(parts, pa.binary())})
+    return run
 
 
 def _shared(table: pa.Table) -> pa.Table:
@@ -169,40 +221,41 @@ def _shared(table: pa.Table) -> pa.Table:
 
     Of marked ones, those of the smallest id itself are left out.
     """
-    ids, ths, found, row = _gathered(table)
-    context = _eight(table.column("context").to_pylist())
-    order = np.argsort(found, kind="stable")
-    found, row, context = found[order], row[order], context[order]
+    bucket = _Bucket.of(table)
+    context = _wide(table.column("context").to_pylist(), 6)
+    order = np.argsort(bucket.found, kind="stable")
+    found, row, context = bucket.found[order], bucket.row[order], context[order]
     heads = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]))
     size = np.diff(np.append(heads, len(found)))
-    who = ids[row]
+    who = bucket.ids[row]
     least = np.minimum.reduceat(who, heads)
     several = np.repeat(least != np.maximum.reduceat(who, heads), size)
     alone = np.repeat(np.minimum.reduceat(context, heads) == np.maximum.reduceat(context, heads), size)
     keep = several & (~alone | (who > np.repeat(least, size)))
-    return _per_document(ids, ths, row[keep], np.where(alone, found | ALONE, found)[keep], "anchors")
+    found = _named(found, table.column("bucket")[0].as_py())
+    return bucket.back(row[keep], np.where(alone, found | ALONE, found)[keep], "anchors")
 
 
-def _wanted(parts: pa.Array, found: np.ndarray, row: np.ndarray, alone: bool) -> np.ndarray:
+def _wanted(parts: pa.Array, found: np.ndarray, row: np.ndarray, buckets: int, alone: bool) -> np.ndarray:
     """Which anchors are among those listed for their text."""
-    keep = np.zeros(len(found), bool)
+    keep, found = np.zeros(len(found), bool), _named(found & LOW, _bucket(found, buckets))
     cuts = np.searchsorted(row, np.arange(len(parts) + 1))
     for i, own in enumerate(parts.to_pylist()):
         if own:
             listed = np.frombuffer(b"".join(own), np.uint64)
-            listed = listed[(listed >= ALONE) == alone] & LOW
+            listed = listed[(listed >= ALONE) == alone] & ~ALONE
             mine = slice(cuts[i], cuts[i + 1])
-            keep[mine] = np.isin(found[mine] & LOW, listed)
+            keep[mine] = np.isin(found[mine], listed)
     return keep
 
 
-def _contexts(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _contexts(buckets: int, anchor_buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """The bytes around the shared anchors, equal ones once, and where they are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in slices(batches):
+        for n, (batch, texts) in enumerate(slices(batches)):
             raw, bounds, found, row, start, size = _found(texts)
-            keep = _wanted(batch.column("anchors"), found, row, alone=False)
+            keep = _wanted(batch.column("anchors"), found, row, anchor_buckets, alone=False)
             found, row, start, size = found[keep], row[keep], start[keep], size[keep]
             text = np.zeros((len(found), SIDE), np.uint8)
             at = np.arange(SIDE)[None, :]
@@ -213,15 +266,12 @@ def _contexts(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
             def of(mine: np.ndarray, text=text) -> tuple[np.ndarray, np.ndarray]:
                 return np.unique(text[mine].view(f"V{SIDE}").reshape(-1), return_inverse=True)
 
-            yield _rows(
-                buckets,
-                batch,
-                found,
-                row,
-                contexts=lambda mine: of(mine)[0].tobytes(),
-                which=lambda mine: of(mine)[1].astype(np.uint32).tobytes(),
-                start=lambda mine, s=start - bounds[row]: s[mine].astype(np.uint32).tobytes(),
-            )
+            more = {
+                "contexts": lambda mine: of(mine)[0].tobytes(),
+                "which": lambda mine: of(mine)[1].astype(np.uint32).tobytes(),
+                "start": lambda mine, s=start - bounds[row]: s[mine].astype(np.uint32).tobytes(),
+            }
+            yield _rows(buckets, batch, n, found, row, more)
 
     return run
 
@@ -288,7 +338,7 @@ def smallest_ids(texts: np.ndarray, ids: np.ndarray) -> np.ndarray:
 
 def _spans(table: pa.Table) -> pa.Table:
     """The repeated spans of the bucket's documents."""
-    ids, ths, found, row = _gathered(table)
+    bucket = _Bucket.of(table)
     texts, which, before = [], [], 0
     for own, index in zip(_column(table, "contexts", np.uint8), _column(table, "which", np.uint32), strict=True):
         texts.append(own.reshape(-1, SIDE))
@@ -298,7 +348,7 @@ def _spans(table: pa.Table) -> pa.Table:
     both, same = np.unique(np.concatenate(texts).view(f"V{SIDE}").reshape(-1), return_inverse=True)
     texts = both.view(np.uint8).reshape(-1, SIDE)
     which = same[np.concatenate(which)]
-    who = ids[row]
+    who = bucket.ids[bucket.row]
     least = np.full(len(texts), LAST, np.int64)
     np.minimum.at(least, which, who)
     smallest = smallest_ids(texts, least)
@@ -308,7 +358,7 @@ def _spans(table: pa.Table) -> pa.Table:
     at, begin = np.nonzero(turn == 1)
     _, end = np.nonzero(turn == -1)
     spans = np.stack([start[at] + begin, start[at] + end - 1 + LENGTH], axis=1)
-    return _per_document(ids, ths, row[at], spans, "spans")
+    return bucket.back(bucket.row[at], spans, "spans")
 
 
 def _union(spans: np.ndarray) -> np.ndarray:
@@ -321,31 +371,34 @@ def _union(spans: np.ndarray) -> np.ndarray:
     return np.stack([start[np.concatenate([[0], cut])], end[np.append(cut - 1, len(end) - 1)]], axis=1)
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch, texts in slices(batches):
-        parts = batch.column("parts").to_pylist()
-        spans = [np.frombuffer(b"".join(p or []), np.int64).reshape(-1, 2) for p in parts]
-        listed = np.flatnonzero(batch.column("anchors").is_valid().to_numpy(zero_copy_only=False))
-        if len(listed):
-            of = pa.array(listed)
-            _, bounds, found, row, start, size = _found(texts.take(of))
-            keep = _wanted(batch.column("anchors").take(of), found, row, alone=True) & (size >= LENGTH)
-            row, start, size = row[keep], (start - bounds[row])[keep], size[keep]
-            cuts = np.searchsorted(row, np.arange(len(listed) + 1))
-            both = np.stack([start, start + size], axis=1)
-            for i, k in enumerate(listed):
-                spans[k] = np.concatenate([spans[k], both[cuts[i] : cuts[i + 1]]])
-        spans = [_union(s) for s in spans]
-        kept, removed = [], []
-        for text, own in zip(texts.to_pylist(), spans, strict=True):
-            raw = text.encode()
-            ends = [0, *own[:, 1].tolist()]
-            kept.append(b"".join(raw[a:b] for a, b in zip(ends, [*own[:, 0].tolist(), len(raw)], strict=True)))
-            removed.append(len(raw) - len(kept[-1]))
-        lists = pa.array([s.tolist() for s in spans], pa.list_(pa.list_(pa.int64())))
-        digests = [hashlib.sha256(k).hexdigest() for k in kept]
-        columns = [batch.column("doc"), pa.array(kept, pa.binary()), lists, pa.array(removed, pa.int64()), pa.array(digests)]
-        yield pa.RecordBatch.from_arrays(columns, names=["doc", "kept", "spans", "n_removed", "kept_sha256"])
+def _cut(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in slices(batches):
+            parts = batch.column("parts").to_pylist()
+            spans = [np.frombuffer(b"".join(p or []), np.int64).reshape(-1, 2) for p in parts]
+            listed = np.flatnonzero(batch.column("anchors").is_valid().to_numpy(zero_copy_only=False))
+            if len(listed):
+                of = pa.array(listed)
+                _, bounds, found, row, start, size = _found(texts.take(of))
+                keep = _wanted(batch.column("anchors").take(of), found, row, buckets, alone=True) & (size >= LENGTH)
+                row, start, size = row[keep], (start - bounds[row])[keep], size[keep]
+                cuts = np.searchsorted(row, np.arange(len(listed) + 1))
+                both = np.stack([start, start + size], axis=1)
+                for i, k in enumerate(listed):
+                    spans[k] = np.concatenate([spans[k], both[cuts[i] : cuts[i + 1]]])
+            spans = [_union(s) for s in spans]
+            kept, removed = [], []
+            for text, own in zip(texts.to_pylist(), spans, strict=True):
+                raw = text.encode()
+                ends = [0, *own[:, 1].tolist()]
+                kept.append(b"".join(raw[a:b] for a, b in zip(ends, [*own[:, 0].tolist(), len(raw)], strict=True)))
+                removed.append(len(raw) - len(kept[-1]))
+            lists = pa.array([s.tolist() for s in spans], pa.list_(pa.list_(pa.int64())))
+            digests = [hashlib.sha256(k).hexdigest() for k in kept]
+            columns = [batch.column("doc"), pa.array(kept, pa.binary()), lists, pa.array(removed, pa.int64()), pa.array(digests)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc", "kept", "spans", "n_removed", "kept_sha256"])
+
+    return run
 
 
 def remove_repeats(
@@ -356,20 +409,24 @@ def remove_repeats(
     buckets, context_buckets = (max(1, -(-total // size)) for size in (bucket_bytes, context_bucket_bytes))
     identity = [F.coalesce("doc_id", F.lit(LAST)).cast("bigint").alias("id"), F.xxhash64("text").alias("th")]
     rows = packed(docs, *identity)
-    blobs = "bucket int, ids binary, ths binary, row binary, hashes binary"
-    dealt = rows.mapInArrow(_deal(buckets), f"{blobs}, context binary")
-    shared = dealt.groupBy("bucket").applyInArrow(_shared, "id bigint, th bigint, anchors binary")
+    part = F.spark_partition_id().alias("part")
+    blobs = "bucket bigint, slice bigint, ids binary, ths binary, n binary, hashes binary"
+    back = "slice bigint, ids binary, ths binary, n binary"
+    dealt = rows.select("*", part).mapInArrow(_deal(buckets), f"{blobs}, context binary")
+    shared = dealt.groupBy("bucket").applyInArrow(_shared, f"{back}, anchors binary")
+    shared = shared.groupBy("slice").applyInArrow(_returned("anchors", 8), "id bigint, th bigint, anchors binary")
     # At most a document's own anchors are collected.
     shared = shared.groupBy("id", "th").agg(F.collect_list("anchors").alias("anchors"))
     listed = rows.join(shared, ["id", "th"], "left")
-    around = listed.filter("anchors IS NOT NULL").mapInArrow(
-        _contexts(context_buckets), f"{blobs}, contexts binary, which binary, start binary"
+    around = listed.filter("anchors IS NOT NULL").select("*", part).mapInArrow(
+        _contexts(context_buckets, buckets), f"{blobs}, contexts binary, which binary, start binary"
     )
-    spans = around.groupBy("bucket").applyInArrow(_spans, "id bigint, th bigint, spans binary")
+    spans = around.groupBy("bucket").applyInArrow(_spans, f"{back}, spans binary")
+    spans = spans.groupBy("slice").applyInArrow(_returned("spans", 16), "id bigint, th bigint, spans binary")
     spans = spans.groupBy("id", "th").agg(F.collect_list("spans").alias("parts"))
     cut = listed.join(spans, ["id", "th"], "left").select("doc", "anchors", "parts")
     fields = StructType.fromDDL("kept binary, spans array<array<bigint>>, n_removed bigint, kept_sha256 string").fields
-    return cut.mapInArrow(_cut, StructType([cut.schema["doc"], *fields]))
+    return cut.mapInArrow(_cut(buckets), StructType([cut.schema["doc"], *fields]))
 
 
 def digest(found: DataFrame) -> DataFrame:
