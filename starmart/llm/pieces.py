@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from starmart.llm.common import flat, ranges
 
 # What a worker process remembers between slices: this many pieces of at most so many bytes.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 LONGEST = 48
 # Pieces encoded at a time: the library's results are far larger than the ids in them.
 AT_ONCE = 4_096
