@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
 from array import array
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +31,37 @@ _STOP = np.zeros(256, bool)
 _STOP[[0x2E, 0x2C, 0x0A]] = True  # . , and line end
 
 
+# A word of ASCII and Latin-1 letters, as most pieces are: one pre-token of either kind of vocabulary.
+_WORD = re.compile(rb" ?(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The character that byte-level vocabularies write for each byte: itself if it can be seen, else one from 256 on."""
+    seen = {b for b in range(256) if 0x20 < b < 0x7F or 0xA0 < b and b != 0xAD}
+    rest = iter(range(256, 512))
+    return {b: chr(b if b in seen else next(rest)) for b in range(256)}
+
+
+_LETTERS = _byte_letters()
+
+
+def _word_form(spec: dict) -> Callable[[bytes], str] | None:
+    """How the vocabulary's model gets a word, if its normalizer and pre-tokenizer are of a kind that leaves it one piece."""
+    normal, cut = spec["normalizer"], spec["pre_tokenizer"] or {}
+    added = [t["content"] for t in spec["added_tokens"]]
+    if spec["model"].get("dropout") or any(re.fullmatch(r"\s*\w*\s*", t) for t in added):
+        return None
+    if normal is None and cut.get("type") == "ByteLevel" and cut["use_regex"] and not cut["add_prefix_space"]:
+        return lambda word: word.decode("latin-1").translate(_LETTERS)
+    parts = [p["type"] for p in (normal or {}).get("normalizers", [])], cut.get("pretokenizers", [])
+    if parts[0] != ["NFC", "Replace", "Lowercase"] or [p["type"] for p in parts[1]] != ["Split", "ByteLevel"]:
+        return None
+    split, level = parts[1]
+    if "[\\p{L}]+" not in split["pattern"].get("Regex", "").split("|") or level["use_regex"] or level["add_prefix_space"]:
+        return None
+    return lambda word: word.decode().lower().lstrip(" ").encode().decode("latin-1").translate(_LETTERS)
+
+
 def cuts(raw: np.ndarray) -> np.ndarray:
     """Whether a pre-token of the vocabularies surely begins at each byte (the first one aside).
 
@@ -66,6 +99,7 @@ class PieceEncoder:
             t.lstrip or t.rstrip or t.single_word or t.normalized or re.search(r"\s", t.content) for t in added
         )
         self.known: dict[bytes, bytes] = {}
+        self.word_form = _word_form(json.loads(self.tokenizer.to_str()))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and where each text's begin (one more for the end)."""
@@ -93,8 +127,17 @@ class PieceEncoder:
     def _distinct(self, pieces: list[bytes]) -> list[bytes]:
         out = list(map(self.known.get, pieces))
         fresh = [i for i, ids in enumerate(out) if ids is None]
-        for at in range(0, len(fresh), AT_ONCE):
-            some = fresh[at : at + AT_ONCE]
+        rest, form, model = fresh, self.word_form, self.tokenizer.model
+        if form:
+            # A word by itself needs the model alone, without the normalizer and the pre-tokenizer.
+            rest = []
+            for i in fresh:
+                if _WORD.fullmatch(pieces[i]):
+                    out[i] = array("I", [t.id for t in model.tokenize(form(pieces[i]))]).tobytes()
+                else:
+                    rest.append(i)
+        for at in range(0, len(rest), AT_ONCE):
+            some = rest[at : at + AT_ONCE]
             found = self.tokenizer.encode_batch_fast([pieces[i].decode() for i in some], add_special_tokens=False)
             for i, e in zip(some, found, strict=True):
                 out[i] = array("I", e.ids).tobytes()
