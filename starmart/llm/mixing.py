@@ -9,8 +9,9 @@ the others by weight until none is above. That is one level ``x`` with targets `
 found in closed form over the sources in the order of ``most * words / weight``.
 
 DataFrame operations only. Defined results: a null text has no words; null is a source of its own, the last one; rows
-are told apart by id and text, and equal rows are copies whose intervals follow each other; an empty table gives no
-rows; a source without words takes nothing.
+are told apart by id and text, and equal rows are copies whose intervals follow each other; a very long text counts
+whole; other columns are carried in a struct, so their names never clash; an empty table gives no rows; a source
+without words takes nothing.
 """
 
 from __future__ import annotations
@@ -107,7 +108,7 @@ def mixed_documents(docs: DataFrame, seed: str = SEED, lent: Scratch | None = No
     tie = F.md5(F.concat_ws("/", F.lit(seed), "doc_id"))
     rows = marked.select("row", "doc_id", "source", "hash", "size")
     decided = _copies(rows, ["size", tie, F.asc_nulls_last("doc_id"), "hash", "row"], seed)
-    emitted = scratch.store(decided.filter("copies > 0").select("row", "copies"), "mix_copies")
+    emitted = decided.filter("copies > 0").select("row", "copies")
     if lent is not None:
         scratch.lend(lent)
     copies = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
