@@ -48,6 +48,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--calendar-start", type=dt.date.fromisoformat, default=DEFAULT_CALENDAR.start)
     parser.add_argument("--calendar-end", type=dt.date.fromisoformat, default=DEFAULT_CALENDAR.end)
     parser.add_argument("--relaxed", action="store_true", help="keep rows that break the table contracts")
+    parser.add_argument("--quarantine", action="store_true", help="set fact rows that break the table contracts aside")
     parser.add_argument("--unknown-members", action="store_true", help="unknown members and zeros instead of NULLs")
     parser.add_argument("--contiguous", action="store_true", help="versions end where the next one begins")
     args = parser.parse_args(argv)
@@ -61,6 +62,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         calendar=Calendar(args.calendar_start, args.calendar_end),
         floor_date=args.floor_date,
         strict=not args.relaxed,
+        quarantine=args.quarantine,
         unknown_members=args.unknown_members,
         contiguous_validity=args.contiguous,
     )

@@ -35,11 +35,18 @@ class MartConfig:
     floor_date: dt.date = DEFAULT_FLOOR_DATE
     # False keeps rows that break the table contracts (no matching version, huge totals) instead of failing the run.
     strict: bool = True
+    # True sets fact rows that break the strict contracts aside, counted by column, instead of failing the run. A warehouse
+    # keeps one of the three ways.
+    quarantine: bool = False
     # True gives facts without a valid version, date or item the unknown members and zeros instead of NULLs.
     unknown_members: bool = False
     # True lets a version end where the next one of its key begins, for facts, instead of where it was closed.
     contiguous_validity: bool = False
 
+    def __post_init__(self) -> None:
+        if self.quarantine and (not self.strict or self.row_level):
+            raise ValueError("the quarantine is for strict contracts of file tables")
+
     @property
     def row_level(self) -> bool:
         return self.table_format in ROW_LEVEL_FORMATS

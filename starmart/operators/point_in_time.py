@@ -22,13 +22,15 @@ def point_in_time_join(
     broadcast_bytes: int = BROADCAST_BYTES,
     unknown: str | None = None,
     contiguous: bool = False,
+    hot: dict[object, int] | None = None,
 ) -> DataFrame:
     """Events with the surrogate key of every version valid on the event date, ``unknown`` where none is.
 
     A version is valid from ``effective_from`` until before ``effective_to``, a current one without end. Versions that
     overlap each give a row. ``dimension`` must be a stored table: its size is counted to choose the join. ``hot_in``
     may name a cheaper place than ``events`` to look for hot keys, or sketches that several joins share. ``contiguous``
-    validity ends where the key's next version begins, so versions neither overlap nor leave a gap.
+    validity ends where the key's next version begins, so versions neither overlap nor leave a gap. ``hot`` keys that are
+    known make the choice: neither size nor keys are looked for.
     """
     ends, current = F.col("effective_to"), F.col("is_current")
     if contiguous:
@@ -38,8 +40,9 @@ def point_in_time_join(
         key, sk, F.col("effective_from").alias("_from"), ends.alias("_to"), current.alias("_current")
     )
     valid = (F.col(event_date) >= F.col("_from")) & ((F.col(event_date) < F.col("_to")) | F.col("_current"))
-    size = broadcast_size(versions)
-    hot = hot_keys_unless_small(events if hot_in is None else hot_in, key, size, broadcast_bytes)
+    if hot is None:
+        size = broadcast_size(versions)
+        hot = hot_keys_unless_small(events if hot_in is None else hot_in, key, size, broadcast_bytes)
     joined = lookup_join(events, versions, key, "left", hot, spread=spread, residual=valid)
     if unknown is not None:
         joined = joined.withColumn(sk, F.coalesce(F.col(sk), F.lit(unknown)))

@@ -23,7 +23,7 @@ from starmart.plans.dimensions import SPECS, calendar_dimension
 from starmart.plans.facts import fact_order_items, fact_order_summary
 from starmart.plans.staging import stage_order_items, stage_orders
 from starmart.plans.together import together
-from starmart.sources.contracts import TABLES, conform, enforce_contract, relaxed
+from starmart.sources.contracts import TABLES, broken_columns, conform, enforce_contract, relaxed
 from starmart.sources.files import read_parquet, write_parquet
 from starmart.sources.runs import kept_watermark, write_day, write_versions
 from starmart.sources.tables import (
@@ -105,11 +105,17 @@ def refresh_dimension(cfg: MartConfig, raw: Raw, spec: DimensionSpec, as_of: dt.
 
 def _load_fact(fact: DataFrame, cfg: MartConfig, name: str, as_of: dt.date) -> None:
     """Puts a run's rows in place of those of an earlier run for the same date; catalogs of other formats append."""
-    rows = _checked(fact, cfg, name)
+    table, schema = cfg.table(name), TABLES[name]
     if cfg.row_level:
-        load_table(rows, cfg.table(name), "append", cfg.table_format)
+        load_table(_checked(fact, cfg, name), table, "append", cfg.table_format)
+    elif cfg.quarantine:
+        rows = conform(fact, relaxed(schema))
+        counts = write_day(rows, table, cfg.folder(name), as_of, schema, broken_columns(schema))
+        if counts:
+            logger.warning("%s of %s set rows aside, by column that breaks the contract: %s", name, as_of, counts)
     else:
-        write_day(rows, cfg.table(name), cfg.folder(name), as_of)
+        rows = _checked(fact, cfg, name)
+        write_day(rows, table, cfg.folder(name), as_of, schema if cfg.strict else relaxed(schema))
 
 
 def load_order_items(spark: SparkSession, cfg: MartConfig, as_of: dt.date) -> None:

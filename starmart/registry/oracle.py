@@ -243,7 +243,7 @@ FROM stg_orders o LEFT JOIN order_totals t ON o.order_id = t.order_id
 EARLY = f"coalesce(order_purchase_date < {FIRST_RUN}, false)"
 
 
-def _two_runs(fact: str, *dimensions: str) -> str:
+def _two_runs(fact: str, *dimensions: str, dated: bool = False) -> str:
     """A fact after two daily runs: each over its own orders, with the dimensions as they are after it."""
     first, second = fact, fact
     for name in dimensions:
@@ -254,7 +254,26 @@ def _two_runs(fact: str, *dimensions: str) -> str:
         )
         for sql, batch in ((first, EARLY), (second, f"NOT {EARLY}"))
     )
-    return f"SELECT * FROM ({first}) UNION ALL SELECT * FROM ({second})"
+    days = (f", {FIRST_RUN} AS run_date", f", {SECOND_RUN} AS run_date") if dated else ("", "")
+    return f"SELECT *{days[0]} FROM ({first}) UNION ALL SELECT *{days[1]} FROM ({second})"
+
+
+# Columns that must have a value, in the order of the tables.
+REQUIRED_ITEMS = (
+    "seller_sk", "product_sk", "order_id", "order_item_id", "item_value", "freight_value",
+    "order_date_key", "shipping_limit_date_key",
+)
+REQUIRED_SUMMARY = (
+    "customer_sk", "order_id", "order_status", "total_order_value", "total_freight_value", "item_count",
+    "order_date_key", "delivered_to_carrier_date_key", "delivered_to_customer_date_key", "estimated_delivery_date_key",
+    "order_approved_date_key", "min_shipping_limit_date_key", "max_shipping_limit_date_key",
+)
+
+
+def _broken(sql: str, required: tuple[str, ...]) -> str:
+    """The rows without a value where one must be, with the names of those columns."""
+    names = ", ".join(f"CASE WHEN {c} IS NULL THEN '{c}' END" for c in required)
+    return f"SELECT * FROM (SELECT *, concat_ws(',', {names}) AS broken FROM ({sql})) WHERE broken <> ''"
 
 
 def _wide(sql: str, *amounts: str) -> str:
@@ -431,6 +450,12 @@ FROM stg_orders o {_as_of('o', 'customer')}""",
         "daily_fact_order_summary": daily_summary,
         "rerun_fact_order_items": daily_items,
         "rerun_fact_order_summary": daily_summary,
+        "quarantined_order_items": _broken(
+            _wide(_two_runs(FACT_ITEMS, "seller", "product", dated=True), "item_value", "freight_value"), REQUIRED_ITEMS
+        ),
+        "quarantined_order_summary": _broken(_two_runs(FACT_SUMMARY, "customer", dated=True), REQUIRED_SUMMARY),
+        "accepted_order_items": f"SELECT * FROM ({_two_runs(FACT_ITEMS, 'seller', 'product')}) WHERE "
+        + " AND ".join(f"{c} IS NOT NULL" for c in REQUIRED_ITEMS),
         "complete_fact_order_items": _complete(
             _two_runs(FACT_ITEMS, "seller", "product"),
             ("order_date_key", "shipping_limit_date_key"),
@@ -475,6 +500,7 @@ FROM stg_orders o {_as_of('o', 'customer')}""",
         sql[f"dim_{name}_after_2_batches"] = sql[f"merge_dim_{name}"]
         amounts = [c for c in columns.values() if c == "price"]
         sql[f"daily_dim_{name}"] = _wide(sql[f"merge_dim_{name}"], *amounts)
+        sql[f"pit_join_{name}_bucketed"] = sql[f"pit_join_{name}"]
         sql[f"complete_dim_{name}"] = _complete_dimension(name)
         sql[f"topk_dim_{name}"] = _first(sql[f"daily_dim_{name}"], f"{key}, effective_from", 5)
     return sql

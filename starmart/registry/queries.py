@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from starmart.config import Calendar, MartConfig
 from starmart.functions.dates import calendar_columns, calendar_days, date_key
 from starmart.functions.keys import any_differs, effective_update_date, surrogate_key, updated_after
-from starmart.operators.lookup import broadcast_size, hot_keys_unless_small, lookup_join
+from starmart.operators.lookup import KeySketches, broadcast_size, hot_keys_unless_small, lookup_join
 from starmart.operators.point_in_time import point_in_time_join
 from starmart.operators.scd2 import (
     DimensionSpec,
@@ -40,6 +40,7 @@ from starmart.plans.facts import fact_order_items, fact_order_summary, order_ite
 from starmart.plans.staging import ORDER_COLUMNS, ORDER_RENAMES, stage_order_items, stage_orders
 from starmart.plans.together import together
 from starmart.sources import retail
+from starmart.sources.bucketed import bucketed_point_in_time_join, write_bucketed
 from starmart.sources.contracts import DIM_PRODUCT, enforce_contract
 from starmart.sources.files import new_location, read_parquet, shared_dir, store, write_parquet
 from starmart.sources.runs import kept_watermark, write_versions
@@ -351,6 +352,22 @@ def _pit_join_items(spec: DimensionSpec, spark: SparkSession, sf_dir: str) -> Da
     )
 
 
+def _pit_join_bucketed(spec: DimensionSpec, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from tables that are stored by the key of the dimension: no event of a usual key is shuffled."""
+    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    if spec is CUSTOMER:
+        raw = retail.raw_orders(spark, sf_dir)
+        events = stage_orders(raw).select("order_id", spec.key, "order_date")
+        hot_in, ids = KeySketches(raw, [spec.key], buckets), ["order_id"]
+    else:
+        events = stg_order_items(spark, sf_dir).select("order_id", "order_item_id", spec.key, "order_date")
+        hot_in, ids = retail.order_item_sketches(spark, sf_dir), ["order_id", "order_item_id"]
+    events, dimension = together(partial(store, events, "events"), partial(_loaded, spec, spark, sf_dir))
+    dealt = write_bucketed(events, *_scratch_table(spark, "events"), spec.key, buckets, hot_in)
+    versions = write_bucketed(dimension, *_scratch_table(spark, spec.table), spec.key, buckets)
+    return bucketed_point_in_time_join(spark, dealt, versions, "order_date", spec.sk, spread=ids)
+
+
 # Facts
 
 
@@ -401,8 +418,14 @@ def watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Reports
 
 
-def _new_mart(spark: SparkSession, sf_dir: str, complete: bool = False) -> MartConfig:
-    """An empty mart; a ``complete`` one has strict contracts and unknown members for what is missing."""
+def _new_mart(
+    spark: SparkSession, sf_dir: str, complete: bool = False, quarantine: bool = False
+) -> MartConfig:
+    """An empty mart with relaxed contracts.
+
+    A ``complete`` one has strict contracts and unknown members for what is missing; with a ``quarantine``, facts that break
+    the strict contracts are set aside.
+    """
     base = new_location(spark, "mart")
     return MartConfig(
         inputs=sf_dir,
@@ -411,8 +434,9 @@ def _new_mart(spark: SparkSession, sf_dir: str, complete: bool = False) -> MartC
         namespace=f"starmart_{uuid.uuid4().hex}",
         calendar=_calendar(spark, sf_dir),
         floor_date=FLOOR,
-        strict=complete,
+        strict=complete or quarantine,
         unknown_members=complete,
+        quarantine=quarantine,
     )
 
 
@@ -430,30 +454,36 @@ def _two_runs(cfg: MartConfig, spark: SparkSession, sf_dir: str, repeats: int =
             run_daily(spark, cfg, as_of, raw)
 
 
-def _daily_table(
-    table: str, spark: SparkSession, sf_dir: str, *, complete: bool = False, repeats: int = 1
-) -> DataFrame:
+# Marts after two daily runs, by application, source folder and options: a session's queries over one read the same.
+_marts: dict[tuple[object, ...], MartConfig] = {}
+
+
+def _stored_mart(spark: SparkSession, sf_dir: str, *, repeats: int = 1, **options: bool) -> MartConfig:
+    """The mart after two daily runs, each made ``repeats`` times; the first query that asks for it makes it."""
+    key = spark.sparkContext.applicationId, sf_dir, repeats, *sorted(options.items())
+    if key not in _marts:
+        cfg = _new_mart(spark, sf_dir, **options)
+        _two_runs(cfg, spark, sf_dir, repeats)
+        _marts[key] = cfg
+    return _marts[key]
+
+
+def _daily_table(table: str, spark: SparkSession, sf_dir: str, **options: int) -> DataFrame:
     """A table of the mart after two daily runs."""
-    cfg = _new_mart(spark, sf_dir, complete)
-    _two_runs(cfg, spark, sf_dir, repeats)
-    return read_table(spark, cfg.table(table))
+    return read_table(spark, _stored_mart(spark, sf_dir, **options).table(table))
 
 
-# Marts that reports read, by application and source folder.
-_reported: dict[tuple[str, str], MartConfig] = {}
+def _quarantined(table: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows set aside in two daily runs, with the columns they break the contract in."""
+    cfg = _stored_mart(spark, sf_dir, quarantine=True)
+    rows = read_table(spark, f"{cfg.table(table)}_quarantine")
+    return rows.withColumn("broken", F.array_join("broken", ","))
 
 
 def _report(table: str, order_by: list[str], n: int, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First rows of a stored table by SQL; the ids alone are not unique, so the order goes on.
-
-    The reports of a session share one mart, made by the first of them.
-    """
-    key = spark.sparkContext.applicationId, sf_dir
-    if key not in _reported:
-        cfg = _new_mart(spark, sf_dir)
-        _two_runs(cfg, spark, sf_dir)
-        _reported[key] = cfg
-    return spark.sql(f"SELECT * FROM {_reported[key].table(table)} ORDER BY {', '.join(order_by)} LIMIT {n}")
+    """First rows of a stored table by SQL; the ids alone are not unique, so the order goes on."""
+    cfg = _stored_mart(spark, sf_dir)
+    return spark.sql(f"SELECT * FROM {cfg.table(table)} ORDER BY {', '.join(order_by)} LIMIT {n}")
 
 
 def daily_run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -520,6 +550,9 @@ def all_queries() -> dict[str, Query]:
         "rerun_fact_order_summary": partial(_daily_table, "fact_order_summary", repeats=2),
         "complete_fact_order_items": partial(_daily_table, "fact_order_items", complete=True),
         "complete_fact_order_summary": partial(_daily_table, "fact_order_summary", complete=True),
+        "quarantined_order_items": partial(_quarantined, "fact_order_items"),
+        "quarantined_order_summary": partial(_quarantined, "fact_order_summary"),
+        "accepted_order_items": partial(_daily_table, "fact_order_items", quarantine=True),
         "lookup_order": partial(_orders_by_id, ["7"]),
         "lookup_orders": partial(_orders_by_id, ["7", "1", "32", "007", "no key"]),
     }
@@ -532,6 +565,7 @@ def all_queries() -> dict[str, Query]:
             f"scd2_delta_{name}": partial(_delta, spec),
             f"merge_dim_{name}": partial(_merged, spec),
             f"dim_{name}_after_2_batches": partial(_loaded, spec),
+            f"pit_join_{name}_bucketed": partial(_pit_join_bucketed, spec),
             f"daily_dim_{name}": partial(_daily_table, spec.table),
             f"complete_dim_{name}": partial(_daily_table, spec.table, complete=True),
             f"topk_dim_{name}": partial(_report, spec.table, [spec.key, "effective_from"], 5),

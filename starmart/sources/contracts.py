@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType,
@@ -119,3 +119,14 @@ def enforce_contract(df: DataFrame, schema: StructType) -> DataFrame:
             for f in schema.fields
         ]
     )
+
+
+def broken_columns(schema: StructType) -> Column:
+    """Names of the columns in which a row breaks the contract: no value where one must be, or one that doesn't fit."""
+
+    def broken(field: StructField) -> Column:
+        value = F.col(field.name)
+        lost = value.isNotNull() & value.try_cast(field.dataType).isNull()
+        return lost if field.nullable else value.isNull() | lost
+
+    return F.array_compact(F.array(*[F.when(broken(f), F.lit(f.name)) for f in schema.fields]))

@@ -14,6 +14,7 @@ which the next run needs and which would take a scan of all closed versions. Lef
 next one, which takes its number.
 
 A fact keeps one folder for each processing date, ``base/run_date=2025-01-31``; the same date run again replaces it whole.
+Below it are the rows that keep the contract (``accepted=true``) and those set aside.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from __future__ import annotations
 import datetime as dt
 import re
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -65,6 +66,13 @@ def _files(base: str) -> str:
     return f"parquet.`{base.rstrip('/').replace('`', '``')}`"
 
 
+def _columns_at_least(df: DataFrame, path: str) -> None:
+    """A file without rows where a write has left none, so that the columns are known there."""
+    files, place = folder(df.sparkSession, path)
+    if not files.exists(place):
+        df.limit(0).write.parquet(path)
+
+
 # Dimensions
 
 
@@ -104,13 +112,11 @@ def write_versions(df: DataFrame, table: str, base: str, kept: int = KEPT_COPIES
     run = last_run(spark, base) + 1
     for version in (OPEN, CLOSED):
         _delete(spark, f"{base}/version={version}/run={run:06d}")
-    rows = df.drop("is_current")
-    # A file without rows, so that the columns are known whatever the run holds.
-    rows.limit(0).write.parquet(f"{base}/version={OPEN}/run={run:06d}")
     latest = Observation()
     versions = df.observe(latest, F.max("effective_to").alias("latest"))
     versions = versions.withColumn("version", F.when(F.col("is_current"), OPEN).otherwise(CLOSED)).drop("is_current")
     versions.withColumn("run", F.lit(f"{run:06d}")).write.mode("append").partitionBy("version", "run").parquet(base)
+    _columns_at_least(df.drop("is_current"), f"{base}/version={OPEN}/run={run:06d}")
     ends = [d for d in (kept_watermark(spark, base), latest.get.get("latest")) if d]
     files, marker = folder(spark, f"{base}/{FINISHED}/{run:06d}")
     out = files.create(marker)
@@ -126,17 +132,41 @@ def write_versions(df: DataFrame, table: str, base: str, kept: int = KEPT_COPIES
 # Facts
 
 
-def attach_days(spark: SparkSession, table: str, base: str, schema: StructType) -> bool:
-    """Shows the fact at ``base`` as ``table``; False if no day has finished."""
+def attach_days(spark: SparkSession, table: str, base: str, schema: StructType, quarantine: bool = False) -> bool:
+    """Shows the fact at ``base`` as ``table``; False if no day has finished.
+
+    With a ``quarantine``, the rows that broke the contract are ``<table>_quarantine``, with the columns they break it in
+    and their processing date.
+    """
     days = [n for n in _names(spark, base) if n.startswith("run_date=")]
     done = any("_SUCCESS" in _names(spark, f"{base}/{day}") for day in days)
     if done:
-        _show(spark, table, f"SELECT {', '.join(map(quoted, schema.names))} FROM {_files(base)}")
+        columns = [f"CAST({quoted(f.name)} AS {f.dataType.simpleString()}) AS {quoted(f.name)}" for f in schema.fields]
+        _show(spark, table, f"SELECT {', '.join(columns)} FROM {_files(base)} WHERE accepted = 'true'")
+        if quarantine:
+            columns = [*map(quoted, schema.names), "broken", "run_date"]
+            refused = f"SELECT {', '.join(columns)} FROM {_files(base)} WHERE accepted = 'false'"
+            _show(spark, f"{table}_quarantine", refused)
     return done
 
 
-def write_day(df: DataFrame, table: str, base: str, day: dt.date) -> None:
-    """Puts the rows of a processing date in place of those that the date has, if any."""
-    base = base.rstrip("/")
-    df.write.mode("overwrite").parquet(f"{base}/run_date={day.isoformat()}")
-    attach_days(df.sparkSession, table, base, df.schema)
+def write_day(
+    df: DataFrame, table: str, base: str, day: dt.date, schema: StructType, broken: Column | None = None
+) -> dict[str, int]:
+    """Puts the rows of a processing date in place of those that the date has, if any.
+
+    ``broken`` is an array of the columns in which a row breaks the contract. Such rows are kept apart in the same write,
+    which also counts them: the result has the number of rows for each column that any row breaks it in.
+    """
+    spark, place = df.sparkSession, f"{base.rstrip('/')}/run_date={day.isoformat()}"
+    _delete(spark, place)
+    nothing = F.array().cast("array<string>")
+    rows = df.withColumn("broken", nothing if broken is None else broken)
+    counts = Observation()
+    counted = rows.observe(
+        counts, *[F.count_if(F.array_contains("broken", c)).alias(c) for c in schema.names]
+    )
+    counted.withColumn("accepted", F.size("broken") == 0).write.mode("append").partitionBy("accepted").parquet(place)
+    _columns_at_least(rows, f"{place}/accepted=true")
+    attach_days(spark, table, base, schema, broken is not None)
+    return {c: n for c, n in counts.get.items() if n}

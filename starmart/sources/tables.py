@@ -64,16 +64,17 @@ def ensure_tables(spark: SparkSession, cfg: MartConfig, names: Iterable[str] = t
         table, schema = cfg.table(name), TABLES[name] if cfg.strict else relaxed(TABLES[name])
         if cfg.row_level:
             create_table(spark, table, schema, cfg.table_format)
-        elif not _attach_live(spark, table, cfg.folder(name), name, schema):
+        elif not _attach_live(spark, cfg, name, schema):
             create_table(spark, table, schema, cfg.table_format, f"{cfg.folder(name)}/initial")
 
 
-def _attach_live(spark: SparkSession, table: str, base: str, name: str, schema: StructType) -> bool:
+def _attach_live(spark: SparkSession, cfg: MartConfig, name: str, schema: StructType) -> bool:
     """Whether the folder of a file table has finished rows, which the catalog then shows."""
+    table, base = cfg.table(name), cfg.folder(name)
     if name in HISTORIES:
         return attach_versions(spark, table, base, schema)
     if name in FACTS:
-        return attach_days(spark, table, base, schema)
+        return attach_days(spark, table, base, schema, cfg.quarantine)
     live = live_snapshot(spark, base)
     if live:
         create_table(spark, table, schema, location=live)

@@ -7,12 +7,14 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from starmart.operators.merge import merge_upsert
+from starmart.operators.point_in_time import point_in_time_join
 from starmart.operators.scd2 import UNKNOWN_SK
 from starmart.plans import daily
 from starmart.plans.daily import run_daily
 from starmart.sources.contracts import DIM_CUSTOMER
 from starmart.sources.files import write_parquet
-from starmart.sources.runs import attach_versions, last_run, quoted, write_versions
+from starmart.sources.runs import attach_versions, kept_watermark, last_run, quoted, write_versions
 from starmart.sources.tables import ensure_tables, read_table
 from tests.helpers import RAW_ITEM, RAW_ORDER, D, dim_customers, plan_of, rows_of
 from tests.test_mart import config, write_sources
@@ -169,6 +171,83 @@ def test_unknown_members_keep_a_strict_run_whole(spark, tmp_path):
             assert rows_of(reserved, "is_current", "effective_from") == [(True, cfg.floor_date)]
 
 
+def test_broken_rows_are_counted_and_set_aside_in_one_write(spark, tmp_path, caplog):
+    cfg = config(tmp_path, "quarantine", quarantine=True)
+    write_sources(spark, cfg, "first", D(2020, 2, 1), ["1", "2"])
+    stray = [("9", "nobody", D(2020, 2, 1), None, None, None, None, "O")]
+    write_parquet(spark.createDataFrame(stray, RAW_ORDER), cfg.inputs, "orders", "append")
+    huge = [("1", str(n), "p1", "s1", Decimal("99999999.99"), Decimal("1.00"), None) for n in range(5, 7)]
+    write_parquet(spark.createDataFrame(huge, RAW_ITEM), cfg.inputs, "order_items", "append")
+    for _ in range(2):
+        caplog.clear()
+        run_daily(spark, cfg, D(2020, 2, 2))
+        summary = read_table(spark, cfg.table("fact_order_summary"))
+        assert rows_of(summary, "order_id", "total_order_value") == [("2", Decimal("10.00"))]
+        assert dict(summary.dtypes)["total_order_value"] == "decimal(10,2)" and dict(summary.dtypes)["item_count"] == "int"
+        refused = read_table(spark, cfg.table("fact_order_summary") + "_quarantine")
+        assert rows_of(refused, "order_id", "total_order_value", "broken", "run_date") == [
+            ("1", Decimal("200000009.98"), ["total_order_value"], D(2020, 2, 2)),
+            ("9", None, ["customer_sk", "total_order_value", "total_freight_value", "item_count"], D(2020, 2, 2)),
+        ]
+        counts = {"customer_sk": 1, "total_order_value": 2, "total_freight_value": 1, "item_count": 1}
+        assert str(counts) in caplog.text
+        assert read_table(spark, cfg.table("fact_order_items")).count() == 6
+    spark.sql(f"DROP VIEW {cfg.table('fact_order_summary')}_quarantine")
+    ensure_tables(spark, cfg)
+    assert read_table(spark, cfg.table("fact_order_summary") + "_quarantine").count() == 2
+
+
+@pytest.mark.parametrize("options", [{"strict": False}, {"table_format": "iceberg"}])
+def test_quarantine_is_for_strict_file_tables(tmp_path, options):
+    with pytest.raises(ValueError, match="quarantine"):
+        config(tmp_path, "no_quarantine", quarantine=True, **options)
+
+
+def test_watermark_is_kept_with_the_runs(spark, tmp_path):
+    cfg = config(tmp_path, "kept")
+    base = cfg.folder("dim_customer")
+    assert kept_watermark(spark, base) is None
+    for n, (day, latest) in enumerate(zip(DAYS, [None, D(2020, 3, 1), D(2020, 4, 1)], strict=True), 1):
+        write_sources(spark, cfg, f"address {n}", day, [str(n)])
+        run_daily(spark, cfg, day + dt.timedelta(days=1))
+        assert kept_watermark(spark, base) == latest
+        assert read_table(spark, cfg.table("dim_customer")).agg(F.max("effective_to")).first()[0] == latest
+    run_daily(spark, cfg, D(2020, 5, 1))
+    assert kept_watermark(spark, base) == D(2020, 4, 1)
+
+
+def test_contiguous_versions_give_one_row_for_each_order(spark):
+    """A version closed late overlaps the next one; its validity ends where that begins."""
+    versions = dim_customers(
+        spark,
+        [
+            ("a1", "a", "x", D(2020, 1, 1), D(2020, 3, 9), False),
+            ("a2", "a", "y", D(2020, 2, 1), D(2020, 2, 20), False),
+            ("a3", "a", "z", D(2020, 4, 1), None, True),
+        ],
+    )
+    days = [D(2019, 12, 31), D(2020, 1, 31), D(2020, 2, 1), D(2020, 3, 15), D(2020, 4, 1)]
+    events = spark.createDataFrame([("a", d) for d in days], "customer_id string, day date")
+    found = {}
+    for contiguous in (False, True):
+        joined = point_in_time_join(
+            events, versions, "customer_id", "day", "customer_sk", spread=["day"], contiguous=contiguous
+        )
+        found[contiguous] = rows_of(joined, "day", "customer_sk")
+    assert found[True] == list(zip(days, [None, "a1", "a2", "a2", "a3"], strict=True))
+    assert len(found[False]) == 6 and (D(2020, 3, 15), None) in found[False]
+
+
+def test_an_ambiguous_merge_fails_whatever_is_read(spark):
+    target = spark.createDataFrame([("a", "1", None, True)], "sk string, v string, effective_to date, is_current boolean")
+    twice = spark.createDataFrame([("a", "2", None, False)] * 2, target.schema)
+    with pytest.raises(ValueError, match="several source rows match sk a"):
+        merge_upsert(target, twice, "sk", F.col("is_current"), ["effective_to", "is_current"])
+    closed = target.filter("v = '0'")
+    with pytest.raises(ValueError, match="several source rows match sk a"):
+        merge_upsert(closed, twice, "sk", F.col("is_current"), ["effective_to", "is_current"], frozen=target)
+
+
 def test_names_and_places_are_quoted(spark, tmp_path):
     assert quoted("a.b`c") == "`a`.`b``c`"
     cfg = config(tmp_path / "it's a place", "quoted")
