@@ -8,7 +8,8 @@ documents, in blocks of at most ``BLOCK_BYTES`` of text, one pass of the same st
 
 Defined results: a null or empty text has no words and is clean; a null or empty item has no windows; a null item_id
 hits words but is not listed; items that share an id count once; every row is judged by itself, so repeated rows and
-repeated ids stay; empty tables give no rows (documents) or clean documents (benchmark).
+repeated ids stay; a very long text is a slice of its own and searched whole; other columns are carried in a struct, so
+their names never clash; empty tables give no rows (documents) or clean documents (benchmark).
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ document's own occurrences never count for it, so copies within it don't help. T
 
 Words are `[^\\x20\\x09-\\x0D]+` with A-Z lower-cased. Defined results: a document without words has no score (null); its
 first word backs off; a word that no other document has counts ``ALPHA`` times; rows that share an id are one document,
-null ids too; an empty table gives no rows. Hashes are cut to six bytes, a document's sums in a bucket to four.
+null ids too; a very long text is a slice of its own; only doc_id and text are read, so other columns never clash; an
+empty table gives no rows. Hashes are cut to six bytes, a document's sums in a bucket to four.
 
 Between tasks, a slice's bigrams go once with the documents they are in, ids as steps between ascending ones.
 """

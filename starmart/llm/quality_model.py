@@ -5,8 +5,8 @@ prior is the share of good labels among labelled training rows. A small network
 risk: the positives' loss weighted by the prior, plus the unlabelled rows' loss as negatives less the positives' share
 of it; when that difference goes below zero, the step is taken back instead of followed.
 
-The fit reads at most ``SAMPLE`` rows of either kind, those with the lowest hashes of their ids; features and scores
-cover every document. Features are shares and counts of a whole text by itself, so they need no corpus statistics.
+The fit reads at most ``SAMPLE`` labelled and ``UNLABELLED`` unlabelled rows, those with the lowest hashes of their ids;
+features and scores cover every document. Features are shares and counts of a whole text by itself, so they need no corpus statistics.
 
 Defined results: a null text is empty, and an empty text has a score; documents without an id are never training rows
 and never held out; documents labelled twice are not trusted unless all labels are good; without positives or without
@@ -28,6 +28,7 @@ from starmart.llm.common import SPACED, carried, flat, lists, packed, slices, wo
 from starmart.sources.files import store
 
 SAMPLE = 20_000
+UNLABELLED = 20_000
 SEED = 9
 # Byte classes whose share of the text is a feature: capitals, digits, and single marks.
 CLASSES = [
@@ -150,7 +151,7 @@ def _collected(rows: DataFrame, sample: int) -> np.ndarray:
     return np.array([r[0] for r in picked.select("features").collect()], np.float32).reshape(-1, N_FEATURES)
 
 
-def train(rows: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+def train(rows: DataFrame, labels: DataFrame, sample: int = SAMPLE, unlabelled: int = UNLABELLED) -> Model:
     """Fits on measured rows that are not held out."""
     own = rows.select(F.col("doc.doc_id").alias("doc_id"), "features")
     own = own.filter(F.col("doc_id").isNotNull() & ~is_held_out(F.col("doc_id")))
@@ -158,7 +159,7 @@ def train(rows: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     n, good = label.agg(F.count("quality"), F.sum("quality")).first()
     prior = min(max((good or 0) / n, 0.01), 0.99) if n else 0.5
     trusted = label.filter("quality = 1").select("doc_id")
-    return fit(_collected(own.join(trusted, "doc_id"), sample), _collected(own, sample), prior)
+    return fit(_collected(own.join(trusted, "doc_id"), sample), _collected(own, unlabelled), prior)
 
 
 def _scores(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -172,14 +173,18 @@ def _scores(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
 
 
 def score_quality(
-    docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, carry: Sequence[str] | None = None
+    docs: DataFrame,
+    labels: DataFrame,
+    sample: int = SAMPLE,
+    carry: Sequence[str] | None = None,
+    unlabelled: int = UNLABELLED,
 ) -> DataFrame:
     """``doc`` (the columns of the row, or those to ``carry``) and its ``score``."""
     out = packed(docs)
     schema = StructType([out.schema["doc"], StructField("features", ArrayType(FloatType()))])
     rows = carried(out.mapInArrow(_measure, schema), carry)
     rows = store(rows, "quality_features")
-    model = train(rows, labels, sample)
+    model = train(rows, labels, sample, unlabelled)
     schema = StructType([rows.schema["doc"], *StructType.fromDDL("score double").fields])
     return rows.mapInArrow(_scores(model), schema)
 

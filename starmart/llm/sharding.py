@@ -6,7 +6,8 @@ into itself, and within the shard a seeded hash of the whole row picks one of so
 of its own and writes it. A slot counts the rows of the shard's earlier buckets and those before it in its bucket.
 
 Defined results: a null text has no bytes; null ids hash like any value, so they share a shard but not a bucket; rows
-that share an id share its shard, equal rows get a slot each; an empty table gives no rows.
+that share an id share its shard, equal rows get a slot each; a very long text makes its bucket longer; other columns are
+carried in a struct, so their names never clash; an empty table gives no rows.
 """
 
 from __future__ import annotations

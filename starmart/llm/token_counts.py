@@ -1,13 +1,14 @@
 """Token counts that follow edits.
 
-A document's text is cut into leaves of whole pieces (between pre-tokens, see ``token_files``); a segment tree has the
-tokens of every subtree. Trees are kept as a table. For a document with edits, only the leaves that an edit touches, with
+A document's text is cut into leaves, runs of pre-tokens of about ``LEAF_CHARS`` characters (see ``token_files``); a
+segment tree has the tokens of every subtree. Trees are kept as a table. For a document with edits, only the leaves that an edit touches, with
 the one its last character before and first character behind are in and those before that end in white space, are
 encoded again, and the sums above them updated.
 
 Defined results: a null text has no tokens; edits (``start``, ``stop``, ``replacement``, in characters of the old text) are
 cut to the text, and of overlapping ones those that begin later are skipped; null replacements delete; edits of unknown
-ids do nothing; rows that share an id and a text share trees and edits.
+ids do nothing; rows that share an id and a text share trees and edits; a very long text has a tree of its own in one row;
+only doc_id and text are read, so other columns never clash; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -1,7 +1,11 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing column names."""
 
+import struct
+import zlib
+
 import numpy as np
 import pytest
+import xxhash
 
 from starmart.llm import (
     decontaminate,
@@ -121,6 +125,53 @@ def test_tokens(spark, docs):
     assert got == {(i, edited(t or "")) for i, t in pairs(docs)}
 
 
+def spark_hash(values, seed=42):
+    """xxhash64 over a long and an int as Spark chains it, signed."""
+    for raw in values:
+        seed = xxhash.xxh64(raw, seed=seed & (1 << 64) - 1).intdigest() if raw is not None else seed
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+def test_shards_row_by_row(docs):
+    """Each row's shard has the highest of the shards' hashes; slots have no gaps; equal rows have a slot each."""
+    rows = sharding.digest(sharding.read_shards(docs, sharding.write_shards(docs, bucket_bytes=2_000))).collect()
+
+    def shard(doc_id, shards):
+        own = None if doc_id is None else struct.pack("<q", doc_id)
+        draws = [(spark_hash([own, struct.pack("<i", sharding.SEED + s)]), s) for s in range(shards)]
+        return max(draws)[1]
+
+    want = [
+        (i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode()), "key", shard(i, 8), shard(i, 9))
+        for i, t in pairs(docs)
+    ]
+    got = [(r.doc_id, r["size"], r.text_crc32, r.law, r.shard, r.grown_shard) for r in rows]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    for one in {r.shard for r in rows}:
+        slots = sorted(r.slot for r in rows if r.shard == one)
+        assert slots == list(range(len(slots)))
+
+
+def test_rule_counts_row_by_row(spark, docs):
+    labels = spark.createDataFrame([], LABELS)
+    judged = quality_rules.digest(quality_rules.apply_rules(docs, labels))
+    columns = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    want = []
+    for i, t in pairs(docs):
+        r = brute.rule_counts(t)
+        failed = r[0] < 50 or 100 * r[4] > 50 * r[0]
+        want.append((i, *r, failed, not failed))
+    assert plain(judged, *columns) == sorted(want, key=repr)
+
+
+def test_lm_scores_row_by_row(docs):
+    """Distinct ids; nulls and empty texts have no score."""
+    one = docs.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    got = sorted(tuple(r) for r in lm_scoring.score_documents(one).collect())
+    for mine, theirs in zip(got, sorted(brute.lm_scores(pairs(one))), strict=True):
+        assert mine[:3] == theirs[:3] and mine[3] == pytest.approx(theirs[3])
+
+
 @pytest.mark.parametrize("width", [1, 5, 8, 16, 17, 31])
 def test_packing(width):
     ids = np.random.default_rng(width).integers(0, 1 << width, 70_001, dtype=np.uint32)

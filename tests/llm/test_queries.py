@@ -5,7 +5,7 @@ import zlib
 import pytest
 
 import corpus_pipeline
-from starmart.llm import near_dup
+from starmart.llm import near_dup, quality_model
 from starmart.llm.queries import all_queries, vocabulary_path
 from starmart.llm.token_counts import REDACTED
 from tests.llm import brute
@@ -90,6 +90,19 @@ def test_quality_score_held_out(spark):
     assert len(held) > 50 and sum(p == q for p, q in held) / len(held) > 0.9
 
 
+def test_quality_score_with_fewer_unlabelled_rows(spark):
+    """The fit is stable: held-out verdicts hardly change with the number of unlabelled rows."""
+    sf_dir = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    found = {}
+    for n in (250, 500, quality_model.UNLABELLED):
+        scored = quality_model.digest(quality_model.score_quality(docs, labels, carry=["doc_id"], unlabelled=n))
+        found[n] = {r.doc_id: r.predicted for r in scored.collect() if r.held_out}
+    whole = found.pop(quality_model.UNLABELLED)
+    for some in found.values():
+        assert sum(some[i] == p for i, p in whole.items()) > 0.95 * len(whole)
+
+
 def test_quality_rules(spark, texts):
     columns = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
     want = [(d, *(r := brute.rule_counts(t)), r[0] < 50 or 100 * r[4] > 50 * r[0]) for d, t in texts]

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import random
 import re
 from collections import Counter, defaultdict
@@ -12,7 +13,9 @@ import pytest
 import corpus_pipeline
 from starmart.llm import mixing, near_dup, quality_rules
 from starmart.llm.queries import vocabulary_path
+from starmart.sources.files import shared_dir
 from tests.llm import brute
+from tests.llm.test_edges import ROWS
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 ITEMS = ["one two three four five six seven eight nine ten eleven", "q r s"]
@@ -139,3 +142,39 @@ def test_run(spark, case):
     mix = [d[:2] for d in clean for _ in range(n[d[0]])]
     got = sorted(map(tuple, corpus_pipeline.run(spark, path).collect()))
     assert got == sorted(brute.tokens(mix, vocabulary_path()))
+
+
+@pytest.mark.parametrize("rows", [[], ROWS], ids=["none", "rows"])
+def test_run_on_odd_tables(spark, tmp_path, rows):
+    """Nulls, empty, long and repeated texts, no labels, an empty benchmark, and columns named like the stages' own."""
+    names = "doc string, row int, copies int, size bigint, hash string, kept boolean, rid bigint, node int, component int"
+    docs = [(i, t, None if k % 2 else "en", ["a", None][k % 2], 0) for k, (i, t) in enumerate(rows)]
+    docs += [(50 + k, " ".join(f"v{k}w{n}" for n in range(60 + k)), "de", "b", 1) for k in range(4) if rows]
+    full = [(*d, "d", 1, 2, 3, "h", True, 4, 5, 6) for d in docs]
+    spark.createDataFrame(full, f"{DOCS}, {names}").write.parquet(f"{tmp_path}/documents.parquet")
+    for name, schema in (("labels", "doc_id bigint, quality int, toxic int"), ("benchmark", "item_id bigint, text string")):
+        spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    kept = [d for d in docs if not ratios(d[1])[0]]
+    one = {r[0] for r in brute.components([d[:2] for d in kept], near_dup.Index().shingle) if r[3]}
+    n = copies([d for d in kept if d[0] in one])
+    got = sorted(map(tuple, corpus_pipeline.run(spark, str(tmp_path)).collect()))
+    want = brute.tokens([d[:2] for d in kept if d[0] in one for _ in range(n[d[0]])], vocabulary_path())
+    assert got == sorted(want) and bool(got) == bool(rows)
+
+
+def test_a_stage_deletes_what_the_last_one_left(spark, case, tmp_path):
+    path, docs, _, _ = case
+    before = set(leftovers(spark))
+    stored = spark.createDataFrame(docs, DOCS)
+    for name, stage in corpus_pipeline.STAGES[1:4]:
+        out = stage(spark, stored, path)
+        out.write.parquet(f"{tmp_path}/{name}")
+        stored = spark.read.parquet(f"{tmp_path}/{name}")
+        assert not [p for p in set(leftovers(spark)) - before if name != "near_duplicates" and "near_" in p]
+    corpus_pipeline.STAGES[4][1](spark, stored, path).collect()
+    assert not [p for p in set(leftovers(spark)) - before if "mix_documents" in p]
+
+
+def leftovers(spark):
+    folder = shared_dir(spark).removeprefix("file:")
+    return os.listdir(folder) if os.path.isdir(folder) else []
