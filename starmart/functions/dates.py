@@ -37,7 +37,9 @@ def calendar_days(calendar: Calendar | DataFrame) -> tuple[Column, Column]:
     query that uses them."""
     if isinstance(calendar, Calendar):
         return F.lit(calendar.start), F.lit(calendar.end)
-    return calendar.select("start_date").scalar(), calendar.select("end_date").scalar()
+    # One subquery, so that Spark runs it once however often the days are used.
+    days = calendar.select(F.struct("start_date", "end_date").alias("days")).scalar()
+    return days.getField("start_date"), days.getField("end_date")
 
 
 def date_key(date: Column, start: Column, end: Column) -> Column:
