@@ -26,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
@@ -205,33 +205,56 @@ def _tokens(index: Index) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
     return run
 
 
+# Words of 64 parity bits that a set is known by to sets it may be similar to.
+PARITY_WORDS = 4
+
+
+def _parity(word: int) -> Column:
+    """Of each of the word's bits, whether an odd number of the set's shingles falls on it."""
+    token = F.col("token")
+    mine = F.shiftrightunsigned(token, 6).bitwiseAND(F.lit(PARITY_WORDS - 1)) == word
+    bit = F.expr("shiftleft(1L, cast(token & 63 AS int))")
+    return F.bit_xor(F.when(mine, bit).otherwise(F.lit(0).cast("bigint")))
+
+
 def _across(open_: DataFrame, texts: DataFrame, index: Index, scratch: Scratch) -> DataFrame:
     """The pairs of unconnected open classes that share one of their rarest shingles.
 
     Two sets of at least the wanted similarity share a shingle among the first ``n - ceil(similarity * n) + 1`` of each,
     in any common order; in that of rarity, a class with too many shingles of its own meets nothing. Under a shingle,
-    only classes outside its most frequent component look for partners.
+    only classes outside its most frequent component look for partners. Places in the order and parity bits of whole sets
+    rule out most pairs just below the similarity before they are made; none above it.
     """
     nodes = open_.select("node", "component").distinct()
     tokens = packed(texts.join(nodes.select("node"), "node", "left_semi"))
     tokens = scratch.store(tokens.mapInArrow(_tokens(index), "node bigint, token bigint"), "near_tokens")
     seen = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     rarest = tokens.join(seen, "token").groupBy("node").agg(
-        F.sort_array(F.collect_list(F.struct("df", "token"))).alias("tokens"), F.count(F.lit(1)).alias("n")
+        F.sort_array(F.collect_list(F.struct("df", "token"))).alias("tokens"),
+        F.count(F.lit(1)).alias("n"),
+        F.array(*[_parity(word) for word in range(PARITY_WORDS)]).alias("bits"),
     )
     needed = F.ceil(F.col("n") * index.similarity / 100)
-    rarest = rarest.select("node", "n", F.slice("tokens", 1, (F.col("n") - needed + 1).cast("int")).alias("tokens"))
-    rarest = rarest.select("node", "n", F.posexplode("tokens").alias("pos", "t")).filter("t.df > 1")
-    rarest = scratch.store(rarest.select("node", "n", "pos", F.col("t.token").alias("token")).join(nodes, "node"), "near_rarest")
+    first = F.slice("tokens", 1, (F.col("n") - needed + 1).cast("int"))
+    rarest = rarest.select("node", "n", "bits", F.posexplode(first).alias("pos", "t")).filter("t.df > 1")
+    rarest = rarest.select("node", "n", "bits", "pos", F.col("t.token").alias("token")).join(nodes, "node")
+    rarest = scratch.store(rarest, "near_rarest")
     most = rarest.groupBy("token", "component").agg(F.count(F.lit(1)).alias("c"))
     most = most.groupBy("token").agg(F.max(F.struct("c", "component")).alias("most"), F.count(F.lit(1)).alias("k"))
     few = rarest.join(most.filter("k > 1"), "token").filter("component != most.component")
-    x = few.select("token", *[F.col(c).alias(f"x_{c}") for c in ("node", "component", "n", "pos")])
-    y = rarest.select("token", *[F.col(c).alias(f"y_{c}") for c in ("node", "component", "n", "pos")])
+    x = few.select(
+        "token", F.col("most.component").alias("top"), *[F.col(c).alias(f"x_{c}") for c in ("node", "component", "n", "pos", "bits")]
+    )
+    y = rarest.select("token", *[F.col(c).alias(f"y_{c}") for c in ("node", "component", "n", "pos", "bits")])
     # As many shingles must be common; behind the first common one, enough of them must be left in both.
     common = F.ceil((F.col("x_n") + F.col("y_n")) * index.similarity / (100 + index.similarity))
     enough = F.least(F.col("x_n") - F.col("x_pos"), F.col("y_n") - F.col("y_pos")) >= common
-    met = x.join(y, "token").filter((F.col("x_component") != F.col("y_component")) & enough)
+    # Each shingle of only one set turns one parity bit, so as many bits as differ, at least, are not common.
+    apart = sum((F.bit_count(F.col("x_bits")[k].bitwiseXOR(F.col("y_bits")[k])) for k in range(PARITY_WORDS)), F.lit(0))
+    enough &= apart <= F.col("x_n") + F.col("y_n") - 2 * common
+    # Two classes outside the most frequent component look for each other: one of them is enough.
+    once = (F.col("y_component") == F.col("top")) | (F.col("x_node") < F.col("y_node"))
+    met = x.join(y, "token").filter((F.col("x_component") != F.col("y_component")) & once & enough)
     return met.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
 
 
