@@ -1,0 +1,132 @@
+"""What the joins, sorts and writes of a mart move."""
+
+import re
+
+import pytest
+
+from pyspark.sql import functions as F
+
+from starmart.config import Calendar
+from starmart.functions.keys import surrogate_key
+from starmart.operators.lookup import KeySketches
+from starmart.operators.point_in_time import point_in_time_join
+from starmart.plans import daily
+from starmart.plans.dimensions import PRODUCT, SELLER, empty_dimension
+from starmart.plans.facts import fact_order_items
+from starmart.plans.staging import ITEM_COLUMNS, stage_order_items
+from starmart.sources.files import store
+from starmart.sources.runs import WRITERS
+from tests.helpers import RAW_ITEM, RAW_ORDER, D, dim_customers, plan_of, rows_of
+from tests.test_mart import config, write_sources
+from pyspark.sql import functions as F
+
+
+def _exchanged(df) -> list[str]:
+    """Columns that the shuffles of a plan move."""
+    plan = df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    inputs = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*?)\]\n", plan)
+    return [c for columns in inputs for c in re.findall(r"(\w+)#", columns)]
+
+
+@pytest.mark.parametrize("unknown", [False, True])
+def test_a_fact_moves_no_surrogate_keys_that_follow_from_its_versions(spark, conf, unknown):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    day = D(2020, 5, 1)
+    dims = {}
+    for spec in (SELLER, PRODUCT):
+        empty = empty_dimension(spark, spec)
+        ids = ["1", "2"] if spec is SELLER else ["1", "2", "3"]
+        versions = spark.createDataFrame([(i, d) for i in ids for d in (D(2020, 1, 1), D(2020, 3, 1))], "id string, d date")
+        made = {spec.key: F.col("id"), "effective_from": F.col("d"), "is_current": F.lit(True)}
+        made |= {spec.sk: surrogate_key(F.col("id"), F.col("d"))}
+        rows = versions.select(
+            *[made.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in empty.schema.fields]
+        )
+        dims[spec.table] = store(rows, spec.table)
+    items = spark.createDataFrame(
+        [("o", str(n), p, s, 1, 1, day) for n, (p, s) in enumerate([("1", "1"), ("3", "2"), ("9", "1"), (None, None)])],
+        RAW_ITEM.replace("price", "item_value").replace("decimal(10,2)", "int"),
+    ).withColumn("order_date", F.lit(day))
+    fact = fact_order_items(
+        store(items, "items"), dims["dim_seller"], dims["dim_product"], Calendar(D(2020, 1, 1), D(2020, 12, 31)),
+        broadcast_bytes=0, unknown=unknown,
+    )
+    moved = _exchanged(fact)
+    assert "product_id" in moved and "seller_id" in moved
+    assert not {"seller_sk", "product_sk"} & set(moved)
+    # The larger dimension is joined first.
+    plan = plan_of(fact)
+    assert plan.index("hashpartitioning(seller_id") < plan.index("hashpartitioning(product_id")
+    missing = "unknown" if unknown else None
+    expected = {
+        (key(s, a), key(p, b), str(n))
+        for n, (p, s) in enumerate([("1", "1"), ("3", "2"), ("9", "1"), (None, None)])
+        for a, b in [(x, y) for x in (D(2020, 1, 1), D(2020, 3, 1)) for y in (D(2020, 1, 1), D(2020, 3, 1))]
+        for key in [lambda i, d: _sk(i, d) if i in ("1", "2", "3") else missing]
+    }
+    assert {tuple(r) for r in fact.select("seller_sk", "product_sk", "order_item_id").collect()} == expected
+    assert fact.count() == 4 + 4 + 2 + 1
+
+
+def _sk(key, day):
+    import hashlib
+
+    return hashlib.sha256(f"{key}||{day.isoformat()}".encode()).hexdigest()
+
+
+@pytest.mark.parametrize("broadcast_bytes", [0, 1 << 20])
+def test_other_surrogate_keys_are_carried(spark, broadcast_bytes):
+    versions = dim_customers(
+        spark,
+        [
+            ("own", "a", "x", D(2020, 1, 1), D(2020, 2, 1), False),
+            (_sk("a", D(2020, 2, 1)), "a", "x", D(2020, 2, 1), None, True),
+            (None, "b", "x", D(2020, 1, 1), None, True),
+            ("", "c", "x", D(2020, 1, 1), D(2020, 3, 1), None),
+        ],
+    )
+    events = spark.createDataFrame(
+        [(k, d) for k in ("a", "b", "c", "d", None) for d in (D(2020, 1, 5), D(2020, 4, 1), None)], "k string, d date"
+    ).withColumnRenamed("k", "customer_id")
+    joined = point_in_time_join(
+        events, versions, "customer_id", "d", "customer_sk", spread=["d"], broadcast_bytes=broadcast_bytes
+    )
+    assert joined.columns == ["customer_id", "d", "customer_sk"]
+    found = {("a", D(2020, 1, 5)): "own", ("a", D(2020, 4, 1)): _sk("a", D(2020, 2, 1)), ("c", D(2020, 1, 5)): ""}
+    assert rows_of(joined) == sorted([(k, d, found.get((k, d))) for k, d in map(tuple, events.collect())], key=repr)
+
+
+def test_item_partitions_stay_as_many_as_the_session_wants(spark):
+    """Merged ones are sorted on disk."""
+    items = spark.createDataFrame([("1", str(n), "p", "s", 1, 1, D(2020, 1, 1)) for n in range(3)], RAW_ITEM.replace("decimal(10,2)", "int"))
+    orders = spark.createDataFrame([("1", "c", D(2020, 1, 1), None, None, None, None, "F")], RAW_ORDER)
+    staged = stage_order_items(items, orders, broadcast_bytes=0, hot_in=_NoHotKeys())
+    assert staged.columns == [*ITEM_COLUMNS, "order_date"] and staged.count() == 3
+    assert "REPARTITION_BY_NUM" in plan_of(staged)
+
+
+class _NoHotKeys(KeySketches):
+    def __init__(self):
+        pass
+
+    def hot(self, key):
+        return {}
+
+
+def test_a_run_writes_without_a_sort_by_folder_and_compressed(spark, tmp_path, monkeypatch):
+    before, seen, load = spark.conf.get(WRITERS), [], daily.load_order_items
+
+    def spy(session, *rest):
+        seen.append(int(session.conf.get(WRITERS)))
+        load(session, *rest)
+
+    monkeypatch.setattr(daily, "load_order_items", spy)
+    cfg = config(tmp_path, "moved", quarantine=True)
+    write_sources(spark, cfg, "a", D(2020, 2, 1), ["1"])
+    daily.run_daily(spark, cfg, D(2020, 2, 2))
+    assert seen == [2] and spark.conf.get(WRITERS) == before
+    for place in ("staging/stg_order_items.parquet", "warehouse/fact_order_items", "warehouse/dim_product"):
+        files = [f.name for f in (tmp_path / place).rglob("part-*.parquet")]
+        assert files and all(".zstd." in f for f in files)
