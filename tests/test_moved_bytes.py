@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from starmart.config import Calendar
 from starmart.functions.keys import surrogate_key
 from starmart.operators.lookup import KeySketches
+from starmart.operators.merge import merge_upsert
 from starmart.operators.point_in_time import point_in_time_join
+from starmart.operators.scd2 import scd2_changes
 from starmart.plans import daily
-from starmart.plans.dimensions import PRODUCT, SELLER, empty_dimension
+from starmart.plans.dimensions import CUSTOMER, PRODUCT, SELLER, empty_dimension
 from starmart.plans.facts import fact_order_items
 from starmart.plans.staging import ITEM_COLUMNS, stage_order_items
 from starmart.sources.files import store
@@ -130,3 +132,76 @@ def test_a_run_writes_without_a_sort_by_folder_and_compressed(spark, tmp_path, m
     for place in ("staging/stg_order_items.parquet", "warehouse/fact_order_items", "warehouse/dim_product"):
         files = [f.name for f in (tmp_path / place).rglob("part-*.parquet")]
         assert files and all(".zstd." in f for f in files)
+
+
+def _merge_inputs(spark):
+    """Keys that follow from key and first day, others, none, copies, and one that another row's columns would give."""
+    a, b = D(2020, 1, 1), D(2020, 2, 1)
+    target = [
+        (_sk("a", a), "a", "t1", a, None, True),
+        (_sk("b", a), "b", "t2", a, D(2020, 3, 1), False),
+        (_sk("c", a), "c", "t3", a, None, True),
+        ("own", "d", "t4", a, None, True),
+        (_sk("e", b), "e", "t5", a, None, True),
+        (None, "f", "t6", a, None, True),
+        (_sk("g", a), "g", "t7", a, None, None),
+        (_sk("both", a), "both", "t8", a, None, True),
+        ("", None, "t9", None, None, True),
+    ]
+    frozen = [
+        (_sk("x", a), "x", "f1", a, b, False),
+        ("old", "y", "f2", b, b, False),
+        (_sk("both", a), "both", "f3", a, b, False),
+        (None, "z", "f4", a, b, False),
+        (_sk("x", a), "x", "f5", a, b, False),
+    ]
+    source = [
+        (_sk("a", a), "a", "s1", a, b, False),
+        (_sk("b", a), "b", "s2", a, b, True),
+        ("own", "other", "s3", b, b, False),
+        (_sk("e", b), "e", "s4", b, b, False),
+        (None, "f", "s5", a, b, False),
+        (_sk("g", a), "g", "s6", a, b, False),
+        (_sk("x", a), "x", "s7", a, None, True),
+        ("old", "y", "s8", b, None, True),
+        (_sk("both", a), "both", "s9", a, b, False),
+        (_sk("new", a), "new", "s10", a, None, True),
+        (_sk("new", a), "new", "s11", a, None, True),
+        ("", None, "s12", None, b, False),
+        (None, None, "s13", None, None, None),
+    ]
+    schema = "customer_sk string, customer_id string, address string, effective_from date, effective_to date, is_current boolean"
+    return [store(spark.createDataFrame(rows, schema), "merged") for rows in (target, source, frozen)]
+
+
+@pytest.mark.parametrize("apart", [False, True])
+def test_a_large_merge_gives_the_same_rows_and_moves_no_surrogate_keys(spark, conf, apart):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    target, source, frozen = _merge_inputs(spark)
+    frozen = frozen if apart else None
+    merge = lambda **options: merge_upsert(
+        target, source, "customer_sk", F.col("is_current"), ["effective_to", "is_current"], frozen, **options
+    )
+    plain, made_of = merge(), (surrogate_key, ("customer_id", "effective_from"))
+    moved = merge(made_of=made_of, broadcast_bytes=0)
+    assert moved.columns == plain.columns and rows_of(moved) == rows_of(plain)
+    assert "customer_sk" in _exchanged(plain)
+    assert "customer_sk" not in _exchanged(moved) and "customer_id" in _exchanged(moved)
+    # Equal hashes meet; the keys themselves are asked of these pairs only.
+    assert "sha2" not in plan_of(moved).split("SortMergeJoin [")[1].split("]")[0]
+
+
+def test_changes_of_a_dimension_move_no_surrogate_keys(spark, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    day = D(2020, 1, 1)
+    rows = [(_sk("a", day), "a", "x", day, None, True), ("own", "b", "x", day, None, True), (None, "c", "x", day, None, True)]
+    dimension = dim_customers(spark, rows)
+    staged = dimension.select(
+        "customer_id", F.lit("y").alias("address"), "state", "zip_code_prefix",
+        F.lit(day).alias("created_date"), F.lit(D(2020, 2, 1)).alias("updated_date"),
+    )
+    changes = scd2_changes(CUSTOMER, staged, dimension, D(2020, 3, 1))
+    assert "customer_sk" not in _exchanged(changes) and "customer_id" in _exchanged(changes)
+    closed = changes.filter(~F.col("is_current")).select("customer_sk", "customer_id")
+    assert rows_of(closed) == sorted([(r[0], r[1]) for r in rows], key=repr)
+    assert changes.filter("is_current").count() == 3
