@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from starmart.config import Calendar
 from starmart.functions.keys import surrogate_key
-from starmart.operators.lookup import KeySketches
+from starmart.operators.lookup import KeySketches, with_likely_match
 from starmart.operators.merge import merge_upsert
 from starmart.operators.point_in_time import point_in_time_join
 from starmart.operators.scd2 import scd2_changes
@@ -205,3 +205,34 @@ def test_changes_of_a_dimension_move_no_surrogate_keys(spark, conf):
     closed = changes.filter(~F.col("is_current")).select("customer_sk", "customer_id")
     assert rows_of(closed) == sorted([(r[0], r[1]) for r in rows], key=repr)
     assert changes.filter("is_current").count() == 3
+
+
+@pytest.mark.parametrize("kind", ["string", "bigint", "int"])
+def test_rows_that_match_nothing_are_left_out_before_a_shuffle(spark, kind):
+    left = spark.range(-20_000, 20_000).selectExpr(f"CAST(id AS {kind}) AS k", "id AS v")
+    left = left.unionByName(spark.createDataFrame([(None, 1)] * 3, f"k {kind}, v bigint"))
+    right = left.filter("v % 5 = 0").select("k").unionByName(spark.createDataFrame([(None,)], f"k {kind}"))
+    for most_bytes in (1 << 20, 4096, 2048, 100):
+        likely = with_likely_match(left, right, "k", 8_000, most_bytes)
+        assert likely.columns == ["k", "v"]
+        assert rows_of(likely.join(right, "k", "left_semi")) == rows_of(left.join(right, "k", "left_semi"))
+        wrong = likely.count() - 8_000
+        # 8 and 4 bits a key, then as few as leave nothing out.
+        assert wrong < 32_000 * (0.15 if most_bytes > 4096 else 0.3 if most_bytes == 4096 else 1.1)
+        assert most_bytes > 1500 or likely is left
+    other = right.selectExpr("CAST(k AS double) AS k")
+    assert with_likely_match(left, other, "k", 8_000) is left
+    assert with_likely_match(left, right.limit(0), "k", 0).isEmpty()
+
+
+def test_items_of_unknown_orders_are_not_shuffled(spark):
+    items = spark.createDataFrame(
+        [(str(o), str(n), "p", "s", 1, 1, D(2020, 1, 1)) for o in range(300) for n in range(3)] + [(None, "1", "p", "s", 1, 1, None)],
+        RAW_ITEM.replace("decimal(10,2)", "int"),
+    )
+    orders = [(str(o), "c", D(2020, 1, 1 + o % 9), None, None, None, None, "F") for o in range(0, 600, 20)]
+    orders = spark.createDataFrame([*orders, (None, "c", D(2020, 1, 1), None, None, None, None, "F")], RAW_ORDER)
+    plain = stage_order_items(items, orders)
+    staged = stage_order_items(items, orders, broadcast_bytes=512, hot_in=_NoHotKeys())
+    assert rows_of(staged) == rows_of(plain) and staged.count() == 15 * 3
+    assert "bitmap_construct_agg" in plan_of(staged) and "bitmap_construct_agg" not in plan_of(plain)
