@@ -6,7 +6,7 @@ strings of that length share their minimizer (the ``GRAM`` bytes with the least
 1. each document's anchors are dealt out by hash, with a hash of the bytes around them (the context). Anchors of one id
    are dropped; where all contexts of an anchor are equal, the whole context is repeated;
 2. the contexts of the other anchors are dealt out; equal ones fold into one, with the smallest id that has it;
-3. in each bucket, contexts form shards. Every shard gets its transform by one suffix sort; the shards' transforms are
+3. in each bucket, contexts are parted by their anchors and form shards. Every shard gets its transform by one suffix sort; the shards' transforms are
    merged by refining their interleave, one symbol deeper with each pass, without sorting suffixes again. The blocks
    after ``LENGTH`` passes are the suffixes with that common prefix: the repeated intervals, each with its smallest id;
 4. the spans go back to their documents.
@@ -41,6 +41,8 @@ STARTS = SIDE - LENGTH + 1
 BUCKET_BYTES = 32 << 20
 CONTEXT_BUCKET_BYTES = 8 << 20
 SHARD_CONTEXTS = 1_000
+# Contexts of a bucket are merged in parts of about so many, by their anchors: what a pass looks up stays in the cache.
+PART_CONTEXTS = 4_000
 LAST = (1 << 63) - 1
 # Minimizers are sought in pieces of so many bytes, whose hashes stay in a core's cache.
 PIECE_BYTES = 1 << 16
@@ -294,6 +296,7 @@ def _contexts(buckets: int, anchor_buckets: int) -> Callable[[Iterator[pa.Record
             more = {
                 "contexts": of,
                 "which": lambda mine, w=which: w[mine].tobytes(),
+                "anchor": lambda mine, f=found: _low(f[mine], 1),
                 "start": lambda mine, s=start - bounds[row]: s[mine].astype(np.uint32).tobytes(),
             }
             yield _rows(buckets, batch, n, found, row, more)
@@ -410,17 +413,29 @@ def _spans(table: pa.Table) -> pa.Table:
     both, same = np.unique(np.concatenate(texts).view(f"V{SIDE}").reshape(-1), return_inverse=True)
     texts = both.view(np.uint8).reshape(-1, SIDE)
     which = same[np.concatenate(which)]
-    who = bucket.ids[bucket.row]
-    least = np.full(len(texts), LAST, np.int64)
+    parts = min(-(-len(texts) // PART_CONTEXTS), 256)
+    part = (np.concatenate(_column(table, "anchor", np.uint8)).astype(np.uint16) * parts >> 8).astype(np.uint8)
+    order = np.argsort(part, kind="stable")
+    rows, spans = [], []
+    for mine in filter(len, np.split(order, np.searchsorted(part[order], np.arange(1, parts)))):
+        at, begin, end = _hits(texts, which[mine], bucket.ids[bucket.row[mine]])
+        rows.append(bucket.row[mine[at]])
+        spans.append(np.stack([start[mine[at]] + begin, start[mine[at]] + end], axis=1))
+    return bucket.back(np.concatenate(rows), np.concatenate(spans), "spans")
+
+
+def _hits(texts: np.ndarray, which: np.ndarray, who: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where contexts repeat those of smaller ids: which of them, and the spans' begins and ends within it."""
+    used, which = np.unique(which, return_inverse=True)
+    least = np.full(len(used), LAST, np.int64)
     np.minimum.at(least, which, who)
-    smallest = smallest_ids(texts, least)
+    smallest = smallest_ids(texts[used], least)
     hit = np.zeros((len(which), STARTS + 2), np.int8)
     hit[:, 1:-1] = smallest[which] < who[:, None]
     turn = np.diff(hit, axis=1)
     at, begin = np.nonzero(turn == 1)
     _, end = np.nonzero(turn == -1)
-    spans = np.stack([start[at] + begin, start[at] + end - 1 + LENGTH], axis=1)
-    return bucket.back(bucket.row[at], spans, "spans")
+    return at, begin, end - 1 + LENGTH
 
 
 def _union(spans: np.ndarray) -> np.ndarray:
@@ -481,7 +496,7 @@ def remove_repeats(
     shared = shared.groupBy("id", "th").agg(F.collect_list("anchors").alias("anchors"))
     listed = rows.join(shared, ["id", "th"], "left")
     around = listed.filter("anchors IS NOT NULL").select("*", part).mapInArrow(
-        _contexts(context_buckets, buckets), f"{blobs}, contexts binary, which binary, start binary"
+        _contexts(context_buckets, buckets), f"{blobs}, contexts binary, which binary, anchor binary, start binary"
     )
     spans = around.groupBy("bucket").applyInArrow(_spans, f"{back}, spans binary")
     spans = spans.groupBy("slice").applyInArrow(_returned("spans", 16), "id bigint, th bigint, spans binary")

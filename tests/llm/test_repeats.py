@@ -26,6 +26,14 @@ def _batch(texts, **more):
     return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
+def _listed(texts):
+    """The texts with the anchors that others have too."""
+    dealt = pa.Table.from_batches(repeats._deal(1)(iter([_batch(texts)])))
+    returned = repeats._returned("anchors", 8)(repeats._shared(dealt))
+    listed = dict(zip(returned["id"].to_pylist(), returned["anchors"].to_pylist(), strict=True))
+    return pa.array([[listed[i]] if i in listed else None for i in range(len(texts))], pa.list_(pa.binary()))
+
+
 def _moved(batches):
     return sum(len(value) for b in batches for row in b.to_pylist() for value in row.values() if isinstance(value, bytes))
 
@@ -36,11 +44,7 @@ def test_packets_hold_few_bytes_for_each_anchor_and_context():
     row = repeats._found(pa.array(texts, pa.large_string()))[3]
     dealt = list(repeats._deal(1)(iter([_batch(texts)])))
     assert _moved(dealt) <= 10 * len(row) + 20 * len(texts)
-    back = repeats._shared(pa.Table.from_batches(dealt))
-    returned = repeats._returned("anchors", 8)(back)
-    listed = dict(zip(returned["id"].to_pylist(), returned["anchors"].to_pylist(), strict=True))
-    anchors = pa.array([[listed[i]] if i in listed else None for i in range(len(texts))], pa.list_(pa.binary()))
-    around = list(repeats._contexts(1, 1)(iter([_batch(texts, anchors=anchors)])))
+    around = list(repeats._contexts(1, 1)(iter([_batch(texts, anchors=_listed(texts))])))
     occurrences = sum(len(b["which"][0].as_py()) // 4 for b in around)
     assert occurrences > 1_000 and _moved(around) < 0.8 * repeats.SIDE * occurrences
 
@@ -85,14 +89,42 @@ def test_transform_is_that_of_sorted_suffixes(letters):
     assert before.tolist() == [strings[i][o - 1] if o else 0 for _, i, o in want]
 
 
-def test_passages_in_many_small_buckets(spark):
+def _passages():
     rng = random.Random(9)
     texts = [_text(rng, rng.randrange(20, 900)) for _ in range(60)]
     for n in range(20, 60):
         other = texts[rng.randrange(n)]
         at = rng.randrange(len(other))
         texts[n] = texts[n][:300] + other[at : at + rng.randrange(40, 300)] + texts[n][300:]
-    rows = list(enumerate(texts))
+    return texts
+
+
+def test_contexts_are_merged_in_small_parts(monkeypatch):
+    sizes, real = [], repeats.smallest_ids
+    monkeypatch.setattr(repeats, "PART_CONTEXTS", 50)
+    monkeypatch.setattr(repeats, "smallest_ids", lambda texts, ids: sizes.append(len(texts)) or real(texts, ids))
+    texts = _passages()
+    repeats._spans(pa.Table.from_batches(repeats._contexts(1, 1)(iter([_batch(texts, anchors=_listed(texts))]))))
+    assert sum(sizes) > 250 and max(sizes) < 100
+
+
+@pytest.mark.parametrize("contexts", [3, repeats.PART_CONTEXTS])
+def test_passages_in_many_small_parts(contexts, monkeypatch):
+    """All of the contexts in one bucket and in parts of a few, some of them empty."""
+    monkeypatch.setattr(repeats, "PART_CONTEXTS", contexts)
+    texts = _passages()
+    anchors = _listed(texts)
+    found = repeats._spans(pa.Table.from_batches(repeats._contexts(1, 1)(iter([_batch(texts, anchors=anchors)]))))
+    spans = repeats._returned("spans", 16)(found)
+    parts = dict(zip(spans["id"].to_pylist(), spans["spans"].to_pylist(), strict=True))
+    parts = pa.array([[parts[i]] if i in parts else None for i in range(len(texts))], pa.list_(pa.binary()))
+    (cut,) = repeats._cut(1)(iter([_batch(texts, anchors=anchors, parts=parts)]))
+    want = sorted(brute.repeats(list(enumerate(texts))))
+    assert cut["kept_sha256"].to_pylist() == [w[4] for w in want] and any(w[2] for w in want)
+
+
+def test_passages_in_many_small_buckets(spark):
+    rows = list(enumerate(_passages()))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     found = repeats.digest(repeats.remove_repeats(docs, bucket_bytes=700, context_bucket_bytes=300))
     columns = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
